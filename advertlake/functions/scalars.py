@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Every Unicode white-space character; Java's \s alone would miss the no-break spaces.
 WHITESPACE = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
+# The same for pure ASCII text, a class the regex engine tests by a bit map.
+ASCII_WHITESPACE = r"[\t-\r\x1c-\x20]"
 # A plain decimal number. Spark's own cast also takes a type suffix as in '12d'.
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -39,8 +41,15 @@ DEFAULT_CURRENCY = "GBP"
 MONEY_SYMBOLS = ",£€"
 
 
+def is_ascii(text: Column) -> Column:
+    """As many bytes as characters: decided from lengths, without looking at the text."""
+    return F.octet_length(text) == F.length(text)
+
+
 def collapse_whitespace(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(text, f"{WHITESPACE}+", " "))
+    narrow = F.regexp_replace(text, f"{ASCII_WHITESPACE}+", " ")
+    wide = F.regexp_replace(text, f"{WHITESPACE}+", " ")
+    return F.btrim(F.when(is_ascii(text), narrow).otherwise(wide))
 
 
 def clean_string(text: Column) -> Column:

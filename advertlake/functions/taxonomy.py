@@ -119,6 +119,12 @@ class Taxonomy:
     columns: Mapping[str, str]
     version: str
 
+    def __post_init__(self) -> None:
+        for term in self.terms:
+            edges = term[:1] + term[-1:]
+            if term != term.lower() or not edges or not all(c.isalnum() or c == "_" for c in edges):
+                raise ValueError(f"a term is lower case and starts and ends with a word character: {term!r}")
+
     @property
     def terms(self) -> list[str]:
         return [term for terms in self.groups.values() for term in terms]

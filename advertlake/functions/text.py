@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from advertlake.functions.scalars import collapse_whitespace
+from advertlake.functions.scalars import is_ascii
 from advertlake.functions.taxonomy import (
     ROLE_NON_TECHNICAL,
     ROLE_TECHNICAL,
@@ -24,6 +24,7 @@ from advertlake.functions.taxonomy import (
 # A word character is any Unicode letter, digit or underscore. Accents split off by NFKD are marks,
 # not word characters, so a term may end right before one.
 WORD = r"[\p{L}\p{N}_]"
+NOT_WORD = r"[^\p{L}\p{N}_]"
 NOT_AFTER_WORD = f"(?<!{WORD})"
 NOT_BEFORE_WORD = f"(?!{WORD})"
 
@@ -39,26 +40,40 @@ def nfkd(text: Column) -> Column:
     Pure ASCII text is its own normal form, so the Arrow batch carries a null for it and only the
     other texts travel to the Python worker.
     """
-    return F.coalesce(_nfkd(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    return F.coalesce(_nfkd(F.when(~is_ascii(text), text)), text)
 
 
 def normalize_text(text: Column) -> Column:
     """NFKD, markup and control characters to spaces, white space collapsed, lower case; null as ''."""
-    out = nfkd(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(out, "<[^>]+>", " ")
-    out = F.regexp_replace(out, "&nbsp;|[\\x00-\\x1f\\x7f\\xa0]", " ")
-    return F.lower(collapse_whitespace(out))
+    given = F.coalesce(text, F.lit(""))
+    out = F.regexp_replace(nfkd(given), "<[^>]+>", " ")
+    out = F.replace(out, F.lit("&nbsp;"), F.lit(" "))
+    # Control characters and white space in one pass. The class for ASCII text is a bit map.
+    narrow = F.regexp_replace(out, r"[\x00-\x20\x7f]+", " ")
+    wide = F.regexp_replace(out, r"[\x00-\x20\x7f\x85\p{Z}]+", " ")
+    return F.lower(F.btrim(F.when(is_ascii(given), narrow).otherwise(wide)))
 
 
 def term_pattern(taxonomy: Taxonomy = SKILLS) -> str:
-    """One pattern over all terms: whole words, longer terms first so that they win over their parts."""
-    longest_first = sorted(taxonomy.terms, key=len, reverse=True)
-    return f"{NOT_AFTER_WORD}(?:{'|'.join(map(re.escape, longest_first))}){NOT_BEFORE_WORD}"
+    """One pattern over all terms, group 1: whole words, longer terms before their parts.
+
+    The pattern consumes the character in front of a term (the text gets one blank in front), so most
+    positions are rejected by a single class test, and a term that starts with no known letter by a
+    second. Terms with the same first letter share a branch; within it the longest comes first.
+    Terms end in word characters, so the consumed character never belongs to the hit before it.
+    """
+    by_letter: dict[str, list[str]] = {}
+    for term in sorted(taxonomy.terms, key=len, reverse=True):
+        by_letter.setdefault(term[0], []).append(re.escape(term[1:]))
+    branches = "|".join(f"{re.escape(letter)}(?:{'|'.join(rest)})" for letter, rest in by_letter.items())
+    letters = "".join(map(re.escape, by_letter))
+    return f"{NOT_WORD}(?=[{letters}])({branches}){NOT_BEFORE_WORD}"
 
 
 def find_terms(normalized: Column, taxonomy: Taxonomy = SKILLS) -> Column:
     """All non-overlapping hits in reading order, as an array of terms."""
-    return F.regexp_extract_all(normalized, F.lit(term_pattern(taxonomy)), F.lit(0))
+    padded = F.concat(F.lit(" "), normalized)
+    return F.regexp_extract_all(padded, F.lit(term_pattern(taxonomy)), F.lit(1))
 
 
 def mentioned(hits: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,10 +31,9 @@ def value_counts(df: DataFrame, columns: Sequence[str], k: int | dict[str, int]
     Every row becomes one short pair per column; pairs combine before the shuffle and the top-k cut
     is applied in each task before the ranking, so a dominant value costs nothing extra.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    )
-    counts = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    pairs = texts.unpivot([], list(columns), "column", "value")
+    counts = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     if k is None:
         return counts
     order = [F.desc("n"), F.asc_nulls_last("value")]
@@ -56,8 +57,9 @@ def rows_of_top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 
 def unpivot_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value)`` with missing values left out."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    return df.select(F.inline(pairs)).filter("value is not null and not isnan(value)")
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    pairs = numbers.unpivot([], list(columns), "column", "value")
+    return pairs.filter("value is not null and not isnan(value)")
 
 
 def quantiles(
@@ -97,9 +99,14 @@ def quantiles(
             }
         )
     )
-    # Null-safe so that a null group keeps its quantiles; there are at most partitions + groups parts.
+    places = [(F.col("_total") - 1) * F.lit(float(p)) for p in probabilities]
+    ranks = [rank for place in places for rank in (F.floor(place), F.ceil(place))]
+    holds = [(F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_rows")) for rank in ranks]
+    # Only the few parts that hold a wanted rank are read on; the others end here.
+    wanted = parts.filter(reduce(or_, holds))
+    # Null-safe so that a null group keeps its quantiles.
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*by, "_part")]
-    placed = ranges.alias("r").join(parts.alias("p"), same).select("r.*", "p._start", "p._total")
+    placed = ranges.alias("r").join(wanted.alias("p"), same).select("r.*", "p._start", "p._total")
     upto = F.sum("_n").over(Window.partitionBy(*by, "_part").orderBy("_v"))
     ranked = placed.withColumn("_end", F.col("_start") + upto)
 
@@ -107,8 +114,7 @@ def quantiles(
         return F.max(F.when((F.col("_end") - F.col("_n") <= rank) & (rank < F.col("_end")), F.col("_v")))
 
     ends = {}
-    for i, p in enumerate(probabilities):
-        place = (F.col("_total") - 1) * F.lit(float(p))
+    for i, place in enumerate(places):
         ends[f"_lo{i}"] = at(F.floor(place))
         ends[f"_hi{i}"] = at(F.ceil(place))
         ends[f"_at{i}"] = F.max(place - F.floor(place))

@@ -56,3 +56,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores if its files split into fewer parts than there are cores.
+
+    Row-local text work costs far more than moving the rows once. A large table has many more parts
+    than cores and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

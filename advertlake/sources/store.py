@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from advertlake.operators.merge import merge_keep_last, not_loaded, replace_by_key
+from advertlake.operators.windows import keep_first
 from advertlake.schema import PARTITIONS, SNAPSHOT_KEY, enforce_schema
 from advertlake.session import stage
 from advertlake.sources.layers import read_table, write_partitions
@@ -67,16 +68,15 @@ def save_replaced(
     its MERGE. ``keep_last_of`` orders keys repeated within the batch; None states there are none.
     """
     fresh = enforce_schema(batch, schema)
-    if table_exists(spark, path):
-        old = affected_rows(read_table(spark, path, schema), fresh, partitions)
-        if keep_last_of is None:
-            merged = replace_by_key(old, fresh, key=key)
-        else:
-            merged = merge_keep_last(old, fresh, key=key, order_by=keep_last_of)
-    elif keep_last_of is None:
-        merged = fresh
+    if not table_exists(spark, path):
+        first = fresh if keep_last_of is None else keep_first(fresh, key, [F.desc_nulls_last(c) for c in keep_last_of])
+        write_partitions(first, path, partitions=partitions, sort=sort)
+        return
+    old = affected_rows(read_table(spark, path, schema), fresh, partitions)
+    if keep_last_of is None:
+        merged = replace_by_key(old, fresh, key=key)
     else:
-        merged = merge_keep_last(fresh.limit(0), fresh, key=key, order_by=keep_last_of)
+        merged = merge_keep_last(old, fresh, key=key, order_by=keep_last_of)
     write_partitions(stage(merged, "merge"), path, partitions=partitions, sort=sort)
 
 

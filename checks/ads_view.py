@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from advertlake.session import spread_scan
+
 INGESTED_AT = "2026-09-03 12:00:00"
 INGEST_DATE = "2026-09-03"
 START_DATE = "2026-01-01"
@@ -102,8 +104,12 @@ def raw_fields(engine: str) -> dict[str, str]:
     return {name: sql.format(**SPELLINGS[engine]) for name, sql in RAW_FIELDS.items()}
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_scan(df) if name in TEXT_TABLES else df
 
 
 def raw_ads(spark: SparkSession, sf_dir: str) -> DataFrame:

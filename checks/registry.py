@@ -400,8 +400,13 @@ def top_terms_of_flagged(spark, sf_dir):
 
 @query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS} FROM weekly")
 def weekly_share(spark, sf_dir):
-    clean = cleaned(spark, sf_dir)
-    return warehouse.share_weekly(clean, E.enrich_ads(clean))
+    return weekly(spark, sf_dir)
+
+
+@query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS} FROM weekly")
+def weekly_share_joined(spark, sf_dir):
+    clean = stage(cleaned(spark, sf_dir), "clean")
+    return warehouse.share_weekly(clean, stage(E.enrich_ads(clean), "flags"))
 
 
 @query(ctes(S.FLAGS) + """
@@ -747,8 +752,8 @@ def flagged_sample(spark, sf_dir):
 
 
 def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    clean = cleaned(spark, sf_dir)
-    return warehouse.export_frames(clean, E.enrich_ads(clean))
+    clean = stage(cleaned(spark, sf_dir), "clean")
+    return warehouse.export_frames(clean, stage(E.enrich_ads(clean), "flags"))
 
 
 @query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS} FROM weekly ORDER BY week, country, role_class")
