@@ -160,17 +160,26 @@ def histogram(df: DataFrame, value: Column, bins: int = 40) -> DataFrame:
     # A constant column gets one unit of width around its value.
     lo = bounds.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo"))).scalar()
     hi = bounds.select(F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi"))).scalar()
+    width = (hi - lo) / bins
+
+    def edge(i: Column) -> Column:
+        return lo + i * width
+
+    # The quotient may round across an edge; comparing with the edges settles it.
+    near = F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins), F.lit(bins - 1))
+    at = (
+        F.when(F.col("v") < edge(F.col("near")), F.col("near") - 1)
+        .when((F.col("v") >= edge(F.col("near") + 1)) & (F.col("near") < bins - 1), F.col("near") + 1)
+        .otherwise(F.col("near"))
+    )
     counts = (
-        values.select(F.least(F.width_bucket("v", lo, hi, F.lit(bins)), F.lit(bins)).alias("bin"))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        values.withColumn("near", near).groupBy((at + 1).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     )
-    edges = df.sparkSession.range(1, bins + 1, numPartitions=1).select(F.col("id").alias("bin"))
-    width = (hi - lo) / bins
-    return edges.join(counts, "bin", "left").select(
+    every = df.sparkSession.range(1, bins + 1, numPartitions=1).select(F.col("id").alias("bin"))
+    return every.join(counts, "bin", "left").select(
         "bin",
-        (lo + (F.col("bin") - 1) * width).alias("low"),
-        (lo + F.col("bin") * width).alias("high"),
+        edge(F.col("bin") - 1).alias("low"),
+        edge(F.col("bin")).alias("high"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 

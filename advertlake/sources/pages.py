@@ -12,7 +12,14 @@ from advertlake.operators.windows import running_total
 from advertlake.schema import PAGE_SCHEMA, PARTITIONS
 
 # A file holds a page per line or an archive that wraps the pages of one run.
-ENVELOPE = T.StructType([*PAGE_SCHEMA.fields, T.StructField("responses", T.ArrayType(PAGE_SCHEMA))])
+UNREADABLE = "_unreadable"
+ENVELOPE = T.StructType(
+    [
+        *PAGE_SCHEMA.fields,
+        T.StructField("responses", T.ArrayType(PAGE_SCHEMA)),
+        T.StructField(UNREADABLE, T.StringType()),
+    ]
+)
 
 
 def read_payloads(
@@ -24,16 +31,23 @@ def read_payloads(
     indented documents, one per file.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("value", *partitions)])
-    payloads = spark.read.schema(schema).option("wholetext", whole_files).text(path)
+    payloads = spark.read.schema(schema).text(path, wholetext=whole_files)
     return payloads.filter(F.length(F.btrim("value")) > 0)
 
 
 def parse_pages(payloads: DataFrame, value: str = "value") -> DataFrame:
-    """One row per page; an archive document yields all pages it wraps, numbered by position."""
+    """One row per page; an archive document yields all pages it wraps, numbered by position.
+
+    A field of the wrong type becomes null; a text that is no JSON document stops the read, because
+    a page lost unseen would look like the end of the listing.
+    """
     others = [c for c in payloads.columns if c != value]
-    parsed = payloads.select(*others, F.from_json(value, ENVELOPE).alias("doc"))
+    doc = F.from_json(value, ENVELOPE, {"columnNameOfCorruptRecord": UNREADABLE})
+    parsed = payloads.select(*others, doc.alias("doc"))
     single = F.array(F.struct(*[F.col(f"doc.{name}").alias(name) for name in PAGE_SCHEMA.names]))
-    pages = F.coalesce(F.col("doc.responses"), single)
+    lost = F.col(f"doc.{UNREADABLE}").isNotNull() & F.col("doc.results").isNull()
+    broken = F.raise_error(F.concat(F.lit("not a page: "), F.substring(f"doc.{UNREADABLE}", 1, 80)))
+    pages = F.coalesce(F.col("doc.responses"), F.when(lost, broken.cast(T.ArrayType(PAGE_SCHEMA))).otherwise(single))
     exploded = parsed.select(*others, F.posexplode(pages).alias("_at", "p"))
     return exploded.select(
         *others,

@@ -647,9 +647,11 @@ def lineitem_describe_approximate(spark, sf_dir):
 
 def _histogram_sql(source: str, value: str) -> str:
     return f"""v AS (SELECT {value} AS v FROM {source} WHERE {value} IS NOT NULL),
-b AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
-k AS (SELECT CAST(least(floor(40.0::DOUBLE * (v - lo) / (hi - lo)) + 1, 40) AS BIGINT) AS bin, count(*) AS n FROM v, b GROUP BY 1)
-SELECT i AS bin, round(lo + (i - 1) * ((hi - lo) / 40), 6) AS low, round(lo + i * ((hi - lo) / 40), 6) AS high, coalesce(k.n, 0) AS n
+b AS (SELECT min(v) AS lo, max(v) AS hi, (max(v) - min(v)) / 40 AS w FROM v),
+near AS (SELECT v, lo, w, least(floor((v - lo) / (hi - lo) * 40), 39) AS i FROM v, b),
+placed AS (SELECT CASE WHEN v < lo + i * w THEN i - 1 WHEN v >= lo + (i + 1) * w AND i < 39 THEN i + 1 ELSE i END AS i FROM near),
+k AS (SELECT CAST(i + 1 AS BIGINT) AS bin, count(*) AS n FROM placed GROUP BY 1)
+SELECT i AS bin, round(lo + (i - 1) * w, 6) AS low, round(lo + i * w, 6) AS high, coalesce(k.n, 0) AS n
 FROM (SELECT unnest(range(1, 41)) AS i) e CROSS JOIN b LEFT JOIN k ON k.bin = i"""
 
 
