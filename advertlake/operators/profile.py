@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from advertlake.operators.windows import seeded_sample, top_k
 from advertlake.schema import SNAPSHOT_KEY
-from advertlake.session import stage
+from advertlake.session import small_side, stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -103,7 +103,7 @@ def quantiles(
     ranks = [rank for place in places for rank in (F.floor(place), F.ceil(place))]
     holds = [(F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_rows")) for rank in ranks]
     # Only the few parts that hold a wanted rank are read on; the others end here.
-    wanted = parts.filter(reduce(or_, holds))
+    wanted = small_side(parts.filter(reduce(or_, holds)), "quantile-parts")
     # Null-safe so that a null group keeps its quantiles.
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*by, "_part")]
     placed = ranges.alias("r").join(wanted.alias("p"), same).select("r.*", "p._start", "p._total")
@@ -200,7 +200,7 @@ def time_range(df: DataFrame, ts: str = "created_at") -> DataFrame:
 def box_stats(df: DataFrame, *, by: str, value: str, reach: float = 1.5, approximate: bool = False) -> DataFrame:
     """Quartiles and whiskers per group: the outermost values within ``reach`` quartile ranges."""
     values = df.select(by, F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
-    quartile = quantiles(values, by=[by], value="_v", approximate=approximate)
+    quartile = small_side(quantiles(values, by=[by], value="_v", approximate=approximate), "quartiles")
     spread = F.col("q2") - F.col("q0")
     inside = F.col("_v").between(F.col("q0") - reach * spread, F.col("q2") + reach * spread)
     counts = values.groupBy(by, "_v").agg(F.count(F.lit(1)).alias("_n"))

@@ -15,7 +15,7 @@ from advertlake.operators.enrich import enrich_ads
 from advertlake.operators.quality import assert_quality, quality_checks, quality_passed
 from advertlake.plans.warehouse import Warehouse
 from advertlake.schema import CLEAN_SCHEMA, HISTORY_KEY, HISTORY_SCHEMA
-from advertlake.session import configure, stage
+from advertlake.session import configure, spread_scan, stage
 from advertlake.sources import layers, pages, store
 
 JOBS_MASTER = "processed/jobs_master"
@@ -78,7 +78,7 @@ def run_pipeline(
     ingest_date = instant.astimezone(timezone.utc).date().isoformat()
     of_run = (F.col("ingest_date") == ingest_date) & F.col("country").isin(list(countries))
 
-    payloads = pages.read_payloads(spark, search_path, whole_files=whole_files).filter(of_run)
+    payloads = spread_scan(pages.read_payloads(spark, search_path, whole_files=whole_files).filter(of_run))
     parsed = pages.parse_pages(payloads)
     read = pages.cut_pages(parsed, max_pages=max_pages)
     ads = stage(pages.explode_ads(read), "ads")
@@ -128,11 +128,11 @@ def run_pipeline(
         checks=checks,
         null_summary=nulls,
         written=written,
+        analysis_rows=summary.output_rows,  # one flags row per clean row
     )
 
-    flags = enrich_ads(clean, taxonomy=taxonomy)
     if warehouse_root:
-        flags = stage(flags, "flags")
+        flags = stage(enrich_ads(clean, taxonomy=taxonomy), "flags")
         warehouse = Warehouse(spark, warehouse_root)
         warehouse.upsert_jobs(clean)
         warehouse.upsert_analysis(flags)
@@ -144,5 +144,4 @@ def run_pipeline(
             result.exported = list(frames)
         elif export:
             result.exported = layers.export_all(frames, f"{root}/export")
-    result.analysis_rows = flags.count()
     return result

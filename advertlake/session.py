@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings every job relies on. Weeks and ingest dates are UTC days, so the session
 # zone is part of the result; the rest lets adaptive execution coalesce, split and re-plan.
@@ -66,3 +67,17 @@ def spread_scan(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+# Rows up to which a small side is broadcast. Its rows are a key and a few numbers, so this many
+# stay below a hundred megabytes.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, label: str) -> DataFrame:
+    """Write a presumably small join side, count it, and mark it for broadcast only if it is small.
+
+    Otherwise the written table is returned as it is and the join shuffles.
+    """
+    written = stage(df, label)
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written

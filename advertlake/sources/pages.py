@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from advertlake.operators.windows import running_total
 from advertlake.schema import PAGE_SCHEMA, PARTITIONS
+from advertlake.session import small_side, stage
 
 # A file holds a page per line or an archive that wraps the pages of one run.
 UNREADABLE = "_unreadable"
@@ -57,40 +58,54 @@ def parse_pages(payloads: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def _page_sizes(pages: DataFrame, run: Sequence[str]) -> DataFrame:
-    """Page numbers with their row counts and the total page 1 advertised; no advert is carried."""
-    sizes = pages.select(
-        *run, "page", "count", F.greatest(F.size("results"), F.lit(0)).cast("long").alias("n")
+def _page_totals(pages: DataFrame, run: Sequence[str]) -> DataFrame:
+    """Per page its rows, the running total and the number page 1 advertised.
+
+    No advert is carried. The page sizes are written once: they cost a pass over the payloads, and
+    everything after works on that narrow table.
+    """
+    sizes = stage(
+        pages.select(
+            *run, "page", "count", F.greatest(F.size("results"), F.lit(0)).cast("long").alias("n")
+        ),
+        "page-sizes",
     )
     totals = running_total(sizes.select(*run, "page", "n"), by=run, position="page", value="n", output="fetched")
-    advertised = sizes.groupBy(*run).agg(
-        F.coalesce(F.max(F.when(F.col("page") == 1, F.col("count"))), F.lit(0)).alias("advertised")
-    )
-    return totals.join(advertised, list(run))
+    first = F.max(F.when(F.col("page") == 1, F.col("count")))
+    advertised = sizes.groupBy(*run).agg(F.coalesce(first, F.lit(0)).alias("advertised"))
+    return totals.join(small_side(advertised, "advertised"), list(run))
 
 
-def last_pages(pages: DataFrame, *, max_pages: int | None = None, run: Sequence[str] = PARTITIONS) -> DataFrame:
-    """Last page to read per run: the cap, the first empty page, or the page that reaches the total."""
-    sizes = _page_sizes(pages, run)
+def _last_page(totals: DataFrame, max_pages: int | None, run: Sequence[str]) -> DataFrame:
     reached = (F.col("advertised") > 0) & (F.col("fetched") >= F.col("advertised"))
     stop = F.min(F.when((F.col("n") == 0) | reached, F.col("page")))
     last = F.coalesce(stop, F.max("page"))
     if max_pages is not None:
         last = F.least(last, F.lit(max_pages))
-    return sizes.groupBy(*run).agg(last.alias("last_page"))
+    return totals.groupBy(*run).agg(last.alias("last_page"))
+
+
+def last_pages(pages: DataFrame, *, max_pages: int | None = None, run: Sequence[str] = PARTITIONS) -> DataFrame:
+    """Last page to read per run: the cap, the first empty page, or the page that reaches the total."""
+    return _last_page(_page_totals(pages, run), max_pages, run)
 
 
 def cut_pages(pages: DataFrame, *, max_pages: int | None = None, run: Sequence[str] = PARTITIONS) -> DataFrame:
-    """The pages a sequential reader would have read before it stopped."""
-    last = last_pages(pages, max_pages=max_pages, run=run)
+    """The pages a sequential reader would have read before it stopped.
+
+    The last pages are one row per run, so the pages themselves meet them without a shuffle.
+    """
+    last = small_side(last_pages(pages, max_pages=max_pages, run=run), "last-pages")
     return pages.join(last, list(run)).filter(F.col("page") <= F.col("last_page")).drop("last_page")
 
 
 def page_audit(pages: DataFrame, *, max_pages: int | None = None, run: Sequence[str] = PARTITIONS) -> DataFrame:
     """``(run, pages, fetched, advertised, complete)`` over the pages kept by the cut-off."""
-    sizes = _page_sizes(pages, run).join(last_pages(pages, max_pages=max_pages, run=run), list(run))
+    totals = _page_totals(pages, run)
+    last = small_side(_last_page(totals, max_pages, run), "last-pages")
     return (
-        sizes.filter(F.col("page") <= F.col("last_page"))
+        totals.join(last, list(run))
+        .filter(F.col("page") <= F.col("last_page"))
         .groupBy(*run)
         .agg(
             F.count(F.lit(1)).alias("pages"),

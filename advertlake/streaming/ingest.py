@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from advertlake.operators.windows import keep_first
 from advertlake.schema import CLEAN_SCHEMA, PARTITIONS, SNAPSHOT_KEY
+from advertlake.session import stage
 from advertlake.sources.store import save_replaced
 
 
@@ -42,7 +43,7 @@ def stream_into_table(
 
     def load(batch: DataFrame, _: int) -> None:
         order = [F.desc_nulls_last(c) for c in last_by]
-        latest = keep_first(batch, key, order)
+        latest = stage(keep_first(batch, key, order), "micro-batch")
         save_replaced(batch.sparkSession, table_path, latest, schema=schema, key=key, partitions=partitions)
 
     return (
