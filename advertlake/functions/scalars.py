@@ -46,9 +46,14 @@ def is_ascii(text: Column) -> Column:
     return F.octet_length(text) == F.length(text)
 
 
+def to_squeeze(spaces: str) -> str:
+    """Runs of a character class that are not a single blank already: most blanks need no rewriting."""
+    return f"{spaces}(?:(?<! )|{spaces}){spaces}*+"
+
+
 def collapse_whitespace(text: Column) -> Column:
-    narrow = F.regexp_replace(text, f"{ASCII_WHITESPACE}+", " ")
-    wide = F.regexp_replace(text, f"{WHITESPACE}+", " ")
+    narrow = F.regexp_replace(text, to_squeeze(ASCII_WHITESPACE), " ")
+    wide = F.regexp_replace(text, to_squeeze(WHITESPACE), " ")
     return F.btrim(F.when(is_ascii(text), narrow).otherwise(wide))
 
 

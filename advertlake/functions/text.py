@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from advertlake.functions.scalars import is_ascii
+from advertlake.functions.scalars import is_ascii, to_squeeze
 from advertlake.functions.taxonomy import (
     ROLE_NON_TECHNICAL,
     ROLE_TECHNICAL,
@@ -49,8 +49,8 @@ def normalize_text(text: Column) -> Column:
     out = F.regexp_replace(nfkd(given), "<[^>]+>", " ")
     out = F.replace(out, F.lit("&nbsp;"), F.lit(" "))
     # Control characters and white space in one pass. The class for ASCII text is a bit map.
-    narrow = F.regexp_replace(out, r"[\x00-\x20\x7f]+", " ")
-    wide = F.regexp_replace(out, r"[\x00-\x20\x7f\x85\p{Z}]+", " ")
+    narrow = F.regexp_replace(out, to_squeeze(r"[\x00-\x20\x7f]"), " ")
+    wide = F.regexp_replace(out, to_squeeze(r"[\x00-\x20\x7f\x85\p{Z}]"), " ")
     return F.lower(F.btrim(F.when(is_ascii(given), narrow).otherwise(wide)))
 
 

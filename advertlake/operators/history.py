@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from advertlake.session import small_side
+
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
 
@@ -142,8 +144,9 @@ def with_version(
     """Add ``<name>_version`` of the version valid at the fact's date; no version gives null.
 
     The join is an equi-join on the business key with the interval as a residual, and versions do
-    not overlap, so a fact row meets one version. A key that owns many facts is split by adaptive
-    skew handling (the fact side is the preserved side of a left join).
+    not overlap, so a fact row meets one version. A dimension that is small by count is broadcast,
+    so facts are not shuffled on a key with few values; with a large one, such as jobs, a key that
+    owns many facts is split by adaptive skew handling (a left join may split its left side).
     """
     lookup = dimension_table.select(
         *[F.col(c).alias(f"_k_{c}") for c in dimension.key],
@@ -153,7 +156,7 @@ def with_version(
     )
     on = [F.col(c) == F.col(f"_k_{c}") for c in dimension.key]
     on += [F.col("_from") <= F.col(at), F.col("_to").isNull() | (F.col(at) < F.col("_to"))]
-    joined = fact.join(lookup, on, "left")
+    joined = fact.join(small_side(lookup, f"{dimension.name}-versions"), on, "left")
     return joined.drop(*[f"_k_{c}" for c in dimension.key], "_from", "_to")
 
 

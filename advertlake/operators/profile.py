@@ -156,10 +156,10 @@ def geo_complete(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, value: Column, bins: int = 40) -> DataFrame:
     """``(bin, low, high, n)`` with equal widths; the maximum belongs to the last bin, empty bins count 0."""
     values = df.select(value.cast("double").alias("v")).filter("v is not null and not isnan(v)")
-    bounds = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    # A constant column gets one unit of width around its value.
-    lo = bounds.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo"))).scalar()
-    hi = bounds.select(F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi"))).scalar()
+    bounds = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+    lo, hi = (0.0, 1.0) if bounds.lo is None else (bounds.lo, bounds.hi)
+    if lo == hi:  # a constant column gets one unit of width around its value
+        lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
 
     def edge(i: Column) -> Column:

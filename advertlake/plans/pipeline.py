@@ -15,7 +15,7 @@ from advertlake.operators.enrich import enrich_ads
 from advertlake.operators.quality import assert_quality, quality_checks, quality_passed
 from advertlake.plans.warehouse import Warehouse
 from advertlake.schema import CLEAN_SCHEMA, HISTORY_KEY, HISTORY_SCHEMA
-from advertlake.session import configure, spread_scan, stage
+from advertlake.session import configure, fit_shuffles, spread_scan, stage
 from advertlake.sources import layers, pages, store
 
 JOBS_MASTER = "processed/jobs_master"
@@ -78,7 +78,8 @@ def run_pipeline(
     ingest_date = instant.astimezone(timezone.utc).date().isoformat()
     of_run = (F.col("ingest_date") == ingest_date) & F.col("country").isin(list(countries))
 
-    payloads = spread_scan(pages.read_payloads(spark, search_path, whole_files=whole_files).filter(of_run))
+    landed = pages.read_payloads(spark, search_path, whole_files=whole_files).filter(of_run)
+    payloads = spread_scan(fit_shuffles(landed))
     parsed = pages.parse_pages(payloads)
     read = pages.cut_pages(parsed, max_pages=max_pages)
     ads = stage(pages.explode_ads(read), "ads")

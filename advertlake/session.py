@@ -45,7 +45,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below one folder per application, which can be removed once the application ended."""
+    app = spark.conf.get("spark.app.id", "app")
+    return f"{checkpoint_folder(spark)}/advertlake/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -69,9 +71,9 @@ def spread_scan(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-# Rows up to which a small side is broadcast. Its rows are a key and a few numbers, so this many
-# stay below a hundred megabytes.
-BROADCAST_ROWS = 500_000
+# Rows up to which a small side is broadcast. Its rows are a short key and a few short values, so
+# this many stay well below a hundred megabytes.
+BROADCAST_ROWS = 200_000
 
 
 def small_side(df: DataFrame, label: str) -> DataFrame:
@@ -81,3 +83,21 @@ def small_side(df: DataFrame, label: str) -> DataFrame:
     """
     written = stage(df, label)
     return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+
+
+def fit_shuffles(df: DataFrame) -> DataFrame:
+    """Raise the number of shuffle partitions to the size of ``df`` as the scan reports it.
+
+    A partition then holds what a task can sort in memory. Adaptive execution merges partitions
+    that turn out small; it cannot split one that was planned too large, hence never too few.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(-(-size // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return df

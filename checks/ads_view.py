@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advertlake.session import spread_scan
+from advertlake.session import fit_shuffles, spread_scan
 
 INGESTED_AT = "2026-09-03 12:00:00"
 INGEST_DATE = "2026-09-03"
@@ -108,7 +108,7 @@ TEXT_TABLES = ("documents", "pages", "conversations")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = fit_shuffles(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
     return spread_scan(df) if name in TEXT_TABLES else df
 
 
@@ -143,7 +143,7 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sizes = ads.groupBy("country").agg(F.count(F.lit(1)).alias("count"), F.max("page").alias("last"))
     empty = sizes.select("country", (F.col("last") + 1).alias("page"), F.lit(None).cast(full.schema["r"].dataType).alias("r"))
-    pages = full.unionByName(empty).join(sizes.select("country", "count"), "country")
+    pages = full.unionByName(empty).join(F.broadcast(sizes.select("country", "count")), "country")  # two countries
     results = F.transform("r", lambda x: x["ad"])
     payload = F.to_json(F.struct("count", "page", results.alias("results")))
     return pages.select(payload.alias("value"), F.lit(INGEST_DATE).alias("ingest_date"), "country")

@@ -180,3 +180,43 @@ def test_snapshot_fact_and_dates(spark):
     assert [r.company_version is None for r in sorted(got, key=lambda r: r.job_id)] == [False, False, True, True]
     days = H.date_dimension(snaps).orderBy("day").collect()
     assert [str(r.day) for r in days] == ["2026-09-03", "2026-09-04", "2026-09-05"] and days[0].iso_weekday == 4
+
+
+def test_sides_are_broadcast_only_when_counted_small(spark, monkeypatch):
+    from advertlake import session
+
+    fact = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    side = spark.range(50).select(F.col("id").alias("k"))
+    plan = lambda: fact.join(session.small_side(side, "side"), "k")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan()
+        monkeypatch.setattr(session, "BROADCAST_ROWS", 49)
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scratch_folder_is_the_one_the_cluster_names(spark):
+    from advertlake import session
+
+    assert session.checkpoint_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    staged = session.stage(spark.range(3), "probe")
+    assert staged.count() == 3 and staged.inputFiles()[0].split("://")[-1].lstrip("/").startswith(
+        spark.conf.get("spark.checkpoint.dir").lstrip("/")
+    )
+
+
+def test_shuffles_grow_with_the_scan(spark, folder, monkeypatch):
+    from advertlake import session
+
+    spark.range(100000).write.parquet(f"{folder}/t")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        session.fit_shuffles(spark.read.parquet(f"{folder}/t"))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        monkeypatch.setattr(session, "SHUFFLE_PARTITION_BYTES", 10_000)
+        session.fit_shuffles(spark.read.parquet(f"{folder}/t"))
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
