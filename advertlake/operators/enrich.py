@@ -50,13 +50,24 @@ def enrich_ads(
     )
 
 
+def exploded_hits(
+    df: DataFrame, text: Column, taxonomy: Taxonomy = SKILLS, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per hit.
+
+    For a plain explode the optimizer would filter on the size of the array first and so scan every
+    text three times; the outer form is not rewritten, and its null rows are dropped afterwards.
+    """
+    scanned = with_hits(df, text, taxonomy)
+    return scanned.select(*by, F.explode_outer("hits").alias("term")).filter("term is not null")
+
+
 def term_counts(
     df: DataFrame, *, text: Column | None = None, taxonomy: Taxonomy = SKILLS, by: Sequence[str] = ()
 ) -> DataFrame:
     """Hits per term (and group columns ``by``). Exploded hits combine before the shuffle."""
-    scanned = with_hits(df, advert_text() if text is None else text, taxonomy)
     return (
-        scanned.select(*by, F.explode("hits").alias("term"))
+        exploded_hits(df, advert_text() if text is None else text, taxonomy, by)
         .groupBy(*by, "term")
         .agg(F.count(F.lit(1)).alias("mentions"))
     )

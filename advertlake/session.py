@@ -61,14 +61,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Size of what ``df`` reads, by the optimizer's estimate after folder pruning."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+# Below this size per core a scan may split into fewer parts than there are cores.
+SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
+
+
 def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores if its files split into fewer parts than there are cores.
+    """Spread a small scan over all cores; a large one stays as it is, without a shuffle.
 
-    Row-local text work costs far more than moving the rows once. A large table has many more parts
-    than cores and stays as it is, without a shuffle.
+    Row-local text work costs far more than moving a few rows once, and a small file is often a
+    single part that one core would work on alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if scanned_bytes(df) < cores * SPREAD_BYTES_PER_CORE else df
 
 
 # Rows up to which a small side is broadcast. Its rows are a short key and a few short values, so
@@ -96,8 +105,7 @@ def fit_shuffles(df: DataFrame) -> DataFrame:
     that turn out small; it cannot split one that was planned too large, hence never too few.
     """
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(-(-size // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
+    wanted = min(-(-scanned_bytes(df) // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return df

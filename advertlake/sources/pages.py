@@ -49,7 +49,8 @@ def parse_pages(payloads: DataFrame, value: str = "value") -> DataFrame:
     lost = F.col(f"doc.{UNREADABLE}").isNotNull() & F.col("doc.results").isNull()
     broken = F.raise_error(F.concat(F.lit("not a page: "), F.substring(f"doc.{UNREADABLE}", 1, 80)))
     pages = F.coalesce(F.col("doc.responses"), F.when(lost, broken.cast(T.ArrayType(PAGE_SCHEMA))).otherwise(single))
-    exploded = parsed.select(*others, F.posexplode(pages).alias("_at", "p"))
+    # The outer form, because a plain explode is preceded by a filter that parses the text again.
+    exploded = parsed.select(*others, F.posexplode_outer(pages).alias("_at", "p")).filter("p is not null")
     return exploded.select(
         *others,
         F.col("p.count").alias("count"),
@@ -159,7 +160,8 @@ def normalise_history(payloads: DataFrame, value: str = "value", country: str =
     )
     days = (
         payloads.select(country, history.alias("history"))
-        .select(country, F.explode(F.coalesce(F.map_entries(as_map), as_pairs)).alias("entry"))
+        .select(country, F.explode_outer(F.coalesce(F.map_entries(as_map), as_pairs)).alias("entry"))
+        .filter("entry is not null")
         .select(country, F.col("entry.key").alias("day"), F.col("entry.value").alias("v"))
     )
     is_object = F.schema_of_variant("v").startswith("OBJECT")

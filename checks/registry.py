@@ -353,7 +353,7 @@ SELECT job_id, country, term, count(*) AS n FROM terms GROUP BY 1, 2, 3""")
 def skill_matches(spark, sf_dir):
     scanned = E.with_hits(cleaned(spark, sf_dir), E.advert_text())
     match = scanned.select("job_id", "country", X.skill_match(F.col("hits")).alias("m"))
-    return match.select("job_id", "country", F.explode("m.terms").alias("term", "n"))
+    return match.select("job_id", "country", F.explode_outer("m.terms").alias("term", "n")).filter("term is not null")
 
 
 @query(ctes(S.FLAGS) + "SELECT job_id, country, ai_total_mentions, created_at::VARCHAR AS created_at FROM flags WHERE ai_mentioned")
@@ -500,6 +500,12 @@ def labelled_flags(spark, sf_dir):
     )
 
 
+@query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS} FROM weekly WHERE week IS NOT NULL ORDER BY week DESC, country DESC, role_class DESC LIMIT 8")
+def last_weekly_rows(spark, sf_dir):
+    dated = weekly(spark, sf_dir).filter("week is not null")
+    return top_k(dated, 8, [F.desc("week"), F.desc("country"), F.desc("role_class")])
+
+
 # -- trend -------------------------------------------------------------------------------------
 
 
@@ -876,13 +882,13 @@ def correction(days: DataFrame) -> DataFrame:
 
 @query(CORRECTED)
 def merge_keep_last(spark, sf_dir):
-    days = snapshots(spark, sf_dir)
+    days = stage(snapshots(spark, sf_dir), "days")
     return M.merge_keep_last(days, correction(days))
 
 
 @query(CORRECTED)
 def replace_by_key(spark, sf_dir):
-    days = snapshots(spark, sf_dir)
+    days = stage(snapshots(spark, sf_dir), "days")
     return M.replace_by_key(days, correction(days))
 
 
@@ -893,6 +899,13 @@ def keep_last_snapshot(spark, sf_dir):
     return keep_first(days, ["job_id", "country"], [F.desc("ingest_date")])
 
 
+@query(ctes(S.SNAPSHOTS) + """SELECT job_id, country, ingest_date, CAST(created_at AS VARCHAR) AS created_at FROM snapshots
+ORDER BY ingest_date, created_at ASC NULLS LAST, job_id""")
+def master_order(spark, sf_dir):
+    days = snapshots(spark, sf_dir).select("job_id", "country", "ingest_date", "created_at")
+    return M.master_sorted(days)
+
+
 @query(ctes(S.SNAPSHOTS) + """SELECT DISTINCT ingest_date, country FROM snapshots WHERE ingest_date > '2026-09-02'""")
 def pending_partitions(spark, sf_dir):
     folders = snapshots(spark, sf_dir).select("ingest_date", "country").distinct()
@@ -988,7 +1001,7 @@ def _register_dimension(dimension: H.Dimension) -> None:
 
     @query(sql, f"dimension_{dimension.name}_incremental")
     def stepwise(spark, sf_dir):
-        days = snapshots(spark, sf_dir)
+        days = stage(snapshots(spark, sf_dir), "days")
         dim = H.build_dimension(days.filter("ingest_date = '2026-09-01'"), dimension)
         for day in ("2026-09-02", "2026-09-03"):
             dim = H.extend_dimension(stage(dim, "dim"), days.filter(F.col("ingest_date") == day), dimension)
@@ -1028,7 +1041,7 @@ SELECT s.job_id, s.country, s.ingest_date, CAST(replace(s.ingest_date, '-', '')
   company.version_id AS company_version, category.version_id AS category_version, s.salary_min, s.salary_max
 FROM snapshots s {_JOINED}""")
 def snapshot_fact(spark, sf_dir):
-    days = snapshots(spark, sf_dir)
+    days = stage(snapshots(spark, sf_dir), "days")
     tables = {d.name: H.build_dimension(days, d) for d in _FACT_DIMENSIONS}
     return H.snapshot_fact(days, tables)
 
