@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from advertlake.llm import secrets, urls
+from advertlake.llm import lengths, secrets, tokenfiles, urls
 from advertlake.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,18 @@ def op1_secret_scans(spark, sf_dir):
     return secrets.secret_digest(table(spark, sf_dir, "documents"), ledger)
 
 
+@query()
+def op3_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path)
+    return tokenfiles.read_digests(spark, path)
+
+
+@query()
+def op8_token_counts(spark, sf_dir):
+    return lengths.length_histogram(table(spark, sf_dir, "documents"))
+
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
 
 
