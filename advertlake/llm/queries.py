@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from advertlake.llm import lengths, secrets, tokenfiles, urls
+from advertlake.llm import attention, lengths, quality, secrets, tokenfiles, urls
 from advertlake.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,12 @@ def op3_token_files(spark, sf_dir):
     return tokenfiles.read_digests(spark, path)
 
 
+@query()
+def op5_quality_rules(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return quality.judge_quality(documents, quality.fit_quality(documents, table(spark, sf_dir, "labels")))
+
+
 @query()
 def op8_token_counts(spark, sf_dir):
     return lengths.length_histogram(table(spark, sf_dir, "documents"))
@@ -117,3 +123,10 @@ FROM p LEFT JOIN f ON p.page_id = f.page_id AND k = 1
 def op9_url_filters(spark, sf_dir):
     rules = spark.createDataFrame(urls.RULES, urls.RULE_SCHEMA)
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query()
+def op10_quality_classifier(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    model = attention.fit_passage_classifier(documents, table(spark, sf_dir, "labels"))
+    return attention.score_documents(documents, model)
