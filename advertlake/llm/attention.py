@@ -118,7 +118,7 @@ class GatedAttention:
 
 
 def fit_attention(
-    texts: Sequence[str], labels: Sequence[int], *, steps: int = 250, rate: float = 0.02, decay: float = 1e-3, seed: int = 7
+    texts: Sequence[str], labels: Sequence[int], *, steps: int = 150, rate: float = 0.02, decay: float = 1e-3, seed: int = 7
 ) -> GatedAttention:
     """Gradient steps over all bags. Both labels weigh the same; without both of them every score is a half."""
     rng = np.random.default_rng(seed)

@@ -177,14 +177,21 @@ def calibration(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     if not ones or not zeros:
         return 1.0, 0.0
     target = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
-    a, b = 1.0, 0.0
+    def loss(x: np.ndarray) -> float:
+        z = x[0] * logits + x[1]
+        return float((np.logaddexp(0, z) - target * z).sum() + 0.05 * (x[0] - 1) ** 2)
+
+    at = np.array([1.0, 0.0])
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a * logits + b, -500, 500)))
+        p = 1 / (1 + np.exp(-np.clip(at[0] * logits + at[1], -500, 500)))
         w = p * (1 - p) + 1e-9
-        gradient = np.array([((p - target) * logits).sum(), (p - target).sum()])
-        curve = np.array([[(w * logits * logits).sum() + 1e-3, (w * logits).sum()], [(w * logits).sum(), w.sum() + 1e-3]])
+        gradient = np.array([((p - target) * logits).sum() + 0.1 * (at[0] - 1), (p - target).sum()])
+        curve = np.array([[(w * logits * logits).sum() + 0.1, (w * logits).sum()], [(w * logits).sum(), w.sum()]])
         step = np.linalg.solve(curve, gradient)
-        a, b = a - step[0], b - step[1]
+        while loss(at - step) > loss(at) and abs(step).max() > 1e-9:
+            step = step / 2
+        at = at - step
+    a, b = at
     return (float(a), float(b)) if a > 0 else (1.0, 0.0)
 
 
