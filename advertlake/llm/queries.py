@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from advertlake.llm import attention, lengths, quality, secrets, tokenfiles, urls
+from advertlake.llm import attention, decontaminate, lengths, mixing, quality, secrets, tokenfiles, urls
 from advertlake.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,17 @@ def op5_quality_rules(spark, sf_dir):
     return quality.judge_quality(documents, quality.fit_quality(documents, table(spark, sf_dir, "labels")))
 
 
+@query(mixing.sample_sql())
+def op6_mixed_sample(spark, sf_dir):
+    sampled = mixing.sample_to_targets(table(spark, sf_dir, "documents"))
+    return sampled.select("doc_id", "_cell.*", F.col("_tokens").alias("n_tokens"), F.round("_probability", 9).alias("probability"))
+
+
+@query()
+def op7_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op8_token_counts(spark, sf_dir):
     return lengths.length_histogram(table(spark, sf_dir, "documents"))
