@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advertlake.llm import attention, decontaminate, lengths, mixing, quality, secrets, tokenfiles, urls
+from advertlake.llm import attention, decontaminate, lengths, mixing, ngram_join, quality, secrets, tokenfiles, urls
 from advertlake.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,26 @@ def op1_secret_scans(spark, sf_dir):
     return secrets.secret_digest(table(spark, sf_dir, "documents"), ledger)
 
 
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS x FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(x) < 5 THEN array_to_string(x, ' ') ELSE array_to_string(x[i : i + 4], ' ') END AS s
+      FROM (SELECT doc_id, x, unnest(range(1, greatest(len(x) - 3, 2))) AS i FROM w WHERE len(x) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(v, root) AS (SELECT a, a FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.v WHERE r.root < e.b),
+c AS (SELECT v, min(root) AS root FROM r GROUP BY v)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(c.root, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.v = w.doc_id
+""".format(upper=urls.UPPER, lower=urls.LOWER)
+
+
+@query(_JACCARD_SQL)
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_token_files(spark, sf_dir):
     path = scratch_path(spark, "token-files")
