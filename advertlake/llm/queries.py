@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advertlake.llm import attention, decontaminate, lengths, mixing, ngram_join, quality, secrets, tokenfiles, urls
+from advertlake.llm import attention, decontaminate, lengths, mixing, ngram_join, quality, run_index, secrets, tokenfiles, urls
 from advertlake.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,9 +29,15 @@ def query(sql: str | None = None):
     return register
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """Batches of a few megabytes of text for the tasks that take Arrow batches."""
+    """Batches of a few megabytes of text, and workers that find this package where it is not installed."""
     configure(spark)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [ROOT])
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
@@ -114,6 +121,11 @@ def op3_token_files(spark, sf_dir):
     return tokenfiles.read_digests(spark, path)
 
 
+@query()
+def op4_repeated_spans(spark, sf_dir):
+    return run_index.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_quality_rules(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
