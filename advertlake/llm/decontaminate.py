@@ -165,6 +165,6 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``documents`` that overlap no item, with their own columns."""
     for index in seed_indexes(benchmark):
-        rated = documents.withColumn("_hits", F.size(overlap_hits(F.col("text"), index)))
-        documents = rated.filter("_hits = 0").drop("_hits")
+        rated = documents.select(F.struct("*").alias("row"), F.size(overlap_hits(F.col("text"), index)).alias("hits"))
+        documents = rated.filter("hits = 0").select("row.*")
     return documents

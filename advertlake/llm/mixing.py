@@ -92,31 +92,29 @@ def rake(cells: Mapping[tuple[str, str, str], int], targets: Mapping[str, Mappin
 
 
 def described(documents: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> DataFrame:
-    """``documents`` with ``_cell`` (bucketed source, language and topic) and ``_tokens``."""
-    topic = topic_of(F.col("text"))
+    """``row`` (the columns of ``documents``), ``cell`` (bucketed source, language and topic) and ``n_tokens``."""
     cell = F.struct(
         bucket(F.col("source"), targets["source"]).alias("source"),
         bucket(F.col("lang"), targets["lang"]).alias("lang"),
-        bucket(topic, targets["topic"]).alias("topic"),
+        bucket(topic_of(F.col("text")), targets["topic"]).alias("topic"),
     )
-    return documents.withColumns({"_cell": cell, "_tokens": token_count(F.col("text"))})
+    return documents.select(F.struct("*").alias("row"), cell.alias("cell"), token_count(F.col("text")).alias("n_tokens"))
 
 
 def raked_cells(documents: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, rounds: int = ROUNDS) -> Raked:
-    sums = described(documents.select("text", "source", "lang"), targets).groupBy("_cell").agg(F.sum("_tokens").alias("n"))
+    sums = described(documents.select("text", "source", "lang"), targets).groupBy("cell").agg(F.sum("n_tokens").alias("n"))
     # at most one row per combination of target values
-    cells = {(r["_cell"]["source"], r["_cell"]["lang"], r["_cell"]["topic"]): r["n"] for r in sums.collect()}
+    cells = {(r["cell"]["source"], r["cell"]["lang"], r["cell"]["topic"]): r["n"] for r in sums.collect()}
     return rake(cells, targets, rounds)
 
 
-def with_probability(documents: DataFrame, raked: Raked, targets: Mapping[str, Mapping[str, float]] = TARGETS) -> DataFrame:
-    """``documents`` with ``_cell``, ``_tokens`` and ``_probability``; cells without tokens have probability 0."""
+def rated(documents: DataFrame, raked: Raked, targets: Mapping[str, Mapping[str, float]] = TARGETS) -> DataFrame:
+    """``described`` rows with their ``probability``; those of cells without tokens have probability 0."""
     rows = [(*k, p) for k, p in raked.probabilities.items()]
-    known = documents.sparkSession.createDataFrame(rows, "_s string, _l string, _t string, _p double")
-    d = described(documents, targets)
-    same = (F.col("_cell.source") == F.col("_s")) & (F.col("_cell.lang") == F.col("_l")) & (F.col("_cell.topic") == F.col("_t"))
-    joined = d.join(F.broadcast(known), same, "left")  # bounded by the target lists
-    return joined.withColumn("_probability", F.coalesce("_p", F.lit(0.0))).drop("_s", "_l", "_t", "_p")
+    known = documents.sparkSession.createDataFrame(rows, "s string, l string, t string, p double")
+    same = (F.col("cell.source") == F.col("s")) & (F.col("cell.lang") == F.col("l")) & (F.col("cell.topic") == F.col("t"))
+    joined = described(documents, targets).join(F.broadcast(known), same, "left")  # bounded by the target lists
+    return joined.select("row", "cell", "n_tokens", F.coalesce("p", F.lit(0.0)).alias("probability"))
 
 
 def sample_to_targets(
@@ -126,13 +124,13 @@ def sample_to_targets(
     rounds: int = ROUNDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """The sampled rows of ``documents`` with their own columns, and ``_cell, _tokens, _probability``.
+    """The sampled rows of ``documents`` (``doc_id, text, source, lang`` and any others): ``row, cell, n_tokens, probability``.
 
     A row stays if its id's number is below its cell's probability, so a run can be repeated row by row. Null sources
     and languages count as other ones; rows of a cell without words are not sampled; an empty table gives none.
     """
-    rated = with_probability(documents, raked_cells(documents, targets, rounds), targets)
-    return rated.filter(uniform(F.col("doc_id"), seed) < F.col("_probability"))
+    rows = rated(documents, raked_cells(documents, targets, rounds), targets)
+    return rows.filter(uniform(F.col("row.doc_id"), seed) < F.col("probability"))
 
 
 def sample_sql(targets: Mapping[str, Mapping[str, float]] = TARGETS, rounds: int = ROUNDS, seed: int = SEED) -> str:

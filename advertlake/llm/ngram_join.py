@@ -26,6 +26,7 @@ from pyspark.sql.functions import arrow_udf
 
 from advertlake.llm.components import connected
 from advertlake.llm.kernels import LOWER_VALUES, U64, Block, mix, prefix_hash, shingle_hashes, span_hash, text_blocks, words_of
+from advertlake.operators.windows import keep_first
 from advertlake.session import stage
 
 SHINGLE_WORDS = 5
@@ -251,6 +252,15 @@ def class_links(documents: DataFrame, classes: DataFrame, *, percent: int = PERC
     return connected(both, "ngram-components")
 
 
+def rooted_classes(documents: DataFrame, rows: DataFrame, *, percent: int, size: int) -> DataFrame:
+    """``k, least, root``: classes of equal sets in ``rows`` (``doc_id, n, k``), their smallest id and their component."""
+    classes = rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.min("doc_id").alias("least"))
+    classes = stage(classes, "ngram-classes")
+    roots = class_links(documents, classes, percent=percent, size=size)
+    rooted = classes.join(roots.withColumnRenamed("node", "k"), "k", "left")
+    return rooted.select("k", "least", F.coalesce("root", "k").alias("root"))
+
+
 def jaccard_components(documents: DataFrame, *, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
     """Per row of ``documents`` (``doc_id, text``): ``doc_id, n_shingles, component_id``.
 
@@ -261,23 +271,24 @@ def jaccard_components(documents: DataFrame, *, percent: int = PERCENT, size: in
     """
     rows = documents.select("doc_id", described(F.col("text"), size).alias("d")).select("doc_id", "d.n", "d.k")
     rows = stage(rows, "ngram-rows")
-    classes = stage(rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.min("doc_id").alias("least")), "ngram-classes")
-    roots = class_links(documents, classes, percent=percent, size=size)
-    rooted = classes.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
+    rooted = rooted_classes(documents, rows, percent=percent, size=size)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.select("k", "root").join(least, "root").select("k", "component_id")
+    known = rooted.join(least, "root").select("k", "component_id")
     full = rows.filter("n > 0").join(known, "k").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return full.unionByName(empty)
 
 
 def keep_representatives(documents: DataFrame, *, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
-    """One row of each component, that of the smallest id, and every row without words, with their own columns.
-
-    Where several rows have that id, one of them stays.
-    """
-    found = jaccard_components(documents, percent=percent, size=size)
-    best = found.filter("n_shingles > 0 AND doc_id = component_id").select("doc_id").distinct()
-    wordless = found.filter("n_shingles = 0").select("doc_id").distinct()
-    chosen = best.unionByName(wordless).distinct().withColumnRenamed("doc_id", "_kept_id")
-    return documents.join(chosen, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """One row of each component, one with its smallest id, and every row without words, with their own columns."""
+    carried = documents.select(F.struct("*").alias("row"), "doc_id", described(F.col("text"), size).alias("d"))
+    carried = carried.select("row", "doc_id", "d.n", "d.k")
+    rows = stage(carried.select("doc_id", "n", "k"), "ngram-rows")
+    rooted = rooted_classes(documents, rows, percent=percent, size=size)
+    # nulls order first, so a class with a true id goes before one without
+    chosen = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "k")).alias("first"))
+    chosen = chosen.select(F.col("first.least").alias("doc_id"), F.col("first.k").alias("k"))
+    same = carried["doc_id"].eqNullSafe(chosen["doc_id"]) & (carried["k"] == chosen["k"])
+    kept = carried.filter("n > 0").join(chosen, same, "left_semi")
+    kept = keep_first(kept, ["doc_id", "k"], ["k"])  # of repeated rows one
+    return kept.select("row.*").unionByName(carried.filter("n = 0").select("row.*"))

@@ -243,5 +243,5 @@ def judge_quality(documents: DataFrame, model: HashedRegression, keep_from: floa
 
 def keep_good(documents: DataFrame, model: HashedRegression, keep_from: float = KEEP_FROM) -> DataFrame:
     """The rows of ``documents`` that the rules keep, with their own columns."""
-    judged = documents.withColumn("_verdict", verdict(F.col("text"), model, keep_from))
-    return judged.filter("_verdict.kept").drop("_verdict")
+    judged = documents.select(F.struct("*").alias("row"), verdict(F.col("text"), model, keep_from).alias("verdict"))
+    return judged.filter("verdict.kept").select("row.*")

@@ -135,7 +135,7 @@ def op5_quality_rules(spark, sf_dir):
 @query(mixing.sample_sql())
 def op6_mixed_sample(spark, sf_dir):
     sampled = mixing.sample_to_targets(table(spark, sf_dir, "documents"))
-    return sampled.select("doc_id", "_cell.*", F.col("_tokens").alias("n_tokens"), F.round("_probability", 9).alias("probability"))
+    return sampled.select("row.doc_id", "cell.*", "n_tokens", F.round("probability", 9).alias("probability"))
 
 
 @query()

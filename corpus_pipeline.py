@@ -6,11 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from advertlake.session import stage
+from advertlake.llm import decontaminate, mixing, ngram_join, quality, tokenfiles
+from advertlake.llm.queries import prepared, table
+from advertlake.session import scratch_path, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the regression keep; the labels are those of the labelled rows among them."""
+    return quality.keep_good(docs, quality.fit_quality(docs, table(prepared(spark), sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near copies."""
+    prepared(spark)
+    return ngram_join.keep_representatives(docs)
+
+
+def benchmark_overlaps(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.without_contaminated(docs, table(prepared(spark), sf_dir, "benchmark"))
+
+
+def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose tokens meet the target weights."""
+    prepared(spark)
+    return mixing.sample_to_targets(docs).select("row.*")
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Files of token ids, and a row per document read back from them."""
+    path = scratch_path(prepared(spark), "pipeline-tokens")
+    tokenfiles.write_token_files(docs, path)
+    return tokenfiles.read_digests(spark, path)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", benchmark_overlaps),
+    ("target_mix", target_mix),
+    ("token_files", token_files),
+]
 
 # The first stage's model has no SQL form; tests hold every stage against a plain version.
 ORACLE_SQL = None
@@ -18,7 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage is written, and the next one reads what was written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(prepared(spark), sf_dir, "documents")
     for name, apply in STAGES:
         docs = stage(apply(spark, docs, sf_dir), name)
     return docs
