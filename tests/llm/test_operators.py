@@ -249,10 +249,10 @@ def test_repeat_removal_of_nothing(llm):
 
 
 def labelled(llm):
-    good = prose(20, 120)
-    bad = [" ".join(f"{w.upper()}!!" for w in t.split()) for t in prose(21, 60)] + [t.replace(" ", "### ") for t in prose(22, 60)]
+    good = prose(20, 240)
+    bad = [" ".join(f"{w.upper()}!!" for w in t.split()) for t in prose(21, 120)] + [t.replace(" ", "### ") for t in prose(22, 120)]
     rows = list(enumerate(good + bad))
-    labels = llm.createDataFrame([(i, int(i < 120), 0) for i, _ in rows] + [(None, 1, 0), (3, None, 0)], "doc_id bigint, quality int, toxic int")
+    labels = llm.createDataFrame([(i, int(i < 240), 0) for i, _ in rows] + [(None, 1, 0), (3, None, 0)], "doc_id bigint, quality int, toxic int")
     return rows, labels
 
 
@@ -262,10 +262,10 @@ def test_quality_rules_keep_the_good(llm):
     model = quality.fit_quality(docs, labels)
     got = {r["doc_id"]: r for r in quality.judge_quality(docs, model).collect()}
     long = [i for i, t in rows if len(t.split()) >= 10]
-    assert all(got[i]["kept"] == (i < 120) for i in long)
+    assert all(got[i]["kept"] == (i < 240) for i in long)
     assert all(got[i]["base_failed"] and not got[i]["kept"] for i in (500, 501, 502, 503))
     kept = quality.keep_good(docs, model)
-    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} - {None} == {i for i in long if i < 120}
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} - {None} == {i for i in long if i < 240}
     assert quality.judge_quality(frame(llm, []), model).count() == 0
     unlabelled = quality.fit_quality(docs, labels.limit(0))
     assert quality.judge_quality(docs, unlabelled).filter("NOT base_failed AND NOT kept").count() == 0
@@ -276,8 +276,8 @@ def test_attention_on_held_out_documents(llm):
     docs = frame(llm, [*rows, (500, None), (501, ""), (None, "x")])
     got = attention.score_documents(docs, attention.fit_passage_classifier(docs, labels)).collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got if r["doc_id"] is not None)
-    held = [r for r in got if r["held_out"] and (r["doc_id"] or 0) < 240]
-    right = sum(r["predicted"] == int(r["doc_id"] < 120) for r in held)
+    held = [r for r in got if r["held_out"] and (r["doc_id"] or 0) < 480]
+    right = sum(r["predicted"] == int(r["doc_id"] < 240) for r in held)
     assert len(held) > 50 and right >= 0.95 * len(held)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got) and len(got) == len(rows) + 3
 
