@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from advertlake.functions import scalars as S
-from advertlake.operators.windows import keep_first
+from advertlake.operators.windows import keep_first_sparse
 from advertlake.schema import CLEAN_SCHEMA, RAW_AD, SNAPSHOT_KEY, enforce_schema
 
 READING_ORDER = ("country", "page", "pos")
@@ -111,11 +111,12 @@ def clean_ads(
     """Clean snapshot rows and a one-row report of what was removed.
 
     Rows without an id go first, then repeated snapshots (the first in reading order stays), then
-    rows before the window. The report reads only the id, the date and the order columns.
+    rows before the window. The report reads only the id, the date and the order columns. Repeats are
+    found from the key columns alone; rows of other keys, with their texts, are not shuffled.
     """
     flat = flatten_ads(raw, ingested_at=ingested_at, keep=order_by, **flatten_options)
     order = [f"_{c}" for c in order_by]
-    kept = keep_first(flat.filter(has_id()), SNAPSHOT_KEY, order)
+    kept = keep_first_sparse(flat.filter(has_id()), SNAPSHOT_KEY, order, "repeated-ads")
     clean = enforce_schema(kept.filter(in_window(F.col("created_at"), start_date)), CLEAN_SCHEMA)
     return clean, _report(flat, order, start_date)
 

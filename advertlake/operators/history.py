@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from advertlake.session import small_side
+from advertlake.session import stage
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
 
@@ -26,7 +28,7 @@ DIMENSIONS = (
     Dimension("company", ("company_name",), ()),
     Dimension(
         "location",
-        ("location_display_name",),
+        ("country", "location_display_name"),
         ("location_area_0", "location_area_1", "location_area_2", "latitude", "longitude"),
     ),
     Dimension("category", ("category_tag",), ("category_label",)),
@@ -102,24 +104,66 @@ def extend_dimension(
     delta: DataFrame,
     dimension: Dimension,
     *,
+    loaded_until: str | None = None,
+    snapshots: DataFrame | None = None,
     at: str = "ingest_date",
     last_by: Sequence[str] = ("job_id",),
 ) -> DataFrame:
-    """The dimension after a batch of later snapshots; equal to building it from all snapshots.
-
-    Closed versions pass through unread. Open versions stand in for their keys' past: as a state at
-    their start they meet the new states. Snapshot dates must not lie before an open version's
-    start; for such late data build the dimension again.
+    """The dimension after a batch of snapshots; equal to building it from all of them.
+
+    ``loaded_until`` is the last day that ``current`` was built from. A delta of that day or later
+    needs the dimension alone: of each touched key the open version, and the one before it if the
+    open one began on a day that is sent again, meet the new states. All other versions pass through
+    unread. Versions do not tell on which days a state was seen again, so a delta with an earlier day
+    needs ``snapshots``, all rows stored so far: the touched keys are then built from these and the
+    delta, whose states replace those of the same day. Without them an earlier day is refused.
     """
     spec = {"key": dimension.key, "tracked": dimension.tracked, "at": at}
-    opened = current.filter("is_current").select(
-        *dimension.key, F.col("valid_from").alias(at), *dimension.tracked
-    )
     fresh = daily_states(delta, last_by=last_by, **spec)
-    # A state that arrives for a date already opened replaces it.
-    kept = opened.join(fresh.select(*dimension.key, at), [*dimension.key, at], "left_anti")
-    reopened = versions(kept.unionByName(fresh), **spec)
-    return current.filter("not is_current").unionByName(reopened)
+    if snapshots is None:
+        if loaded_until is None:
+            raise ValueError("loaded_until or snapshots is needed")
+        late = fresh.filter(F.col(at) < loaded_until)
+        if not late.isEmpty():
+            raise ValueError(f"a snapshot lies before {loaded_until}: pass the stored snapshots")
+    fresh = stage(fresh, f"{dimension.name}-states")
+    keys = list(dimension.key)
+    touched = fresh.groupBy(*keys).agg(F.min(at).alias("_from"))
+    if snapshots is not None:
+        known = daily_states(snapshots.join(touched.select(*keys), keys, "left_semi"), last_by=last_by, **spec)
+        past = known.join(fresh.select(*keys, at), [*keys, at], "left_anti")
+        untouched = current.join(touched.select(*keys), keys, "left_anti")
+        return untouched.select(*current.columns).unionByName(versions(past.unionByName(fresh), **spec))
+    # Of a touched key what ends on the delta's first day or later, or is open, is built again.
+    met = current.join(touched, keys, "left")
+    again = F.col("_from").isNotNull() & (F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("_from")))
+    passed = met.filter(~again).select(*current.columns)
+    opened = met.filter(again).select(*keys, F.col("valid_from").alias(at), *dimension.tracked)
+    kept = opened.join(fresh.select(*keys, at), [*keys, at], "left_anti")
+    return passed.unionByName(versions(kept.unionByName(fresh), **spec))
+
+
+def load_dimension(
+    current_path: str | None,
+    path: str,
+    delta: DataFrame,
+    dimension: Dimension,
+    *,
+    loaded_until: str | None = None,
+    snapshots: DataFrame | None = None,
+) -> DataFrame:
+    """A stored dimension one load further: read at ``current_path``, extended, written whole to ``path``.
+
+    The new version of the table has a folder of its own, so a load that is lost is repeated from the
+    old one, which the caller drops once the new one is in use. The first load has no old one.
+    """
+    spark = delta.sparkSession
+    if current_path is None:
+        return stage(build_dimension(delta, dimension), dimension.name, path)
+    schema = build_dimension(delta.limit(0), dimension).schema
+    current = spark.read.schema(schema).parquet(current_path)
+    extended = extend_dimension(current, delta, dimension, loaded_until=loaded_until, snapshots=snapshots)
+    return stage(extended, dimension.name, path)
 
 
 def date_dimension(snapshots: DataFrame, at: str = "ingest_date") -> DataFrame:
@@ -144,9 +188,10 @@ def with_version(
     """Add ``<name>_version`` of the version valid at the fact's date; no version gives null.
 
     The join is an equi-join on the business key with the interval as a residual, and versions do
-    not overlap, so a fact row meets one version. A dimension that is small by count is broadcast,
-    so facts are not shuffled on a key with few values; with a large one, such as jobs, a key that
-    owns many facts is split by adaptive skew handling (a left join may split its left side).
+    not overlap, so a fact row meets one version. The versions are written first, so adaptive
+    execution knows their size: small ones are broadcast, for others a key that owns many facts is
+    split (a left join may split its left side). Facts with a null in the key have no version; they
+    stay out of the join, so that they do not meet in one task.
     """
     lookup = dimension_table.select(
         *[F.col(c).alias(f"_k_{c}") for c in dimension.key],
@@ -156,8 +201,10 @@ def with_version(
     )
     on = [F.col(c) == F.col(f"_k_{c}") for c in dimension.key]
     on += [F.col("_from") <= F.col(at), F.col("_to").isNull() | (F.col(at) < F.col("_to"))]
-    joined = fact.join(small_side(lookup, f"{dimension.name}-versions"), on, "left")
-    return joined.drop(*[f"_k_{c}" for c in dimension.key], "_from", "_to")
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in dimension.key])
+    joined = fact.filter(keyed).join(stage(lookup, f"{dimension.name}-versions"), on, "left")
+    joined = joined.drop(*[f"_k_{c}" for c in dimension.key], "_from", "_to")
+    return joined.unionByName(fact.filter(~keyed).withColumn(f"{dimension.name}_version", F.lit(None).cast("string")))
 
 
 def snapshot_fact(

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from advertlake.operators.windows import seeded_sample, top_k
 from advertlake.schema import SNAPSHOT_KEY
-from advertlake.session import small_side, stage
+from advertlake.session import stage
 
+ACCURACY = 10000  # of approximate ranks: one in so many
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -69,7 +70,7 @@ def quantiles(
     value: str,
     probabilities: Sequence[float] = QUARTILES,
     approximate: bool = False,
-    accuracy: int = 10000,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """``(*by, q0, q1, …)``: linearly interpolated quantiles per group.
 
@@ -78,16 +79,25 @@ def quantiles(
     where its ranks start. A group may own every row; it is still spread over all tasks. The range
     partitions are written once so that both uses see the same boundaries.
     """
-    present = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     if approximate:
+        present = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         found = F.percentile_approx(F.col(value).cast("double"), list(probabilities), accuracy)
         out = present.groupBy(*by).agg(found.alias("_q"))
         return out.select(*by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probabilities))])
 
+    return _quantiles_of(counted_ranges(df, by=by, value=value), by, probabilities)
+
+
+def counted_ranges(df: DataFrame, *, by: Sequence[str], value: str) -> DataFrame:
+    """``(*by, _v, _n, _part)``: distinct values with their numbers, in written range partitions."""
+    present = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     counts = present.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    ranges = stage(
+    return stage(
         counts.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()), "quantile-ranges"
     )
+
+
+def _quantiles_of(ranges: DataFrame, by: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     in_group = Window.partitionBy(*by)
     parts = (
         ranges.groupBy(*by, "_part")
@@ -103,7 +113,7 @@ def quantiles(
     ranks = [rank for place in places for rank in (F.floor(place), F.ceil(place))]
     holds = [(F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_rows")) for rank in ranks]
     # Only the few parts that hold a wanted rank are read on; the others end here.
-    wanted = small_side(parts.filter(reduce(or_, holds)), "quantile-parts")
+    wanted = parts.filter(reduce(or_, holds))
     # Null-safe so that a null group keeps its quantiles.
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*by, "_part")]
     placed = ranges.alias("r").join(wanted.alias("p"), same).select("r.*", "p._start", "p._total")
@@ -156,6 +166,7 @@ def geo_complete(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, value: Column, bins: int = 40) -> DataFrame:
     """``(bin, low, high, n)`` with equal widths; the maximum belongs to the last bin, empty bins count 0."""
     values = df.select(value.cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    values = stage(values, "histogram-values")
     bounds = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     lo, hi = (0.0, 1.0) if bounds.lo is None else (bounds.lo, bounds.hi)
     if lo == hi:  # a constant column gets one unit of width around its value
@@ -197,16 +208,19 @@ def time_range(df: DataFrame, ts: str = "created_at") -> DataFrame:
     return df.agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
 
 
-def box_stats(df: DataFrame, *, by: str, value: str, reach: float = 1.5, approximate: bool = False) -> DataFrame:
-    """Quartiles and whiskers per group: the outermost values within ``reach`` quartile ranges."""
-    values = df.select(by, F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
-    quartile = small_side(quantiles(values, by=[by], value="_v", approximate=approximate), "quartiles")
+def box_stats(df: DataFrame, *, by: str, value: str, reach: float = 1.5) -> DataFrame:
+    """Quartiles and whiskers per group: the outermost values within ``reach`` quartile ranges.
+
+    Both come from one table of distinct values, so the input is read once.
+    """
+    values = df.select(by, F.col(value).cast("double").alias("_value"))
+    ranges = counted_ranges(values, by=[by], value="_value")
+    quartile = _quantiles_of(ranges, [by], QUARTILES)
     spread = F.col("q2") - F.col("q0")
     inside = F.col("_v").between(F.col("q0") - reach * spread, F.col("q2") + reach * spread)
-    counts = values.groupBy(by, "_v").agg(F.count(F.lit(1)).alias("_n"))
     same = F.col(f"c.{by}").eqNullSafe(F.col(f"q.{by}"))
     return (
-        counts.alias("c")
+        ranges.alias("c")
         .join(quartile.alias("q"), same)
         .groupBy(F.col(f"c.{by}").alias(by))
         .agg(

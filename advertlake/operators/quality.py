@@ -44,36 +44,39 @@ def quality_checks(
 ) -> tuple[DataFrame, DataFrame]:
     """``(checks, null_summary)``; the checks carry position, name, status and detail.
 
-    One global aggregate supplies every counter; only the duplicate count needs a grouping, which
-    shuffles the key columns and nothing else.
+    One pass: every counter is summed per key and then over the keys, whose surplus rows are the
+    duplicates. Only counters and key columns are shuffled. A NaN is a missing value.
     """
     missing = missing_columns(df, schema)
     present = set(df.columns)
 
     def count_where(condition: Column, *needs: str) -> Column:
-        return F.count_if(condition) if present.issuperset(needs) else F.lit(0).cast("long")
+        return F.count_if(condition) if present.issuperset(needs) else F.sum(F.lit(0).cast("long"))
+
+    def number(name: str) -> Column:
+        return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
 
     moment = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
-    created, lat, lon = F.col("created_at"), F.col("latitude"), F.col("longitude")
+    created, lat, lon = F.col("created_at"), number("latitude"), number("longitude")
+    low, high = number("salary_min"), number("salary_max")
     start = F.lit(start_date).cast("timestamp")
-    counters = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        count_where(F.col("job_id").isNull(), "job_id").alias("no_id"),
-        count_where(created < start, "created_at").alias("early"),
-        count_where(created > moment, "created_at").alias("future"),
-        count_where(F.col("salary_min") > F.col("salary_max"), "salary_min", "salary_max").alias("inverted"),
-        count_where(F.abs(lat) > 90, "latitude").alias("bad_lat"),
-        count_where(F.abs(lon) > 180, "longitude").alias("bad_lon"),
-        count_where(F.col("title").isNull(), "title").alias("no_title"),
-        count_where(created.isNull(), "created_at").alias("no_created"),
-    )
-    if present.issuperset(key):
-        repeats = df.groupBy(*key).count().agg(F.sum(F.col("count") - 1).alias("dupes"))
-        counters = counters.unionByName(repeats, allowMissingColumns=True)
-        # Two one-row frames folded into one; every counter is non-null in exactly one of them.
-        counters = counters.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counters.columns])
-    else:
-        counters = counters.withColumn("dupes", F.lit(0).cast("long"))
+    counted = {
+        "n": F.count(F.lit(1)),
+        "no_id": count_where(F.col("job_id").isNull(), "job_id"),
+        "early": count_where(created < start, "created_at"),
+        "future": count_where(created > moment, "created_at"),
+        "inverted": count_where(low > high, "salary_min", "salary_max"),
+        "bad_lat": count_where(F.abs(lat) > 90, "latitude"),
+        "bad_lon": count_where(F.abs(lon) > 180, "longitude"),
+        "no_title": count_where(F.col("title").isNull(), "title"),
+        "no_created": count_where(created.isNull(), "created_at"),
+    }
+    # without its key columns the table is one group, which combines before the shuffle
+    keys = list(key) if present.issuperset(key) else []
+    per_key = df.groupBy(*keys).agg(*[expr.alias(name) for name, expr in counted.items()])
+    repeats = F.col("n") - 1 if keys else F.lit(0)
+    sums = {**{name: F.col(name) for name in counted}, "dupes": repeats}
+    counters = per_key.agg(*[F.coalesce(F.sum(v), F.lit(0)).cast("long").alias(name) for name, v in sums.items()])
 
     return counters.select(F.inline(_check_rows(df, missing, key, start_date))), null_rates(df)
 
@@ -115,6 +118,27 @@ def _check_rows(df: DataFrame, missing: list[str], key: Sequence[str], start_dat
     return F.when(F.col("n") == 0, F.array(schema_row, empty_row)).otherwise(F.array(*rows))
 
 
+def extraction_checks(audit: DataFrame, rejected: DataFrame, lost_history: DataFrame | None = None) -> DataFrame:
+    """Check rows on what was read: unreadable pages and history entries, and runs short of their total."""
+    bad = rejected.agg(F.count(F.lit(1)).alias("pages"))
+    lost = F.lit(0).cast("long").alias("entries")
+    entries = bad.select(lost) if lost_history is None else lost_history.agg(F.count(F.lit(1)).alias("entries"))
+    short = audit.agg(F.count_if(~F.col("complete")).alias("short"), F.count(F.lit(1)).alias("runs"))
+    counted = bad.join(F.broadcast(entries)).join(F.broadcast(short))  # one row each
+
+    def check(position: int, name: str, count: str, severity: str, words: str) -> Column:
+        detail = F.concat(F.col(count).cast("string"), F.lit(f" {words}"))
+        values = (F.lit(position), F.lit(name), F.when(F.col(count) > 0, severity).otherwise("PASS"), detail)
+        return F.struct(*[value.alias(label) for label, value in zip(CHECK_COLUMNS, values)])
+
+    rows = [
+        check(11, "unreadable_pages", "pages", "FAIL", "pages left out as unreadable"),
+        check(12, "unreadable_history", "entries", "FAIL", "history payloads or entries left out as unreadable"),
+        check(13, "incomplete_runs", "short", "WARN", "runs with fewer adverts than advertised"),
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def quality_passed(checks: DataFrame) -> DataFrame:
     """One row ``passed``: nothing failed and the table was not empty."""
     blocking = (F.col("status") == "FAIL") | (F.col("name") == "row_count")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from advertlake.functions.scalars import period_start, week_label
 from advertlake.functions.taxonomy import GROUP_COLUMNS
+from advertlake.session import stage
 
 GROUP = ("country", "role_class")
 
@@ -58,13 +59,12 @@ def weekly_share(df: DataFrame) -> DataFrame:
 def latest_period(share: DataFrame, period: str = "week") -> DataFrame:
     """Rows of the most recent period; a null period is never the latest.
 
-    ``rank() = 1`` keeps, in every task, only the rows of its own latest period before they meet
-    in one task. The input is an aggregated series, so what meets there is a handful of groups,
-    and the series is computed once (a scalar subquery would compute it twice).
+    The series is written once; its largest period is one row, which meets the series in an equi-join,
+    so no task gets more of the series than any other.
     """
-    latest = F.rank().over(Window.orderBy(F.desc_nulls_last(period)))
-    ranked = share.withColumn("_rank", latest).filter("_rank = 1").drop("_rank")
-    return ranked.filter(F.col(period).isNotNull())
+    series = stage(share, "series")
+    latest = series.agg(F.max(period).alias("_latest"))
+    return series.join(F.broadcast(latest), F.col(period) == F.col("_latest")).drop("_latest")
 
 
 def latest_share(df: DataFrame, **options) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from advertlake.session import stage
+
 
 def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
     """First row of every key in a stated total order; null keys count as equal.
@@ -18,6 +20,24 @@ def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[Column | st
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def keep_first_sparse(
+    df: DataFrame, key: Sequence[str], order_by: Sequence[Column | str], label: str = "repeated-keys"
+) -> DataFrame:
+    """As ``keep_first`` where few keys repeat: only the rows of those are moved.
+
+    A first pass over the key columns finds the keys with more than one row. The others stay where
+    they are, with all their text; the join that parts them has the list of repeated keys as its
+    other side, which adaptive execution broadcasts when it is small. ``df`` is computed twice.
+    """
+    found = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    found = stage(found.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)]), label)
+    if found.isEmpty():
+        return df
+    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
+    repeated = keep_first(df.join(found, same, "left_semi"), key, order_by)
+    return df.join(found, same, "left_anti").unionByName(repeated)
+
+
 def top_k(
     df: DataFrame, k: int, order_by: Sequence[Column | str], by: Sequence[str] = ()
 ) -> DataFrame:

@@ -13,9 +13,10 @@ from advertlake.functions.taxonomy import SKILLS, Taxonomy
 from advertlake.operators.clean import clean_ads
 from advertlake.operators.enrich import enrich_ads
 from advertlake.operators.quality import assert_quality, quality_checks, quality_passed
+from advertlake.operators.quality import extraction_checks
 from advertlake.plans.warehouse import Warehouse
 from advertlake.schema import CLEAN_SCHEMA, HISTORY_KEY, HISTORY_SCHEMA
-from advertlake.session import configure, fit_shuffles, spread_scan, stage
+from advertlake.session import configure, remove, scratch_path, stage
 from advertlake.sources import layers, pages, store
 
 JOBS_MASTER = "processed/jobs_master"
@@ -24,7 +25,6 @@ HISTORY_MASTER = "processed/history_master"
 # Defaults of a run.
 DEFAULT_COUNTRIES = ("gb", "us")
 DEFAULT_START_DATE = "2026-01-01"
-DEFAULT_MAX_PAGES = 100
 
 
 @dataclass
@@ -55,7 +55,9 @@ def run_pipeline(
     history_path: str | None = None,
     countries: Sequence[str] = DEFAULT_COUNTRIES,
     start_date: str | None = DEFAULT_START_DATE,
-    max_pages: int | None = DEFAULT_MAX_PAGES,
+    cut: bool = False,
+    max_pages: int | None = None,
+    page_number: str | None = None,
     warehouse_root: str | None = None,
     export: bool = False,
     dry_run: bool = False,
@@ -68,8 +70,11 @@ def run_pipeline(
     """Extract, clean, check, load, analyse and export the payloads landed for one ingest date.
 
     The batch is parsed once and cleaned once: both results are written to the shared scratch
-    folder, and quality checks, layers and analysis read those tables. Quality is judged before
-    anything is loaded. Loading replaces by folder and by key, so a lost run can simply be repeated.
+    folder, which is freed at the end, and quality checks, layers and analysis read those tables.
+    Everything landed is loaded, each page once, unless ``cut`` asks for what a sequential reader
+    would have read, or ``max_pages`` for no more than that. Pages that cannot be read, and runs that
+    hold fewer adverts than were advertised, are checks of their own. Quality is judged before anything
+    is loaded. Loading replaces by folder and by key, so a lost run can simply be repeated.
     """
     if export and not warehouse_root:
         raise ValueError("export needs a warehouse_root")
@@ -78,24 +83,36 @@ def run_pipeline(
     ingest_date = instant.astimezone(timezone.utc).date().isoformat()
     of_run = (F.col("ingest_date") == ingest_date) & F.col("country").isin(list(countries))
 
-    landed = pages.read_payloads(spark, search_path, whole_files=whole_files).filter(of_run)
-    payloads = spread_scan(fit_shuffles(landed))
-    parsed = pages.parse_pages(payloads)
-    read = pages.cut_pages(parsed, max_pages=max_pages)
-    ads = stage(pages.explode_ads(read), "ads")
-    extraction = pages.page_audit(parsed, max_pages=max_pages).orderBy("country").collect()
+    scratch = scratch_path(spark, "run")
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        return stage(df, label, f"{scratch}/{label}")
+
+    payloads = pages.read_payloads(spark, search_path, whole_files=whole_files).filter(of_run)
+    documents = kept(pages.read_documents(payloads, page_number=page_number), "documents")
+    parsed, rejected = pages.good_pages(documents), pages.rejects(documents)
+    cut = cut or max_pages is not None
+    totals = pages.page_totals(parsed)
+    read = pages.cut_pages(parsed, max_pages=max_pages, totals=totals) if cut else pages.one_per_page(parsed)
+    ads = kept(pages.explode_ads(read), "ads")
+    audit = kept(pages.page_audit(parsed, max_pages=max_pages, totals=totals, cut=cut), "audit")
+    extraction = audit.orderBy("country").collect()
 
     clean, report = clean_ads(ads, ingested_at=instant, start_date=start_date, source=source)
-    clean = stage(clean, "clean")
+    clean = kept(clean, "clean")
     checks, nulls = quality_checks(clean, now=now or datetime.now(timezone.utc), start_date=start_date)
-    checks = stage(checks, "checks")
-    if fail_on_validation:
-        assert_quality(checks)
-
-    history_payloads = history = None
+    history_payloads = history = lost = None
     if history_path:
         history_payloads = pages.read_payloads(spark, history_path, whole_files=whole_files).filter(of_run)
-        history = stage(pages.normalise_history(history_payloads), "history")
+        entries = kept(pages.read_history(history_payloads), "history")
+        history = entries.filter("reason is null").drop("reason", "sample")
+        lost = entries.filter("reason is not null")
+    found = extraction_checks(audit, rejected, lost)
+    checks = checks.unionByName(found)
+    # the two results that outlive the run's scratch
+    checks, nulls = stage(checks, "checks"), stage(nulls, "nulls").orderBy(F.desc("null_rate"), "column")
+    if fail_on_validation:
+        assert_quality(checks)
 
     written = layers.write_layers(
         root=root,
@@ -133,7 +150,7 @@ def run_pipeline(
     )
 
     if warehouse_root:
-        flags = stage(enrich_ads(clean, taxonomy=taxonomy), "flags")
+        flags = kept(enrich_ads(clean, taxonomy=taxonomy), "flags")
         warehouse = Warehouse(spark, warehouse_root)
         warehouse.upsert_jobs(clean)
         warehouse.upsert_analysis(flags)
@@ -145,4 +162,5 @@ def run_pipeline(
             result.exported = list(frames)
         elif export:
             result.exported = layers.export_all(frames, f"{root}/export")
+    remove(spark, scratch)
     return result

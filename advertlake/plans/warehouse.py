@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 
 from advertlake.operators.share import group_counts, latest_period, period_share
 from advertlake.operators.enrich import join_flags
-from advertlake.schema import CLEAN_SCHEMA, FLAGS_SCHEMA, PARTITIONS
-from advertlake.sources.layers import read_table
-from advertlake.sources.store import save_replaced, table_exists
+from advertlake.schema import CLEAN_SCHEMA, FLAGS_SCHEMA
+from advertlake.sources.store import read_keyed, save_replaced
 
 FACT_TABLE = "fact_job_snapshot"
 FLAGS_TABLE = "analysis_job_ai_flags"
@@ -53,14 +52,11 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name), TABLES[name])
+        return read_keyed(self.spark, self.path(name), TABLES[name])
 
     def ensure_schema(self) -> None:
-        """Create what is missing and point the names at the current files; safe to repeat."""
-        for name, schema in TABLES.items():
-            if not table_exists(self.spark, self.path(name)):
-                empty = self.spark.createDataFrame([], schema)
-                empty.write.mode("ignore").partitionBy(*PARTITIONS).parquet(self.path(name))
+        """Point the names at the current files; a table without loads is empty. Safe to repeat."""
+        for name in TABLES:
             self.table(name).createOrReplaceTempView(name)
         fact, flags = self.table(FACT_TABLE), self.table(FLAGS_TABLE)
         weekly = share_weekly(fact, flags)
@@ -76,7 +72,10 @@ class Warehouse:
         return n
 
     def upsert_jobs(self, clean: DataFrame) -> int:
-        """Put clean snapshot rows in by key; returns the size of the batch, 0 changes nothing."""
+        """Put clean snapshot rows in by key; returns the size of the batch, 0 changes nothing.
+
+        A key the batch repeats is stored once; a null key stops the load.
+        """
         return self._upsert(FACT_TABLE, clean)
 
     def upsert_analysis(self, flags: DataFrame) -> int:

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Runtime settings every job relies on. Weeks and ingest dates are UTC days, so the session
 # zone is part of the result; the rest lets adaptive execution coalesce, split and re-plan.
@@ -17,9 +15,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-_local_folders: dict[str, str] = {}
-
-
 def configure(spark: SparkSession) -> SparkSession:
     for name, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(name, None) != value:
@@ -28,84 +23,38 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or the session's checkpoint directory.
 
-    Only a local session without that setting gets a folder of its own; on a cluster a folder of
-    one machine would be invisible to the other executors, so the setting is required there.
+    There is no other place: a folder of one machine would be invisible to the executors.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="advertlake-")
-    return _local_folders[app]
+    return folder.rstrip("/")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/advertlake/{spark.conf.get('spark.app.id', 'app')}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below one folder per application, which can be removed once the application ended."""
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{checkpoint_folder(spark)}/advertlake/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Used where a result feeds several jobs: it is computed once, survives the loss of executors
-    and cuts the lineage.
+    and cuts the lineage. Its real size is known afterwards, so that adaptive execution can tell a
+    side to broadcast from one to shuffle.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scanned_bytes(df: DataFrame) -> int:
-    """Size of what ``df`` reads, by the optimizer's estimate after folder pruning."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-# Below this size per core a scan may split into fewer parts than there are cores.
-SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a small scan over all cores; a large one stays as it is, without a shuffle.
-
-    Row-local text work costs far more than moving a few rows once, and a small file is often a
-    single part that one core would work on alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scanned_bytes(df) < cores * SPREAD_BYTES_PER_CORE else df
-
-
-# Rows up to which a small side is broadcast. Its rows are a short key and a few short values, so
-# this many stay well below a hundred megabytes.
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, label: str) -> DataFrame:
-    """Write a presumably small join side, count it, and mark it for broadcast only if it is small.
-
-    Otherwise the written table is returned as it is and the join shuffles.
-    """
-    written = stage(df, label)
-    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
-
-
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 50_000
-
-
-def fit_shuffles(df: DataFrame) -> DataFrame:
-    """Raise the number of shuffle partitions to the size of ``df`` as the scan reports it.
-
-    A partition then holds what a task can sort in memory. Adaptive execution merges partitions
-    that turn out small; it cannot split one that was planned too large, hence never too few.
-    """
-    spark = df.sparkSession
-    wanted = min(-(-scanned_bytes(df) // SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return df
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it; nothing happens if it is gone already."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

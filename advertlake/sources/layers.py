@@ -21,7 +21,14 @@ CLEAN_JOBS = "processed/jobs"
 CLEAN_HISTORY = "processed/history"
 ANALYSIS = "analysis"
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "timestampFormat": "yyyy-MM-dd HH:mm:ssXXX"}
+# Blanks at the edges stay, and an empty text is told from a missing one by its quotes.
+CSV_OPTIONS = {
+    "header": "true", "quote": '"', "escape": '"', "timestampFormat": "yyyy-MM-dd HH:mm:ssXXX",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "nullValue": "",
+}
+WRITTEN_EMPTY = {"emptyValue": '""'}
+# The reader would turn an empty text into a null, were it not read as something else first.
+EMPTY = "\u0001empty\u0001"
 
 
 def spread_for_write(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -54,9 +61,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def write_payloads(payloads: DataFrame, path: str, *, partitions: Sequence[str] = PARTITIONS) -> None:
-    """Payload texts unchanged, one per line, under their run's folder."""
+    """Payloads one per line under their run's folder, so that they split over tasks when read again.
+
+    A text without line breaks is written as it is. In an indented document the breaks stand between
+    its parts, for JSON has none inside a string, and become blanks: the document stays the same.
+    """
     (
-        payloads.select("value", *partitions)
+        payloads.select(F.translate("value", "\r\n", "  ").alias("value"), *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
@@ -113,14 +124,19 @@ def write_layers(
 
 
 def write_csv(df: DataFrame, path: str, *, one_file: bool = False, mode: str = "overwrite") -> None:
-    """CSV with a header; ``one_file`` is for aggregated views only."""
-    out = df.coalesce(1) if one_file else df
-    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    """CSV with a header; ``one_file`` is for aggregated views only.
+
+    The view is brought into one task when it is made; making it stays spread.
+    """
+    out = df.repartition(1) if one_file else df
+    out.write.mode(mode).options(**CSV_OPTIONS, **WRITTEN_EMPTY).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CLEAN_SCHEMA) -> DataFrame:
     """CSV back with the declared types; texts may span lines."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
+    rows = spark.read.schema(schema).options(**CSV_OPTIONS, emptyValue=EMPTY).option("multiLine", "true").csv(path)
+    texts = {f.name: F.when(F.col(f.name) == EMPTY, "").otherwise(F.col(f.name)) for f in schema if f.dataType == T.StringType()}
+    return rows.withColumns(texts)
 
 
 def to_cells(df: DataFrame) -> DataFrame:
@@ -129,10 +145,13 @@ def to_cells(df: DataFrame) -> DataFrame:
 
 
 def export_table(df: DataFrame, path: str, *, replace: bool = True) -> None:
-    """Cells of one aggregated view as CSV: replaced with a header, or appended without one."""
-    cells = to_cells(df).coalesce(1)
-    cells.write.mode("overwrite" if replace else "append").option("header", replace).option(
-        "emptyValue", ""
+    """Cells of one aggregated view as CSV: replaced with a header, or appended without one.
+
+    For a sheet, that is views of a bounded size; the sorted view is brought into one task when it is made.
+    """
+    cells = to_cells(df).repartition(1)
+    cells.write.mode("overwrite" if replace else "append").option("header", replace).options(
+        emptyValue="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(path)
 
 

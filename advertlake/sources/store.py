@@ -1,22 +1,33 @@
-"""Accumulated tables: keyed replacement of whole folders, and the ledger of loaded partitions."""
+"""Accumulated tables: keyed replacement with an atomic publish, and the ledger of loaded partitions.
+
+A keyed table is a folder with ``data`` and ``manifest``. A load writes the folders it changes once, below a new
+``data/_v=<version>``, and then appends one small file to ``manifest`` that names the version of each of them. That file
+is the switch: readers take the latest version the manifest has for a folder, so a load that is lost before it changes
+nothing and can be repeated, and one that is lost after it is complete. Versions that were replaced are deleted last.
+One writer at a time is assumed, as without a table format; where one is available, ``save_replaced`` is the function to
+replace by its MERGE.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from advertlake.operators.merge import merge_keep_last, not_loaded, replace_by_key
-from advertlake.operators.windows import keep_first
+from advertlake.operators.merge import not_loaded, replace_by_key
+from advertlake.operators.windows import keep_first_sparse
 from advertlake.schema import PARTITIONS, SNAPSHOT_KEY, enforce_schema
-from advertlake.session import stage
-from advertlake.sources.layers import read_table, write_partitions
+from advertlake.session import remove, stage
+from advertlake.sources.layers import spread_for_write
 
-# A batch touches a few folders. Their names are listed in the read filter up to this many; beyond
-# it the folders are matched by a join instead.
-LISTED_FOLDERS = 2000
+VERSION = "_v"
+NULL_FOLDER, BLANK_FOLDER = "(null)", "(blank)"
 
 LEDGER_SCHEMA = T.StructType(
     [*[T.StructField(c, T.StringType()) for c in PARTITIONS], T.StructField("loaded_at", T.TimestampType())]
@@ -27,25 +38,97 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("_probe int").parquet(path)
         return True
-    except Exception as error:  # the analyzer reports a missing path before any job runs
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
-
-
-def affected_rows(table: DataFrame, batch: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Rows of the folders that the batch touches; with few folders the scan skips all others."""
-    folders = batch.select(*partitions).distinct()
-    listed = folders.limit(LISTED_FOLDERS + 1).collect()
-    if len(listed) > LISTED_FOLDERS:
-        return table.join(folders, list(partitions), "left_semi").select(*table.columns)
-    wanted = F.lit(False)
-    for folder in listed:
-        same = F.lit(True)
-        for c in partitions:
-            same = same & (F.col(c) == folder[c])
-        wanted = wanted | same
-    return table.filter(wanted)
+    except AnalysisException as error:  # the analyzer reports a missing path before any job runs
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def folder_columns(partitions: Sequence[str]) -> list[str]:
+    return [f"_f_{c}" for c in partitions]
+
+
+def _folder(column: str) -> Column:
+    """The folder name of a value; null and blank have names of their own, which a bare folder would not tell apart."""
+    text = F.col(column).cast("string")
+    return F.when(text.isNull(), NULL_FOLDER).when(text == "", BLANK_FOLDER).otherwise(text)
+
+
+def with_folders(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    return df.withColumns({f: _folder(c) for f, c in zip(folder_columns(partitions), partitions)})
+
+
+def current_folders(spark: SparkSession, path: str, partitions: Sequence[str] = PARTITIONS) -> DataFrame:
+    """``_v`` and folder names of what a reader sees now: the latest entry of every folder."""
+    names = folder_columns(partitions)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (VERSION, *names)] + [T.StructField("load", T.LongType())])
+    if not table_exists(spark, f"{path}/manifest"):
+        return spark.createDataFrame([], schema).drop("load")
+    entries = spark.read.schema(schema).parquet(f"{path}/manifest")
+    latest = entries.groupBy(*names).agg(F.max_by(VERSION, "load").alias(VERSION))
+    return latest.select(VERSION, *names)
+
+
+def _read_folders(
+    spark: SparkSession, path: str, schema: T.StructType, folders: DataFrame, partitions: Sequence[str]
+) -> DataFrame:
+    """Rows of the listed folders (``_v`` and names); the names prune the scan column by column.
+
+    Each column's list is as long as there are loads, days or countries, however many folders they make up.
+    """
+    names = [VERSION, *folder_columns(partitions)]
+    stored = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in names]])
+    if not table_exists(spark, f"{path}/data"):
+        return spark.createDataFrame([], schema)
+    listed = folders.agg(*[F.collect_set(c).alias(c) for c in names]).first()
+    data = spark.read.schema(stored).parquet(f"{path}/data")
+    data = data.filter(reduce(and_, [F.col(c).isin(listed[c]) for c in names]))
+    return data.join(folders, names, "left_semi").select(*schema.names)
+
+
+def read_keyed(
+    spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str] = PARTITIONS
+) -> DataFrame:
+    """The keyed table at ``path`` as the latest complete load left it."""
+    return _read_folders(spark, path, schema, current_folders(spark, path, partitions), partitions)
+
+
+def affected_folders(current: DataFrame, batch: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The present folders that the batch touches."""
+    touched = with_folders(batch, partitions).select(*folder_columns(partitions)).distinct()
+    return current.join(touched, folder_columns(partitions), "left_semi")
+
+
+def rows_of_folders(df: DataFrame, folders: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` in the listed folders, null for null; the lists prune the scan of a partitioned table."""
+    values = folders.agg(*[F.collect_set(c).alias(c) for c in partitions], *[F.count_if(F.col(c).isNull()).alias(f"_n_{c}") for c in partitions]).first()
+    kept = df
+    for c in partitions:
+        there = F.col(c).isin(values[c])
+        kept = kept.filter(there | F.col(c).isNull() if values[f"_n_{c}"] else there)
+    wanted = folders.select(*[F.col(c).alias(f"_w_{c}") for c in partitions]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in partitions]
+    return kept.join(wanted, same, "left_semi")
+
+
+def one_per_key(batch: DataFrame, key: Sequence[str], last_of: Sequence[str] | None) -> DataFrame:
+    """The batch with each key once; a null in a key stops the load.
+
+    Of repeated keys the row that is last in ``last_of`` stays, then by its content. Rows of keys that occur once are
+    not moved.
+    """
+    broken = F.raise_error(F.lit(f"a key column is null: {', '.join(key)}"))
+    whole = [F.when(F.col(c).isNull(), broken.cast(batch.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in key else F.col(c) for c in batch.columns]
+    order = [F.desc_nulls_last(c) for c in last_of or ()] + [F.xxhash64(*batch.columns)]
+    return keep_first_sparse(batch.select(*whole), key, order)
+
+
+def _publish(spark: SparkSession, path: str, version: str, folders: DataFrame) -> None:
+    """The switch: one file with the new version of every written folder."""
+    known = f"{path}/manifest"
+    last = spark.read.schema("load bigint").parquet(known).agg(F.max("load")).first()[0] if table_exists(spark, known) else None
+    entries = folders.select(F.lit(version).alias(VERSION), *folders.columns, F.lit((last or 0) + 1).cast("long").alias("load"))
+    entries.repartition(1).write.mode("append").parquet(known)
 
 
 def save_replaced(
@@ -61,23 +144,31 @@ def save_replaced(
 ) -> None:
     """Put a batch into a stored table by key; loading it twice equals loading it once.
 
-    Only the folders of the batch are read and rewritten, however large the table is. The merged
-    folders are first written to the shared scratch folder: the table is never read and replaced by
-    the same job, and a driver lost during the final commit can repeat it from there. ``partitions``
-    must be part of ``key``. Where a table format is available, this is the function to replace by
-    its MERGE. ``keep_last_of`` orders keys repeated within the batch; None states there are none.
+    Only the folders of the batch are read and written anew, once, however large the table is. ``partitions`` must be
+    part of ``key``. A key that the batch repeats is stored once, the row last in ``keep_last_of`` order; a null key
+    stops the load before anything changes. The batch is read several times and should be a written table.
     """
-    fresh = enforce_schema(batch, schema)
-    if not table_exists(spark, path):
-        first = fresh if keep_last_of is None else keep_first(fresh, key, [F.desc_nulls_last(c) for c in keep_last_of])
-        write_partitions(first, path, partitions=partitions, sort=sort)
-        return
-    old = affected_rows(read_table(spark, path, schema), fresh, partitions)
-    if keep_last_of is None:
-        merged = replace_by_key(old, fresh, key=key)
-    else:
-        merged = merge_keep_last(old, fresh, key=key, order_by=keep_last_of)
-    write_partitions(stage(merged, "merge"), path, partitions=partitions, sort=sort)
+    names = folder_columns(partitions)
+    fresh = one_per_key(enforce_schema(batch, schema), key, keep_last_of)
+    old_folders = stage(affected_folders(current_folders(spark, path, partitions), fresh, partitions), "old-folders")
+    old = _read_folders(spark, path, schema, old_folders, partitions)
+    merged = with_folders(replace_by_key(old, fresh, key=key), partitions)
+    version = uuid.uuid4().hex
+    out = spread_for_write(merged, names).sortWithinPartitions(*names, *[F.asc_nulls_last(c) for c in sort])
+    out.write.partitionBy(*names).parquet(f"{path}/data/{VERSION}={version}")
+    written = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in names]])
+    folders = spark.read.schema(written).parquet(f"{path}/data/{VERSION}={version}").select(*names).distinct()
+    _publish(spark, path, version, folders)
+    for row in old_folders.collect():  # as many as the batch has folders
+        remove(spark, f"{path}/data/{VERSION}={row[VERSION]}/" + "/".join(f"{n}={_escaped(row[n])}" for n in names))
+
+
+# Characters that Spark escapes in folder names.
+_ESCAPED = set("\"#%'*/:=?\\{[]^") | {chr(c) for c in (*range(1, 32), 127)}
+
+
+def _escaped(name: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in name)
 
 
 def pending_partitions(spark: SparkSession, deltas: DataFrame, ledger_path: str) -> DataFrame:
@@ -106,8 +197,7 @@ def load_pending(
     n = pending.count()
     if n == 0:
         return 0
-    batch = affected_rows(deltas, pending, PARTITIONS)
-    save_replaced(spark, table_path, batch, schema=schema, key=key)
+    save_replaced(spark, table_path, rows_of_folders(deltas, pending, PARTITIONS), schema=schema, key=key)
     stamped = pending.withColumn("loaded_at", F.current_timestamp())
-    enforce_schema(stamped, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger_path)
+    enforce_schema(stamped, LEDGER_SCHEMA).repartition(1).write.mode("append").parquet(ledger_path)
     return n

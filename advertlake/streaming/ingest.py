@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from advertlake.operators.windows import keep_first
 from advertlake.schema import CLEAN_SCHEMA, PARTITIONS, SNAPSHOT_KEY
-from advertlake.session import stage
+from advertlake.session import remove, scratch_path, stage
 from advertlake.sources.store import save_replaced
 
 
@@ -42,9 +42,10 @@ def stream_into_table(
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        order = [F.desc_nulls_last(c) for c in last_by]
-        latest = stage(keep_first(batch, key, order), "micro-batch")
-        save_replaced(batch.sparkSession, table_path, latest, schema=schema, key=key, partitions=partitions)
+        spark, scratch = batch.sparkSession, scratch_path(batch.sparkSession, "micro-batch")
+        written = stage(batch, "micro-batch", scratch)
+        save_replaced(spark, table_path, written, schema=schema, key=key, partitions=partitions, keep_last_of=last_by)
+        remove(spark, scratch)
 
     return (
         deltas.writeStream.foreachBatch(load)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -61,6 +62,7 @@ def main(names: list[str]) -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='advertlake-bench-')}")
         .config("spark.log.level", "ERROR")
         .getOrCreate()
     )

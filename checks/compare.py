@@ -8,6 +8,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -22,6 +23,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='advertlake-compare-')}")
         .getOrCreate()
     )
 

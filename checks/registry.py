@@ -195,6 +195,28 @@ def archived_pages(spark, sf_dir):
     return ads.select("country", "page", "pos", "id", "title")
 
 
+# Every page number that leaves the rest 5 by 7 arrives broken: its list of results is a text, or its body no document.
+@query(ctes(S.RAW) + """
+SELECT country, CASE WHEN page % 2 = 0 THEN 'no results' ELSE 'not a document' END AS reason, count(DISTINCT page) AS n
+FROM raw WHERE page % 7 = 5 GROUP BY 1, 2""")
+def archived_pages_rejects(spark, sf_dir):
+    page = V.landed_pages(spark, sf_dir).withColumn("no", F.get_json_object("value", "$.page").cast("int"))
+    full = page.filter(F.get_json_object("value", "$.results").isNotNull())
+    broken = F.col("no") % 7 == 5
+    body = F.when(broken & (F.col("no") % 2 == 0), F.concat(F.lit('{"page":'), F.col("no").cast("string"), F.lit(',"results":"oops"}')))
+    single = full.filter(broken & (F.col("no") % 2 == 1)).withColumn("value", F.concat(F.lit('{"page": broken '), F.substring("value", 1, 200)))
+    wrapped = (
+        full.filter(~(broken & (F.col("no") % 2 == 1)))
+        .withColumn("value", F.coalesce(body, "value"))
+        .groupBy("ingest_date", "country", F.floor(F.col("no") / 10).alias("part"))
+        .agg(F.concat(F.lit('{"responses":['), F.concat_ws(",", F.collect_list("value")), F.lit("]}")).alias("value"))
+    )
+    path = scratch_path(spark, "archive")
+    layers.write_payloads(wrapped.drop("part").unionByName(single.select("ingest_date", "country", "value")), path)
+    found = pages.read_documents(pages.read_payloads(spark, path))
+    return pages.reject_counts(pages.rejects(found), ["country"])
+
+
 PAGE_SIZES = """, adverts AS (
   SELECT country, page, count(*) AS n FROM raw GROUP BY 1, 2
 ), sizes AS (
@@ -203,7 +225,7 @@ PAGE_SIZES = """, adverts AS (
   SELECT *, sum(n) OVER (PARTITION BY country ORDER BY page) AS fetched,
     (sum(n) OVER (PARTITION BY country)) // 2 AS advertised FROM sizes
 ), stops AS (
-  SELECT country, least(coalesce(min(page) FILTER (n = 0 OR (advertised > 0 AND fetched >= advertised)), max(page)), 100) AS last_page
+  SELECT country, coalesce(min(page) FILTER (n = 0 OR (advertised > 0 AND fetched >= advertised)), max(page)) AS last_page
   FROM totals GROUP BY 1
 )"""
 
@@ -213,18 +235,31 @@ SELECT country, page, n, CAST(fetched AS BIGINT) AS fetched FROM totals JOIN sto
 def page_cutoff(spark, sf_dir):
     # Half of the adverts are advertised, so reading stops in the middle.
     half = parsed_pages(spark, sf_dir).withColumn("count", F.expr("count div 2"))
-    kept = pages.cut_pages(half, max_pages=100)
+    return read_sizes(pages.cut_pages(half))
+
+
+def read_sizes(kept: DataFrame) -> DataFrame:
     sizes = kept.select("country", "page", F.greatest(F.size("results"), F.lit(0)).cast("long").alias("n"))
     return pages.running_total(sizes, by=["country"], position="page", value="n", output="fetched")
 
 
+@query("WITH " + S.RAW + PAGE_SIZES + """
+SELECT country, page, n, CAST(fetched AS BIGINT) AS fetched FROM totals JOIN stops USING (country) WHERE page <= last_page""")
+def page_cutoff_retried(spark, sf_dir):
+    # Every third page landed twice, as after a retry: nothing may change.
+    payloads = pages.read_payloads(spark, landed(spark, sf_dir))
+    retried = payloads.unionByName(payloads.filter(F.get_json_object("value", "$.page").cast("int") % 3 == 1))
+    half = pages.parse_pages(retried).withColumn("count", F.expr("count div 2"))
+    return read_sizes(pages.cut_pages(half))
+
+
 @query("WITH " + S.RAW + PAGE_SIZES + """
 SELECT country, count(*) AS pages, CAST(sum(n) AS BIGINT) AS fetched, CAST(max(advertised) AS BIGINT) AS advertised,
   sum(n) >= max(advertised) AS complete
 FROM totals JOIN stops USING (country) WHERE page <= last_page GROUP BY country""")
 def page_audit(spark, sf_dir):
     half = parsed_pages(spark, sf_dir).withColumn("count", F.expr("count div 2"))
-    return pages.page_audit(half, max_pages=100).drop("ingest_date")
+    return pages.page_audit(half).drop("ingest_date")
 
 
 @query("WITH " + S.RAW + PAGE_SIZES + """
@@ -263,6 +298,20 @@ def history_normalised(spark, sf_dir):
     return pages.normalise_history(history_payloads(spark, sf_dir))
 
 
+@query("""SELECT event_type AS country, CASE event_type WHEN 'click' THEN 'not a document' WHEN 'view' THEN 'no history' ELSE 'no day' END AS reason,
+  CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE count(DISTINCT strftime(ts, '%Y-%m-%d')) END AS n FROM events GROUP BY event_type""")
+def history_rejects(spark, sf_dir):
+    # The same payloads, damaged: cut off, without their history, or with numbers in place of the pairs.
+    good = history_payloads(spark, sf_dir)
+    bad = good.withColumn(
+        "value",
+        F.when(F.col("country") == "click", F.substring("value", 1, 30))
+        .when(F.col("country") == "view", F.regexp_replace("value", '^."history"', '{"other"'))
+        .otherwise(F.regexp_replace("value", r'\["[0-9-]+",(.*?)\}\]', "7")),
+    )
+    return pages.history_rejects(bad).groupBy("country", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(f"WITH h AS ({HISTORY_SQL}) SELECT day, CAST(sum(count) AS BIGINT) AS total FROM h GROUP BY day")
 def history_daily_total(spark, sf_dir):
     return P.daily_total(pages.normalise_history(history_payloads(spark, sf_dir)))
@@ -358,9 +407,9 @@ def skill_matches(spark, sf_dir):
 
 @query(ctes(S.FLAGS) + "SELECT job_id, country, ai_total_mentions, created_at::VARCHAR AS created_at FROM flags WHERE ai_mentioned")
 def flagged_ads(spark, sf_dir):
-    return flagged(spark, sf_dir).filter("ai_mentioned").select(
-        "job_id", "country", "ai_total_mentions", "created_at"
-    )
+    # The stored flags are filtered: a filter on the scan itself would be pushed below it and scan every text twice.
+    counted = flagged(spark, sf_dir).select("job_id", "country", "ai_mentioned", "ai_total_mentions", "created_at")
+    return stage(counted, "flags").filter("ai_mentioned").drop("ai_mentioned")
 
 
 TERMS = ctes(S.FLAGS) + ", terms AS (SELECT country, unnest(hits) AS term FROM flags)\n"
@@ -391,7 +440,8 @@ def top_terms_by_country(spark, sf_dir):
 terms AS (SELECT unnest({S.hits("norm")}) AS term FROM texts)
 SELECT term, count(*) AS mentions FROM terms GROUP BY term ORDER BY mentions DESC, term LIMIT 15""")
 def top_terms_of_flagged(spark, sf_dir):
-    counts = E.term_counts(flagged(spark, sf_dir).filter("ai_mentioned"), text=F.col("description"))
+    flags = stage(flagged(spark, sf_dir).select("description", "ai_mentioned"), "flags")
+    counts = E.term_counts(flags.filter("ai_mentioned"), text=F.col("description"))
     return top_k(counts, 15, [F.desc("mentions"), "term"])
 
 
@@ -576,6 +626,37 @@ def quality_checks(spark, sf_dir):
     return Q.quality_checks(cleaned(spark, sf_dir), now=V.NOW, start_date=V.START_DATE)[0]
 
 
+@query(ctes(S.CLEAN) + """SELECT 1 AS position, 'schema_columns' AS name, 'FAIL' AS status, '25 columns; missing=[''title'']' AS detail
+FROM clean LIMIT 1""")
+def quality_missing_column(spark, sf_dir):
+    renamed = cleaned(spark, sf_dir).withColumnRenamed("title", "headline")
+    checks, _ = Q.quality_checks(renamed, now=V.NOW, start_date=V.START_DATE)
+    return checks.filter("position = 1")
+
+
+@query("""SELECT CAST(position AS INT) AS position, name, status, detail FROM (VALUES (1, 'schema_columns', 'PASS', '25 columns; missing=none'),
+  (2, 'row_count', 'WARN', 'dataset is empty; nothing to validate')) v(position, name, status, detail), (SELECT count(*) AS n FROM documents) WHERE n > 0""")
+def quality_empty_table(spark, sf_dir):
+    nothing = cleaned(spark, sf_dir).filter("job_id = 'none such'")
+    return Q.quality_checks(nothing, now=V.NOW, start_date=V.START_DATE)[0]
+
+
+@query(ctes(S.CLEAN) + """SELECT count(*) FILTER (abs(latitude) > 90 OR abs(longitude) > 180) > 0 AS stopped,
+  count(*) FILTER (abs(latitude) <= 90) > 0 AS loaded FROM clean""")
+def quality_gate(spark, sf_dir):
+    clean = stage(cleaned(spark, sf_dir), "clean")
+
+    def stops(rows: DataFrame) -> bool:
+        try:
+            Q.assert_quality(Q.quality_checks(rows, now=V.NOW, start_date=V.START_DATE)[0])
+        except Q.QualityError:
+            return True
+        return False
+
+    sound = clean.filter("abs(latitude) <= 90")
+    return spark.createDataFrame([(stops(clean), not stops(sound))], "stopped boolean, loaded boolean")
+
+
 @query(_quality_sql("flat"))
 def quality_checks_unclean(spark, sf_dir):
     flat = C.flatten_ads(V.raw_ads(spark, sf_dir), ingested_at=V.INGESTED_AT)
@@ -646,9 +727,25 @@ def lineitem_describe(spark, sf_dir):
     return _rounded(P.describe(V.table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"]), DESCRIBED)
 
 
-@query()
+@query("""SELECT c AS "column", q AS quartile, true AS within FROM (VALUES ('l_quantity'), ('l_extendedprice')) a(c),
+  (VALUES ('p25'), ('p50'), ('p75')) b(q)""")
 def lineitem_describe_approximate(spark, sf_dir):
-    return P.describe(V.table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice"], approximate=True)
+    # Approximate quartiles depend on the engine; that their ranks lie within the stated accuracy does not.
+    names = ["l_quantity", "l_extendedprice"]
+    items = V.table(spark, sf_dir, "lineitem").select(*names)
+    found = P.describe(items, names, approximate=True).select("column", "p25", "p50", "p75")
+    wanted = stage(found.unpivot(["column"], ["p25", "p50", "p75"], "quartile", "estimate"), "estimates")
+    values = P.unpivot_numbers(items, names)
+    ranks = values.join(F.broadcast(wanted), "column").groupBy("column", "quartile").agg(  # six rows
+        F.count_if(F.col("value") < F.col("estimate")).alias("below"),
+        F.count_if(F.col("value") <= F.col("estimate")).alias("upto"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    share = F.substring("quartile", 2, 2).cast("int") / 100
+    slack = F.col("n") / P.ACCURACY + 1
+    return ranks.select("column", "quartile", (
+        (F.col("below") <= share * F.col("n") + slack) & (F.col("upto") >= share * F.col("n") - slack)
+    ).alias("within"))
 
 
 def _histogram_sql(source: str, value: str) -> str:
@@ -807,6 +904,24 @@ def exported_table(spark, sf_dir):
     return back.select([F.coalesce(F.col(c), F.lit("")).alias(c) for c in back.columns])
 
 
+@query(ctes(S.WEEKLY) + f"""SELECT coalesce(CAST(week AS VARCHAR), '') AS week, country, role_class, CAST(total_ads AS VARCHAR) AS total_ads,
+  CAST(ai_ads AS VARCHAR) AS ai_ads, {_cell("ai_share")} AS ai_share FROM weekly""")
+def exported_table_appended(spark, sf_dir):
+    # Replaced with the rows of one country, then appended with the other's; the appended file has no header.
+    path = scratch_path(spark, "export")
+    share = stage(weekly(spark, sf_dir), "weekly")
+    layers.export_table(share.filter("country = 'gb'"), path)
+    layers.export_table(share.filter("country <> 'gb'"), path, replace=False)
+    text = T.StructType([T.StructField(c, T.StringType()) for c in share.columns])
+    lines = spark.read.schema(text).csv(path).filter("country <> 'country'")
+    return lines.select([F.coalesce(F.col(c), F.lit("")).alias(c) for c in lines.columns])
+
+
+@query(ctes(S.WEEKLY) + f"""SELECT {WEEK_COLUMNS} FROM weekly ORDER BY week NULLS FIRST, country, role_class LIMIT 10""")
+def export_preview_rows(spark, sf_dir):
+    return layers.preview(frames(spark, sf_dir))["ai_share_weekly"][1]
+
+
 @query(ctes(S.WEEKLY) + """, c AS (SELECT country, role_class, count(*) AS n FROM flags GROUP BY 1, 2)
 SELECT 'ai_share_weekly' AS name, (SELECT count(*) FROM weekly) AS rows, 6 AS columns
 UNION ALL SELECT 'ai_share_latest', (SELECT count(*) FROM weekly WHERE week = (SELECT max(week) FROM weekly)), 6
@@ -838,13 +953,25 @@ def clean_delta_layer(spark, sf_dir):
     return layers.read_clean_delta(spark, root)
 
 
-@query(ctes(S.RAW) + "SELECT country, count(*) AS pages FROM (SELECT DISTINCT country, page FROM raw) GROUP BY country")
+@query(ctes(S.RAW) + """SELECT country, page, row_number() OVER (PARTITION BY country, page ORDER BY pos) - 1 AS pos, id, title,
+  md5(description) AS digest FROM raw""")
 def raw_payload_layer(spark, sf_dir):
     payloads = pages.read_payloads(spark, landed(spark, sf_dir))
     path = scratch_path(spark, "raw")
-    layers.write_payloads(payloads, path)
-    back = pages.parse_pages(pages.read_payloads(spark, path))
-    return back.filter("results is not null").groupBy("country").agg(F.count(F.lit(1)).alias("pages"))
+    # landed indented: breaks between the parts of a document must not split it
+    layers.write_payloads(payloads.withColumn("value", F.regexp_replace("value", '^[{]"count"', '{\n  "count"')), path)
+    ads = pages.explode_ads(pages.parse_pages(pages.read_payloads(spark, path)))
+    return ads.select("country", "page", "pos", "id", "title", F.md5("description").alias("digest"))
+
+
+@query(HISTORY_SQL)
+def history_delta_layer(spark, sf_dir):
+    root = scratch_path(spark, "history-layer")
+    history = stage(pages.normalise_history(history_payloads(spark, sf_dir)), "history")
+    for _ in range(2):  # a rerun replaces the folders of its day
+        layers.write_history_delta(history, root, V.INGEST_DATE)
+    back = layers.read_table(spark, f"{root}/{layers.CLEAN_HISTORY}", T.StructType([*HISTORY_SCHEMA, T.StructField("ingest_date", T.StringType())]))
+    return back.filter(F.col("ingest_date") == V.INGEST_DATE).drop("ingest_date")
 
 
 MASTER_SQL = ctes(S.SNAPSHOTS) + f"SELECT {CLEAN_COLUMNS} FROM snapshots"
@@ -856,7 +983,35 @@ def jobs_master(spark, sf_dir):
     days = stage(snapshots(spark, sf_dir), "days")
     for day in ("2026-09-01", "2026-09-02", "2026-09-03", "2026-09-02"):  # one day comes twice
         store.save_replaced(spark, path, days.filter(F.col("ingest_date") == day), schema=CLEAN_SCHEMA)
-    return layers.read_table(spark, path, CLEAN_SCHEMA)
+    return store.read_keyed(spark, path, CLEAN_SCHEMA)
+
+
+@query(ctes(S.SNAPSHOTS) + "SELECT job_id, CASE WHEN country = 'us' THEN '' ELSE country END AS country, ingest_date, title FROM snapshots")
+def master_blank_country(spark, sf_dir):
+    # Adverts without a country arrive in two batches of one day, each batch twice.
+    path = scratch_path(spark, "blank-master")
+    days = snapshots(spark, sf_dir).withColumn("country", F.when(F.col("country") == "us", "").otherwise(F.col("country")))
+    days = stage(days, "days")
+    odd = F.col("job_id").cast("bigint") % 2 == 1
+    for batch in (days.filter(odd), days.filter(~odd), days.filter(odd), days.filter(~odd)):
+        store.save_replaced(spark, path, batch, schema=CLEAN_SCHEMA)
+    return store.read_keyed(spark, path, CLEAN_SCHEMA).select("job_id", "country", "ingest_date", "title")
+
+
+@query(ctes(S.SNAPSHOTS) + """SELECT 2 AS versions, 2 AS kept, (SELECT count(*) FROM snapshots WHERE ingest_date <= '2026-09-02') AS n""")
+def published_versions(spark, sf_dir):
+    # Two loads, then one that is lost before its switch: readers see the second load, and a repeat would find it.
+    path = scratch_path(spark, "published")
+    days = stage(snapshots(spark, sf_dir), "days")
+    for day in ("2026-09-01", "2026-09-02"):
+        store.save_replaced(spark, path, days.filter(F.col("ingest_date") == day), schema=CLEAN_SCHEMA)
+    lost = store.with_folders(days.filter("ingest_date = '2026-09-03'"), ["ingest_date", "country"])
+    lost.write.partitionBy("_f_ingest_date", "_f_country").parquet(f"{path}/data/{store.VERSION}=lost")
+    current = store.current_folders(spark, path).select(store.VERSION).distinct()
+    there = store.read_keyed(spark, path, CLEAN_SCHEMA)
+    stored = spark.read.schema("_f_ingest_date string").parquet(f"{path}/manifest").select("_f_ingest_date").distinct()
+    counts = [df.agg(F.count(F.lit(1)).alias(name)) for df, name in ((current, "versions"), (stored, "kept"), (there, "n"))]
+    return counts[0].join(F.broadcast(counts[1])).join(F.broadcast(counts[2]))  # one row each
 
 
 @query(HISTORY_SQL)
@@ -869,7 +1024,7 @@ def history_master(spark, sf_dir):
             spark, path, batch, schema=HISTORY_SCHEMA, key=HISTORY_KEY, partitions=("country",),
             sort=("day",), keep_last_of=("count", "details_json"),
         )
-    return layers.read_table(spark, path, HISTORY_SCHEMA)
+    return store.read_keyed(spark, path, HISTORY_SCHEMA, ("country",))
 
 
 # A later batch sends the second day again with raised salaries.
@@ -921,7 +1076,7 @@ def incremental_load(spark, sf_dir):
     for known in ("2026-09-01", "2026-09-03", "2026-09-03"):
         deltas = days.filter(F.col("ingest_date") <= known)
         store.load_pending(spark, deltas, *spec, schema=CLEAN_SCHEMA)
-    return layers.read_table(spark, spec[0], CLEAN_SCHEMA)
+    return store.read_keyed(spark, spec[0], CLEAN_SCHEMA)
 
 
 def loaded_warehouse(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
@@ -934,6 +1089,19 @@ def loaded_warehouse(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     return store_
 
 
+@query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS} FROM weekly")
+def warehouse_duplicate_batch(spark, sf_dir):
+    # Each batch holds every key twice; the copy loaded later has the true title.
+    clean = stage(cleaned(spark, sf_dir), "clean")
+    older = clean.withColumns({"ingested_at": F.col("ingested_at") - F.expr("INTERVAL 1 DAY"), "title": F.lit("Data Scientist")})
+    store_ = warehouse.Warehouse(spark, scratch_path(spark, "warehouse"))
+    flags = stage(E.enrich_ads(clean), "flags")
+    for _ in range(2):
+        store_.upsert_jobs(older.unionByName(clean))
+        store_.upsert_analysis(flags.unionByName(flags))
+    return store_.query(f"SELECT * FROM {warehouse.WEEKLY_VIEW}")
+
+
 @query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS} FROM weekly")
 def warehouse_weekly_view(spark, sf_dir):
     return loaded_warehouse(spark, sf_dir).query(f"SELECT * FROM {warehouse.WEEKLY_VIEW}")
@@ -963,7 +1131,6 @@ def full_run(spark, sf_dir):
         ingested_at=datetime(2026, 9, 3, 12, tzinfo=timezone.utc),
         warehouse_root=f"{root}/warehouse",
         start_date=V.START_DATE,
-        max_pages=None,
         now=datetime(2026, 7, 1, tzinfo=timezone.utc),
     )
     return warehouse.Warehouse(spark, f"{root}/warehouse").query(f"SELECT * FROM {warehouse.WEEKLY_VIEW}")
@@ -1003,8 +1170,9 @@ def _register_dimension(dimension: H.Dimension) -> None:
     def stepwise(spark, sf_dir):
         days = stage(snapshots(spark, sf_dir), "days")
         dim = H.build_dimension(days.filter("ingest_date = '2026-09-01'"), dimension)
-        for day in ("2026-09-02", "2026-09-03"):
-            dim = H.extend_dimension(stage(dim, "dim"), days.filter(F.col("ingest_date") == day), dimension)
+        for last, day in (("2026-09-01", "2026-09-02"), ("2026-09-02", "2026-09-03")):
+            fresh = days.filter(F.col("ingest_date") == day)
+            dim = H.extend_dimension(stage(dim, "dim"), fresh, dimension, loaded_until=last)
         return dim
 
 
@@ -1021,7 +1189,37 @@ def dimension_date(spark, sf_dir):
     return H.date_dimension(snapshots(spark, sf_dir))
 
 
-_FACT_DIMENSIONS = [d for d in H.DIMENSIONS if d.name in ("company", "category")]
+def _dimension_sql(name: str) -> str:
+    dimension = next(d for d in H.DIMENSIONS if d.name == name)
+    return ctes(S.SNAPSHOTS, _versions_sql(dimension)) + f"SELECT * FROM {name}"
+
+
+@query(_dimension_sql("job"))
+def dimension_job_late_day(spark, sf_dir):
+    # The days arrive as first, third, second: the second lies before versions that are open already.
+    days = stage(snapshots(spark, sf_dir), "days")
+    of = lambda day: days.filter(F.col("ingest_date") == day)
+    job = next(d for d in H.DIMENSIONS if d.name == "job")
+    paths = [scratch_path(spark, "dimension") for _ in range(3)]
+    H.load_dimension(None, paths[0], of("2026-09-01"), job)
+    H.load_dimension(paths[0], paths[1], of("2026-09-03"), job, loaded_until="2026-09-01")
+    return H.load_dimension(paths[1], paths[2], of("2026-09-02"), job, snapshots=days.filter("ingest_date <> '2026-09-02'"))
+
+
+@query(_dimension_sql("category"))
+def dimension_category_rerun(spark, sf_dir):
+    # The last day is first loaded with other labels, then sent again as it should be.
+    days = stage(snapshots(spark, sf_dir), "days")
+    category = next(d for d in H.DIMENSIONS if d.name == "category")
+    last = days.filter("ingest_date = '2026-09-03'")
+    wrong = last.withColumn("category_label", F.concat("category_label", F.lit("?")))
+    paths = [scratch_path(spark, "dimension") for _ in range(3)]
+    H.load_dimension(None, paths[0], days.filter("ingest_date < '2026-09-03'"), category)
+    H.load_dimension(paths[0], paths[1], wrong, category, loaded_until="2026-09-02")
+    return H.load_dimension(paths[1], paths[2], last, category, loaded_until="2026-09-03")
+
+
+_FACT_DIMENSIONS = list(H.DIMENSIONS)
 _JOINED = "\n".join(
     f"LEFT JOIN {d.name} ON " + " AND ".join(f"s.{k} = {d.name}.{k}" for k in d.key)
     + f" AND {d.name}.valid_from <= s.ingest_date AND ({d.name}.valid_to IS NULL OR s.ingest_date < {d.name}.valid_to)"
@@ -1038,7 +1236,7 @@ def _prefixed(dimension: H.Dimension) -> str:
 
 @query(ctes(S.SNAPSHOTS, *[_prefixed(d) for d in _FACT_DIMENSIONS]) + f"""
 SELECT s.job_id, s.country, s.ingest_date, CAST(replace(s.ingest_date, '-', '') AS INTEGER) AS date_id,
-  company.version_id AS company_version, category.version_id AS category_version, s.salary_min, s.salary_max
+  {", ".join(f"{d.name}.version_id AS {d.name}_version" for d in _FACT_DIMENSIONS)}, s.salary_min, s.salary_max
 FROM snapshots s {_JOINED}""")
 def snapshot_fact(spark, sf_dir):
     days = stage(snapshots(spark, sf_dir), "days")
@@ -1060,10 +1258,10 @@ def stream_ingest(spark, sf_dir):
     root = scratch_path(spark, "stream")
     deltas = ingest.read_deltas(spark, delta_folder(spark, sf_dir), files_per_batch=8)
     ingest.stream_into_table(deltas, f"{root}/table", f"{root}/checkpoint").awaitTermination()
-    return layers.read_table(spark, f"{root}/table", CLEAN_SCHEMA)
+    return store.read_keyed(spark, f"{root}/table", CLEAN_SCHEMA)
 
 
-@query(ctes(S.CLEAN) + "SELECT DISTINCT trim(id) AS job_id, country FROM raw WHERE trim(id) <> ''")
+@query(ctes(S.CLEAN) + "SELECT DISTINCT trim(id) AS job_id, country, true AS arrived FROM raw WHERE trim(id) <> ''")
 def stream_distinct(spark, sf_dir):
     # The rows before de-duplication, so adverts that were sent twice arrive twice.
     landing = scratch_path(spark, "arrivals")
@@ -1071,9 +1269,15 @@ def stream_distinct(spark, sf_dir):
     flat.write.parquet(landing)
     root = scratch_path(spark, "distinct")
     arrivals = ingest.read_deltas(spark, landing)
-    rows = ingest.distinct_snapshots(arrivals).select("job_id", "country")
+    rows = ingest.distinct_snapshots(arrivals).select(*CLEAN_SCHEMA.names)
     ingest.append_rows(rows, f"{root}/rows", f"{root}/checkpoint").awaitTermination()
-    return spark.read.schema("job_id string, country string").parquet(f"{root}/rows")
+    kept = spark.read.schema(CLEAN_SCHEMA).parquet(f"{root}/rows")
+    # Which copy comes first is not stated, but it must be one that arrived, whole.
+    sent = spark.read.schema(CLEAN_SCHEMA).parquet(landing).select("job_id", "country", F.xxhash64(*CLEAN_SCHEMA.names).alias("h"))
+    known = kept.select("job_id", "country", F.xxhash64(*CLEAN_SCHEMA.names).alias("h")).join(
+        sent.distinct().withColumn("there", F.lit(True)), ["job_id", "country", "h"], "left"
+    )
+    return known.select("job_id", "country", F.coalesce("there", F.lit(False)).alias("arrived"))
 
 
 @query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS} FROM weekly WHERE week IS NOT NULL")

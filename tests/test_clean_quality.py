@@ -16,36 +16,56 @@ def run(spark, ads, **options):
     return clean, report.first().asDict()
 
 
-def test_dedup_and_types(spark):
-    clean, report = run(
-        spark,
-        [
-            advert(),
-            advert(title="The second copy"),
-            advert(id="1610685201", title="Junior Data Engineer", salary_min="£32,500", created="2026-08-01T08:00:00Z"),
-            advert(id=1610685202, company={"display_name": ""}, latitude=None, contract_type="Full_Time "),
-        ],
-    )
-    assert clean.columns == CLEAN_SCHEMA.names
-    assert [f.dataType for f in clean.schema] == [f.dataType for f in CLEAN_SCHEMA]
+def test_the_first_copy_stays_and_fields_get_their_types(spark):
+    ads = [
+        advert(title="  Lock\u00a0Keeper "),
+        advert(id="B-7", salary_max="€48,250.5", contract_time="Permanent", longitude="7.5"),
+        advert(title="sent again", salary_min=1),
+        advert(id=300, company=None, category={"tag": " "}, salary_is_predicted="0", contract_type=None),
+        advert(title="and again"),
+    ]
+    clean, report = run(spark, ads)
+    assert [(f.name, f.dataType) for f in clean.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
+    assert (report["input_rows"], report["duplicates_removed"], report["output_rows"]) == (5, 2, 3)
     rows = {r.job_id: r for r in clean.collect()}
-    assert report == {
-        "input_rows": 4, "missing_job_id_removed": 0, "duplicates_removed": 1,
-        "outside_date_window_removed": 0, "output_rows": 3,
-    }
-    assert rows["1610685200"].title == "Senior Data Engineer"
-    assert rows["1610685201"].salary_min == 32500.0
-    assert rows["1610685202"].contract_type == "full_time"
-    assert rows["1610685202"].company_name is None and rows["1610685202"].latitude is None
-    assert {r.ingest_date for r in rows.values()} == {"2026-09-03"}
-    assert rows["1610685200"].created_at == datetime(2026, 7, 15, 9, 30)
-    assert rows["1610685200"].salary_is_predicted is True
+    first, second, third = rows["A-100"], rows["B-7"], rows["300"]
+    assert (first.title, first.salary_min, first.contract_type, first.salary_is_predicted) == ("Lock Keeper", 41000.0, "part_time", True)
+    assert first.created_at == datetime(2026, 5, 4, 7, 15) and first.ingest_date == INGESTED_AT[:10]
+    assert (second.salary_max, second.contract_time, second.longitude) == (48250.5, "permanent", 7.5)
+    assert (third.company_name, third.category_tag, third.salary_is_predicted, third.contract_type) == (None, None, False, None)
+
+
+def test_dedup_moves_the_rows_of_repeated_ads_only(spark):
+    single, _ = run(spark, [advert(), advert(id="2")])
+    assert "Window" not in plan_of(single)
+    twice, _ = run(spark, [advert(), advert(id="2"), advert(title="again")])
+    assert "Window" in plan_of(twice) and {(r.job_id, r.title) for r in twice.collect()} == {("A-100", "Backend Programmer"), ("2", "Backend Programmer")}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nan_is_missing_to_the_checks(spark):
+    clean, _ = run(spark, [advert(), advert(id="2")])
+    odd = clean.withColumns({c: F.lit(float("nan")) for c in ("latitude", "longitude", "salary_min")})
+    checks, nulls = quality_checks(odd, now="2026-09-03 12:00:00")
+    assert {r.name: r.status for r in checks.collect()}["coordinates"] == "PASS"
+    assert {r.name: r.status for r in checks.collect()}["salary_order"] == "PASS"
+    assert {r["column"]: r.null_rate for r in nulls.collect()}["latitude"] == 1.0
+
+
+def test_checks_read_their_table_once(spark, folder):
+    clean, _ = run(spark, [advert(), advert(id="2")])
+    clean.write.parquet(folder + "/t")
+    checks, _ = quality_checks(spark.read.parquet(folder + "/t"), now="2026-09-03 12:00:00")
+    assert plan_of(checks).count("Relation [") == 1
 
 
 def test_salary_pairs(spark):
-    clean, _ = run(spark, [advert(salary_min=90000, salary_max=70000), advert(id="b", salary_max=None), advert(id="c", salary_min=None)])
+    clean, _ = run(spark, [advert(salary_min=81000, salary_max=64000), advert(id="b", salary_max=None), advert(id="c", salary_min=None)])
     rows = {r.job_id: (r.salary_min, r.salary_max) for r in clean.collect()}
-    assert rows == {"1610685200": (70000.0, 90000.0), "b": (65000.0, 65000.0), "c": (85000.0, 85000.0)}
+    assert rows == {"A-100": (64000.0, 81000.0), "b": (41000.0, 41000.0), "c": (52000.0, 52000.0)}
 
 
 def test_window_and_missing_ids(spark):
@@ -56,7 +76,7 @@ def test_window_and_missing_ids(spark):
         "input_rows": 6, "missing_job_id_removed": 2, "duplicates_removed": 0,
         "outside_date_window_removed": 1, "output_rows": 3,
     }
-    assert {r.job_id for r in clean.collect()} == {"1610685200", "undated", "edge"}
+    assert {r.job_id for r in clean.collect()} == {"A-100", "undated", "edge"}
     _, unlimited = run(spark, ads, start_date=None)
     assert unlimited["outside_date_window_removed"] == 0 and unlimited["output_rows"] == 4
 
@@ -167,7 +187,7 @@ def test_enrich_and_enforce(spark):
     assert flags.columns == FLAGS_SCHEMA.names
     assert [f.dataType for f in flags.schema] == [f.dataType for f in FLAGS_SCHEMA]
     rows = {r.job_id: r for r in flags.collect()}
-    row = rows["1610685200"]
+    row = rows["A-100"]
     assert (row.ai_total_mentions, row.ai_general_ai, row.ai_machine_learning, row.ai_ml_tools, row.ai_generative_ai) == (3, 1, 1, 1, 0)
     assert (row.role_class, row.taxonomy_version, row.role_classifier_version) == ("technical", "1.0", "1.0")
     assert not rows["2"].ai_mentioned

@@ -1,7 +1,6 @@
 """Whole runs: the batch job, the streams and the registered queries."""
 
 import os
-import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -14,33 +13,36 @@ from advertlake.operators.enrich import enrich_ads
 from advertlake.operators.quality import QualityError
 from advertlake.plans.pipeline import HISTORY_MASTER, JOBS_MASTER, run_pipeline
 from advertlake.schema import CLEAN_SCHEMA, FLAGS_SCHEMA, HISTORY_SCHEMA
-from advertlake.sources import layers
+from advertlake.sources import layers, store
 from advertlake.streaming import ingest
-from checks.ads_view import CATEGORIES, PHRASES, TITLES
 from checks.compare import rows_of
 from tests.adverts import INGESTED_AT, advert, page, raw_frame
 
 TODAY = datetime(2026, 9, 3, 12, tzinfo=timezone.utc)
 
 
-def corpus(n, seed=7, country="gb"):
-    """Adverts whose chance of a skill phrase rises over the window, more so for technical categories."""
-    rng = random.Random(seed)
-    start = datetime(2026, 1, 1, tzinfo=timezone.utc)
-    span = (TODAY - start).days
+# Adverts per four weeks, and how many of them ask for a skill: technical ones rise, the others stay.
+SERIES = [
+    ("2026-01-05", 10, 1, 10, 1),
+    ("2026-02-02", 10, 2, 10, 0),
+    ("2026-03-02", 10, 3, 10, 1),
+    ("2026-03-30", 10, 5, 10, 0),
+    ("2026-04-27", 10, 6, 10, 1),
+    ("2026-05-25", 10, 8, 10, 1),
+]
+
+
+def corpus(country="gb", repeats=4):
+    """The adverts of the series, one a day, and the first few of them sent again at the end."""
     ads = []
-    for i in range(n):
-        tag, label = rng.choice(CATEGORIES)
-        created = TODAY - timedelta(days=rng.randint(1, span))
-        age = (created - start).days / span
-        chance = 0.10 + 0.35 * age if tag in ("it-jobs", "engineering-jobs") else 0.02 + 0.12 * age
-        text = "Join our growing team."
-        if rng.random() < chance:
-            text += f" Ideal for someone comfortable with {rng.choice(PHRASES)}."
-        ads.append(advert(id=f"{country}-{i}", title=rng.choice(TITLES), description=text,
-                          category={"tag": tag, "label": label}, created=created.strftime("%Y-%m-%dT%H:%M:%SZ"),
-                          salary_min="£30,000" if i % 12 == 0 else rng.choice([None, 25000, 90000]), salary_max=60000))
-    return ads + [dict(rng.choice(ads)) for _ in range(n * 3 // 100)]
+    for start, *counts in SERIES:
+        for tag, total, asking in (("it-jobs", *counts[:2]), ("music-jobs", *counts[2:])):
+            for i in range(total):
+                day = datetime.fromisoformat(start) + timedelta(days=2 * i)
+                text = "Plays in the evening." + (" Knows PyTorch and ML." if i < asking else "")
+                ads.append(advert(id=f"{country}-{len(ads)}", title="Organist", description=text, category={"tag": tag, "label": tag},
+                                  created=day.strftime("%Y-%m-%dT%H:%M:%SZ"), salary_min="£30,000" if i == 3 else 25000, salary_max=60000))
+    return ads + [dict(ad) for ad in ads[:repeats]]
 
 
 def land(folder, country, ads, size=50):
@@ -60,27 +62,27 @@ def land_history(folder, country):
 
 def test_full_run(spark, folder):
     for country in ("gb", "us"):
-        land(f"{folder}/search", country, corpus(300, country=country))
+        land(f"{folder}/search", country, corpus(country))
         land_history(f"{folder}/hist", country)
-    land(f"{folder}/search", "fr", corpus(10, country="fr"))  # not asked for
+    land(f"{folder}/search", "fr", corpus("fr"))  # not asked for
     spec = dict(search_path=f"{folder}/search", history_path=f"{folder}/hist", root=f"{folder}/data",
                 warehouse_root=f"{folder}/dw", ingested_at=TODAY, now=TODAY)
     result = run_pipeline(spark, export=True, **spec)
     assert result.passed and result.ingest_date == "2026-09-03"
-    assert result.raw_jobs == 618 and result.cleaned_rows == 600 == result.analysis_rows
-    assert result.cleaning_report.duplicates_removed == 18 and result.history_rows == 4
-    assert [(r.country, r.pages, r.fetched, r.complete) for r in result.extraction] == [("gb", 7, 309, True), ("us", 7, 309, True)]
+    assert result.raw_jobs == 248 and result.cleaned_rows == 240 == result.analysis_rows
+    assert result.cleaning_report.duplicates_removed == 8 and result.history_rows == 4
+    assert [(r.country, r.pages, r.fetched, r.complete) for r in result.extraction] == [("gb", 4, 124, True), ("us", 4, 124, True)]
     assert result.exported == ["ai_share_weekly", "ai_share_latest", "ai_skill_counts"]
-    master = layers.read_table(spark, f"{folder}/data/{JOBS_MASTER}", CLEAN_SCHEMA)
-    assert master.count() == 600 and master.select("ingest_date").distinct().count() == 1
-    history = layers.read_table(spark, f"{folder}/data/{HISTORY_MASTER}", HISTORY_SCHEMA)
+    master = store.read_keyed(spark, f"{folder}/data/{JOBS_MASTER}", CLEAN_SCHEMA)
+    assert master.count() == 240 and master.select("ingest_date").distinct().count() == 1
+    history = store.read_keyed(spark, f"{folder}/data/{HISTORY_MASTER}", HISTORY_SCHEMA, ("country",))
     assert history.agg(F.sum("count")).first()[0] == 24
     for path in result.written:
         assert os.path.isdir(path), path
     first = sorted(map(str, master.collect()))
 
     again = run_pipeline(spark, export=True, dry_run=True, **spec)
-    assert sorted(map(str, layers.read_table(spark, f"{folder}/data/{JOBS_MASTER}", CLEAN_SCHEMA).collect())) == first
+    assert sorted(map(str, store.read_keyed(spark, f"{folder}/data/{JOBS_MASTER}", CLEAN_SCHEMA).collect())) == first
     shape, head = again.previews["ai_skill_counts"]
     assert tuple(shape.first()) == ("ai_skill_counts", 4, 7) and head.count() == 4
 
@@ -98,10 +100,32 @@ def test_the_gate_stops_before_anything_is_loaded(spark, folder):
 
 
 def test_the_encoded_rise_is_recovered(spark):
-    clean, _ = clean_ads(raw_frame(spark, corpus(4000)), ingested_at=INGESTED_AT, start_date="2026-01-01")
+    clean, _ = clean_ads(raw_frame(spark, corpus()), ingested_at=INGESTED_AT, start_date="2026-01-01")
     weekly = A.period_share(enrich_ads(clean), digits=None)
     technical = A.edge_means(weekly.filter("role_class = 'technical'")).first()
     assert technical.late_mean > technical.early_mean + 0.05
+    other = A.edge_means(weekly.filter("role_class <> 'technical'")).first()
+    assert other.late_mean < other.early_mean + 0.05
+
+
+def test_everything_landed_is_loaded_and_losses_are_signalled(spark, folder):
+    """More pages than any cap, one of them twice, one broken: all readable adverts arrive, and the checks say what did not."""
+    path = f"{folder}/search/ingest_date=2026-09-03/country=gb"
+    os.makedirs(path)
+    lines = [page(i, [advert(id=f"{i}-{j}") for j in range(2)], 260) for i in range(1, 131)]
+    lines[6] = '{"page": 7, "results": "oops"}'
+    with open(f"{path}/pages.json", "w", encoding="utf-8") as handle:
+        handle.write("\n".join([*lines, lines[3], "no document"]))
+    spec = dict(search_path=f"{folder}/search", ingested_at=TODAY, now=TODAY)
+    result = run_pipeline(spark, root=f"{folder}/data", **spec)
+    assert result.raw_jobs == 258 and not result.passed
+    found = {r.name: (r.status, r.detail.split()[0]) for r in result.checks.collect()}
+    assert found["unreadable_pages"] == ("FAIL", "2") and found["incomplete_runs"] == ("WARN", "1")
+    assert [(r.pages, r.fetched, r.complete) for r in result.extraction] == [(129, 258, False)]
+    with pytest.raises(QualityError, match="unreadable_pages"):
+        run_pipeline(spark, root=f"{folder}/other", fail_on_validation=True, **spec)
+    capped = run_pipeline(spark, root=f"{folder}/capped", max_pages=5, **spec)
+    assert capped.raw_jobs == 10
 
 
 # -- streams -----------------------------------------------------------------------------------
@@ -121,7 +145,7 @@ def test_deltas_stream_into_the_table(spark, folder):
     def step():
         deltas = ingest.read_deltas(spark, f"{folder}/{layers.CLEAN_JOBS}", files_per_batch=1)
         ingest.stream_into_table(deltas, f"{folder}/table", f"{folder}/ck").awaitTermination()
-        return layers.read_table(spark, f"{folder}/table", CLEAN_SCHEMA)
+        return store.read_keyed(spark, f"{folder}/table", CLEAN_SCHEMA)
 
     layers.write_clean_delta(snapshots(spark, "2026-09-01", 5, "a"), folder)
     assert step().count() == 5
@@ -144,7 +168,7 @@ def test_stream_dedup_keeps_one_row_per_snapshot(spark, folder):
 
 
 def test_streamed_weeks_equal_the_batch(spark, folder):
-    clean, _ = clean_ads(raw_frame(spark, corpus(300)), ingested_at=INGESTED_AT)
+    clean, _ = clean_ads(raw_frame(spark, corpus()), ingested_at=INGESTED_AT)
     flags = enrich_ads(clean).cache()
     for part in flags.randomSplit([0.3, 0.3, 0.4], 5):
         part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
