@@ -16,7 +16,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,18 +59,18 @@ def with_folders(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
 
 
 def current_folders(spark: SparkSession, path: str, partitions: Sequence[str] = PARTITIONS) -> DataFrame:
-    """``_v`` and folder names of what a reader sees now: the latest entry of every folder."""
+    """``_v``, folder names and ``load`` of what a reader sees now: the latest entry of every folder."""
     names = folder_columns(partitions)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (VERSION, *names)] + [T.StructField("load", T.LongType())])
     if not table_exists(spark, f"{path}/manifest"):
-        return spark.createDataFrame([], schema).drop("load")
+        return spark.createDataFrame([], schema)
     entries = spark.read.schema(schema).parquet(f"{path}/manifest")
-    latest = entries.groupBy(*names).agg(F.max_by(VERSION, "load").alias(VERSION))
-    return latest.select(VERSION, *names)
+    latest = entries.groupBy(*names).agg(F.max_by(VERSION, "load").alias(VERSION), F.max("load").alias("load"))
+    return latest.select(VERSION, *names, "load")
 
 
 def _read_folders(
-    spark: SparkSession, path: str, schema: T.StructType, folders: DataFrame, partitions: Sequence[str]
+    spark: SparkSession, path: str, schema: T.StructType, folders: Sequence[Row], partitions: Sequence[str]
 ) -> DataFrame:
     """Rows of the listed folders (``_v`` and names); the names prune the scan column by column.
 
@@ -78,25 +78,19 @@ def _read_folders(
     """
     names = [VERSION, *folder_columns(partitions)]
     stored = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in names]])
-    if not table_exists(spark, f"{path}/data"):
+    if not folders:
         return spark.createDataFrame([], schema)
-    listed = folders.agg(*[F.collect_set(c).alias(c) for c in names]).first()
     data = spark.read.schema(stored).parquet(f"{path}/data")
-    data = data.filter(reduce(and_, [F.col(c).isin(listed[c]) for c in names]))
-    return data.join(folders, names, "left_semi").select(*schema.names)
+    data = data.filter(reduce(and_, [F.col(c).isin(sorted({r[c] for r in folders})) for c in names]))
+    listed = spark.createDataFrame([tuple(r[c] for c in names) for r in folders], ", ".join(f"{c} string" for c in names))
+    return data.join(listed, names, "left_semi").select(*schema.names)
 
 
 def read_keyed(
     spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str] = PARTITIONS
 ) -> DataFrame:
-    """The keyed table at ``path`` as the latest complete load left it."""
-    return _read_folders(spark, path, schema, current_folders(spark, path, partitions), partitions)
-
-
-def affected_folders(current: DataFrame, batch: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The present folders that the batch touches."""
-    touched = with_folders(batch, partitions).select(*folder_columns(partitions)).distinct()
-    return current.join(touched, folder_columns(partitions), "left_semi")
+    """The keyed table at ``path`` as the latest complete load left it; the driver lists its folders, no rows."""
+    return _read_folders(spark, path, schema, current_folders(spark, path, partitions).collect(), partitions)
 
 
 def rows_of_folders(df: DataFrame, folders: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -123,12 +117,12 @@ def one_per_key(batch: DataFrame, key: Sequence[str], last_of: Sequence[str] | N
     return keep_first_sparse(batch.select(*whole), key, order)
 
 
-def _publish(spark: SparkSession, path: str, version: str, folders: DataFrame) -> None:
+def _publish(spark: SparkSession, path: str, load: int, version: str, folders: Sequence[Row]) -> None:
     """The switch: one file with the new version of every written folder."""
-    known = f"{path}/manifest"
-    last = spark.read.schema("load bigint").parquet(known).agg(F.max("load")).first()[0] if table_exists(spark, known) else None
-    entries = folders.select(F.lit(version).alias(VERSION), *folders.columns, F.lit((last or 0) + 1).cast("long").alias("load"))
-    entries.repartition(1).write.mode("append").parquet(known)
+    names = list(folders[0].asDict())
+    schema = ", ".join([f"{c} string" for c in (VERSION, *names)] + ["load bigint"])
+    entries = spark.createDataFrame([(version, *row, load) for row in folders], schema)
+    entries.repartition(1).write.mode("append").parquet(f"{path}/manifest")
 
 
 def save_replaced(
@@ -150,16 +144,20 @@ def save_replaced(
     """
     names = folder_columns(partitions)
     fresh = one_per_key(enforce_schema(batch, schema), key, keep_last_of)
-    old_folders = stage(affected_folders(current_folders(spark, path, partitions), fresh, partitions), "old-folders")
+    # folders, not rows: as many as the batch has days and countries
+    touched = with_folders(fresh, partitions).select(*names).distinct().collect()
+    if not touched:
+        return
+    current = current_folders(spark, path, partitions).collect()
+    wanted = set(map(tuple, touched))
+    old_folders = [r for r in current if tuple(r[n] for n in names) in wanted]
     old = _read_folders(spark, path, schema, old_folders, partitions)
     merged = with_folders(replace_by_key(old, fresh, key=key), partitions)
     version = uuid.uuid4().hex
     out = spread_for_write(merged, names).sortWithinPartitions(*names, *[F.asc_nulls_last(c) for c in sort])
     out.write.partitionBy(*names).parquet(f"{path}/data/{VERSION}={version}")
-    written = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in names]])
-    folders = spark.read.schema(written).parquet(f"{path}/data/{VERSION}={version}").select(*names).distinct()
-    _publish(spark, path, version, folders)
-    for row in old_folders.collect():  # as many as the batch has folders
+    _publish(spark, path, 1 + max((r["load"] for r in current), default=0), version, touched)
+    for row in old_folders:
         remove(spark, f"{path}/data/{VERSION}={row[VERSION]}/" + "/".join(f"{n}={_escaped(row[n])}" for n in names))
 
 
