@@ -35,7 +35,8 @@ SPAN = 400
 GRAM_SHARES = (0.12, 0.56, 0.78, 0.89, 1.0)  # lengths of the grams of the levels, as shares of the span
 UNIT_BYTES = 1 << 20
 UNIT_PIECES = 1024  # different pieces of one anchor that an index takes
-PLACE_BITS = 28
+# Places fit any text Spark can hold; of equal shortened hashes the first counts, in every copy of a string alike.
+PLACE_BITS = 32
 
 
 def gram_lengths(span: int) -> list[int]:
@@ -65,10 +66,7 @@ def anchors(block: Block, span: int, gram: int) -> tuple[np.ndarray, ...]:
         return none, none, none, none
     starts = np.arange(n - gram + 1)
     hashes = span_hash(prefix_hash(block.data), starts, starts + gram)
-    # the place in the low bits makes the first of equal grams the least
     keyed = (hashes >> U64(PLACE_BITS) << U64(PLACE_BITS)) | starts.astype(np.uint64)
-    if n >= 1 << PLACE_BITS:
-        raise ValueError("a text is too long for the places of its grams")
     least = (sliding_least(keyed, span - gram + 1) & U64((1 << PLACE_BITS) - 1)).astype(np.int64)
     inside = np.zeros(len(least) + 1, np.int32)
     sizes = np.diff(block.offsets)
@@ -298,6 +296,7 @@ def repeated_marks(documents: DataFrame, texts: DataFrame, *, span: int = SPAN)
     table = anchor_table(documents, span, grams[0])
     place = F.xxhash64("k", "a")
     twice = table.groupBy("g").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low <> high").select("g")
+    twice = stage(twice, "repeat-grams")  # so that the join has shuffles of its own, whose large parts can be split
     # anchors of one text, each task's copy of it being equal
     listed = table.join(twice, "g").groupBy("k").agg(F.array_distinct(F.collect_list(F.struct("g", "a", "b"))).alias("found"))
     candidates = stage(texts.join(listed, "k"), "repeat-candidates")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from advertlake.operators.windows import keep_first
+from advertlake.session import stage
 
 
 @dataclass(frozen=True)
@@ -193,7 +194,8 @@ class BlobLedger:
         kept = [c for c in paths.columns if c not in (text, "blob", "spans")]
         addressed = paths.select(*kept, address(F.col(text)).alias("blob"))
         empty = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
-        return addressed.join(self.findings(), "blob", "left").withColumn("spans", F.coalesce("spans", empty))
+        found = stage(self.findings(), "secret-findings")  # a shuffle of its own, so that a blob of many paths can be split
+        return addressed.join(found, "blob", "left").withColumn("spans", F.coalesce("spans", empty))
 
 
 def listed(spans: Column) -> Column:

@@ -126,6 +126,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, default: str = "allow", by
         .groupBy("host_key", "path")
         .agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "rule")).alias("found"))
     )
+    decided = stage(decided, "url-verdicts")  # a shuffle of its own, so that a url of many rows can be split
     return keyed.join(decided, ["host_key", "path"], "left").select(
         *by,
         "host",
