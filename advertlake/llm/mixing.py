@@ -1,9 +1,10 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Tokens are summed per cell of source, language and topic. The cells' token mass is raked: scaled in turn so that each
-marginal meets its target, until all do. A cell's raked mass over its tokens is its weight; weights divided by the
-largest are sampling probabilities, which the sample meets the targets with, in expectation, without repeating a
-document. Only the cells come to the driver: as many as the target lists span, whatever the corpus holds.
+Tokens are summed per cell of source, language and topic. A stated share of the tokens is to be sampled. The cells' mass is
+raked: scaled in turn so that each marginal meets its target of that share, until all do, and never beyond what a cell
+holds, so that no document is needed twice. A cell's raked mass over its tokens is its sampling probability, and the
+sample meets the targets in expectation. Only the cells come to the driver: as many as the target lists span, whatever the
+corpus holds.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 OTHER = "(other)"
 ROUNDS = 25
+SHARE = 0.5  # of the tokens that the sample shall have
 SEED = 11
 
 # Topics as ordered rules on the case-folded text; the first that holds gives the topic.
@@ -65,11 +67,16 @@ class Raked:
     error: float
 
 
-def rake(cells: Mapping[tuple[str, str, str], int], targets: Mapping[str, Mapping[str, float]], rounds: int = ROUNDS) -> Raked:
+def rake(
+    cells: Mapping[tuple[str, str, str], int],
+    targets: Mapping[str, Mapping[str, float]],
+    rounds: int = ROUNDS,
+    share: float = SHARE,
+) -> Raked:
     """Iterative proportional fitting over the cells that hold tokens.
 
     A value without tokens gives up its share to the others of its dimension in proportion. A value with target 0 or
-    none has probability 0. Targets that contradict each other on these cells leave an ``error``.
+    none has probability 0. Targets that contradict each other or ask for more than the cells hold leave an ``error``.
     """
     names = list(targets)
     keys = sorted(k for k, n in cells.items() if n > 0 and all(targets[d].get(v, 0) > 0 for d, v in zip(names, k)))
@@ -82,13 +89,13 @@ def rake(cells: Mapping[tuple[str, str, str], int], targets: Mapping[str, Mappin
     for d, name in enumerate(names):
         goal = np.array([targets[name][v] for v in values[d]])
         goals.append(goal / goal.sum())
-    mass = tokens / tokens.sum()
+    wanted = share * tokens.sum()
+    mass = tokens * share
     for _ in range(rounds):
         for d in range(len(names)):
-            mass = mass * (goals[d] / np.bincount(at[d], mass))[at[d]]
-    error = max(float(abs(np.bincount(at[d], mass) - goals[d]).max()) for d in range(len(names)))
-    weights = mass / tokens
-    return Raked({k: float(w) for k, w in zip(keys, weights / weights.max())}, error)
+            mass = np.minimum(mass * (goals[d] * wanted / np.bincount(at[d], mass))[at[d]], tokens)
+    error = max(float(abs(np.bincount(at[d], mass) / wanted - goals[d]).max()) for d in range(len(names)))
+    return Raked({k: float(p) for k, p in zip(keys, mass / tokens)}, error)
 
 
 def described(documents: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> DataFrame:
@@ -133,7 +140,9 @@ def sample_to_targets(
     return rows.filter(uniform(F.col("row.doc_id"), seed) < F.col("probability"))
 
 
-def sample_sql(targets: Mapping[str, Mapping[str, float]] = TARGETS, rounds: int = ROUNDS, seed: int = SEED) -> str:
+def sample_sql(
+    targets: Mapping[str, Mapping[str, float]] = TARGETS, rounds: int = ROUNDS, seed: int = SEED, share: float = SHARE
+) -> str:
     """The same sample in SQL, the rounds written out one by one."""
     names = list(targets)
     topic = "CASE " + " ".join(f"WHEN contains(lower(t), '{p}') THEN '{v}'" for v, p in TOPIC_RULES) + f" ELSE '{NO_TOPIC}' END"
@@ -151,7 +160,7 @@ e AS (SELECT doc_id, {bucketed("source", "source")} AS source, {bucketed("lang",
   FROM (SELECT *, {topic} AS topic FROM d)),
 goals AS ({goals}),
 cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM e GROUP BY ALL HAVING sum(n_tokens) > 0),
-m0 AS MATERIALIZED (SELECT source, lang, topic, tokens, tokens / sum(tokens) OVER () AS m FROM cells
+m0 AS MATERIALIZED (SELECT source, lang, topic, tokens, tokens * {share}::DOUBLE AS m FROM cells
   JOIN goals a ON a.dim = 'source' AND a.value = source AND a.goal > 0
   JOIN goals b ON b.dim = 'lang' AND b.value = lang AND b.goal > 0
   JOIN goals c ON c.dim = 'topic' AND c.value = topic AND c.goal > 0)"""
@@ -160,13 +169,14 @@ m0 AS MATERIALIZED (SELECT source, lang, topic, tokens, tokens / sum(tokens) OVE
         steps.append(
             f"g_{d} AS MATERIALIZED (SELECT value, goal / sum(goal) OVER () AS goal FROM goals WHERE dim = '{d}' AND value IN (SELECT {d} FROM m0))"
         )
+    steps.append(f"wanted AS MATERIALIZED (SELECT sum(tokens) * {share}::DOUBLE AS w FROM m0)")
     k = 0
     for _ in range(rounds):
         for d in names:
             steps.append(
-                f"m{k + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, m * (goal / sum(m) OVER (PARTITION BY {d})) AS m FROM m{k} JOIN g_{d} ON value = {d})"
+                f"m{k + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, least(m * (goal * w / sum(m) OVER (PARTITION BY {d})), tokens) AS m FROM m{k} JOIN g_{d} ON value = {d}, wanted)"
             )
             k += 1
-    last = f"""p AS (SELECT source, lang, topic, (m / tokens) / max(m / tokens) OVER () AS p FROM m{k})
+    last = f"""p AS (SELECT source, lang, topic, m / tokens AS p FROM m{k})
 SELECT doc_id, source, lang, topic, n_tokens, round(p, 9) AS probability FROM e JOIN p USING (source, lang, topic) WHERE u < p"""
     return ",\n".join([*steps, last])

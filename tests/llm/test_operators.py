@@ -296,13 +296,16 @@ def test_held_out_labels_are_not_learned_from(llm):
 def test_raking_meets_the_targets():
     cells = {(s, l, t): n for s, a in (("x", 9), ("y", 1)) for l, b in (("en", 5), ("fr", 2)) for t, c in (("p", 3), ("q", 1)) for n in [a * b * c]}
     targets = {"source": {"x": 0.5, "y": 0.3, "none": 0.2}, "lang": {"en": 0.6, "fr": 0.4}, "topic": {"p": 0.7, "q": 0.3}}
-    raked = mixing.rake(cells, targets)
+    raked = mixing.rake(cells, targets, share=0.1)
     mass = {k: raked.probabilities[k] * n for k, n in cells.items()}
     total = sum(mass.values())
-    assert raked.error < 1e-9 and max(raked.probabilities.values()) == 1
+    assert raked.error < 1e-9 and abs(total - 0.1 * sum(cells.values())) < 1e-9
     assert abs(sum(m for k, m in mass.items() if k[0] == "x") / total - 0.625) < 1e-9
     assert abs(sum(m for k, m in mass.items() if k[2] == "q") / total - 0.3) < 1e-9
     assert mixing.rake({}, targets).probabilities == {}
+    # the scarce source cannot give what is asked of it: all of it is taken, and the error says so
+    scarce = mixing.rake(cells, targets, share=0.9)
+    assert max(scarce.probabilities.values()) == 1 and scarce.error > 0.1
 
 
 def test_sample_follows_its_probabilities(llm):

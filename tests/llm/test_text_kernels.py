@@ -167,3 +167,14 @@ def test_calibration_is_bounded_on_separable_logits():
     slope, shift = quality.calibration(z, (z > 0).astype(float))
     assert 0 < slope < 10 and abs(shift) < 5
     assert quality.calibration(z, np.ones(100)) == (1.0, 0.0)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 2**40), max_size=60), min_size=1, max_size=6))
+def test_parities_never_show_more_than_what_differs(sets):
+    flat = np.array([x for s in sets for x in sorted(s)], np.uint64)
+    bits = ngram_join.parities(flat, np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int64))
+    for a, x in zip(sets, bits):
+        for b, y in zip(sets, bits):
+            shown = int(np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)).sum())
+            assert shown <= len(a ^ b) and shown % 2 == len(a ^ b) % 2
