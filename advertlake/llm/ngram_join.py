@@ -8,10 +8,10 @@ documents of each of its shingles, and each fragment counts for itself; sums per
    shingles, summed over the fragments, are fewer than the threshold asks for has no partner. Most end here.
 2. The others keep their repeated shingles in order of rarity. Partners share one of the first few of them, more than
    that would be too many to miss. Documents with the same text set were made one class at the start.
-3. Candidates' overlaps are counted segment by segment and summed per pair. To start with, every class is only paired
-   with the first one of each list it is in. When the components of these links are known, the remaining pairs of a
-   list are those between different components: the links inside a large group of near copies are never all listed,
-   and none that joins two components is missed.
+3. Candidates' overlaps are counted segment by segment and summed per pair. In a few rounds every component, at first
+   every class, tries one pair with the first component of a list it is in. The remaining pairs of a list are those
+   between different components: the links inside a large group of near copies are never all listed, and none that
+   joins two components is missed.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ PERCENT = 80
 FRAGMENTS_PER_PARTITION = 4
 MOST_FRAGMENTS = 1 << 16
 SEGMENTS = 8  # of the repeated shingles of a document, when pairs are counted
+PARITY_WORDS = 8
+ROUNDS = 4  # of single tries per component before all remaining pairs are looked at
 BUFFERED = 1 << 21  # shingles a task holds before it passes them on
 
 KEPT_BYTES = 6  # of a shingle's hash beside its fragment
@@ -158,13 +160,18 @@ def repeated_of_fragment(frag: int, rows: list[tuple[bytes, bytes, bytes]]) -> t
     return k[per > 1], (out[per > 1] ^ U64(1 << 63)).view(np.int64)  # the sign bit turned, so that longs keep the order
 
 
-REPEATED_SCHEMA = "k bigint, v array<bigint>"
+REPEATED_SCHEMA = "k bigint, v array<bigint>, bits array<bigint>"
+PACKED_SCHEMA = "bucket int, ks binary, vs binary"
 
 
 def repeated_shingles(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """Per set and task of fragments: the shingles it shares with others, ``k, v``."""
-    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fragments = min(FRAGMENTS_PER_PARTITION * partitions, MOST_FRAGMENTS)
+    """Per set with any: the shingles it shares with others, rarest first, and their parities, ``k, v, bits``.
+
+    What the fragments find is packed by buckets of the sets' keys, so the rows that are moved are as many as pairs of
+    tasks, not as sets in fragments, and a bucket's task has each of its sets whole.
+    """
+    buckets = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fragments = min(FRAGMENTS_PER_PARTITION * buckets, MOST_FRAGMENTS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -172,32 +179,81 @@ def repeated_shingles(documents: DataFrame, size: int = SHINGLE_WORDS) -> DataFr
 
         def flush() -> pa.RecordBatch:
             k, v = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(k, kind="stable")
+            bucket = (k.view(np.uint64) >> U64(32)) % U64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            k, v, bucket = k[order], v[order], bucket[order]
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            ends = np.append(first[1:], len(k))
+            columns = [pa.array(bucket[first].astype(np.int32))]
+            columns += [pa.array([x[i:j].tobytes() for i, j in zip(first, ends)], pa.binary()) for x in (k, v)]
+            return pa.RecordBatch.from_arrays(columns, names=["bucket", "ks", "vs"])
+
+        for frag, rows in _grouped(batches, "frag", ("ks", "counts", "ids")):
+            found = repeated_of_fragment(frag, rows)
+            if len(found[0]):
+                held.append(found)
+                n += len(found[0])
+            if n >= BUFFERED:
+                yield flush()
+                held, n = [], 0
+        if held:
+            yield flush()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _grouped(batches, "bucket", ("ks", "vs")):
+            k, v = (np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]) for i in range(2))
+            order = np.lexsort((v, k))
             k, v = k[order], v[order]
             first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
             lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(k)).astype(np.int32)), pa.array(v))
-            return pa.RecordBatch.from_arrays([pa.array(k[first]), lists], names=["k", "v"])
+            bits = parities(v.view(np.uint64), np.append(first, len(k)))
+            words = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * PARITY_WORDS), pa.array(bits.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(k[first]), lists, words], names=["k", "v", "bits"])
 
-        now, rows = None, []
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("frag", "ks", "counts", "ids")]
-            for frag, *row in zip(*columns):
-                if rows and frag != now:
-                    held.append(repeated_of_fragment(now, rows))
-                    n += len(held[-1][0])
-                    rows = []
-                    if n >= BUFFERED:
-                        yield flush()
-                        held, n = [], 0
-                now = frag
-                rows.append(row)
-        if rows:
-            held.append(repeated_of_fragment(now, rows))
-        if sum(len(x[0]) for x in held):
-            yield flush()
+    dealt = segments(documents, fragments, size).repartition("frag").sortWithinPartitions("frag")
+    packed = dealt.mapInArrow(count, PACKED_SCHEMA).repartition("bucket").sortWithinPartitions("bucket")
+    return packed.mapInArrow(merge, REPEATED_SCHEMA)
+
+
+def parities(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each set: whether an odd number of its values falls into each of 512 places, as eight longs.
 
-    dealt = segments(documents, fragments, size).repartitionByRange("frag").sortWithinPartitions("frag")
-    return dealt.mapInArrow(count, REPEATED_SCHEMA)
+    Two sets differ in at least as many values as their parities differ in places.
+    """
+    places = 64 * PARITY_WORDS
+    place = (mix(values) >> U64(64 - places.bit_length() + 1)).astype(np.int64)
+    out = np.empty((len(bounds) - 1, PARITY_WORDS), np.int64)
+    for i in range(0, len(out), 1024):
+        low, high = bounds[i], bounds[min(i + 1024, len(out))]
+        sets = np.repeat(np.arange(min(1024, len(out) - i)), np.diff(bounds[i : i + 1025]))
+        odd = np.bincount(sets * places + place[low:high], minlength=min(1024, len(out) - i) * places) & 1
+        out[i : i + 1024] = np.packbits(odd.astype(bool), bitorder="little").view(np.int64).reshape(-1, PARITY_WORDS)
+    return out
+
+
+def _may_reach(percent: int) -> Column:
+    """Whether sets ``a`` and ``b`` (sizes n, repeated r, parities) can be alike enough, by a bound that never misses.
+
+    Shingles that only one set has differ for certain; of the others at least as many differ as parities do.
+    """
+    odd = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(PARITY_WORDS))
+    differ = F.expr(f"(na - r_a) + (nb - r_b) + {odd}")
+    both = F.col("na") + F.col("nb")
+    return (100 + percent) * (both - differ) >= 2 * percent * both
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], by: str, columns: tuple[str, ...]) -> Iterator[tuple[int, list]]:
+    """Rows of each value of ``by``, which they are sorted by."""
+    now, rows = None, []
+    for batch in batches:
+        for group, *row in zip(*[batch.column(c).to_pylist() for c in (by, *columns)]):
+            if rows and group != now:
+                yield now, rows
+                rows = []
+            now = group
+            rows.append(row)
+    if rows:
+        yield now, rows
 
 
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -215,41 +271,66 @@ def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
 
 def class_links(documents: DataFrame, classes: DataFrame, *, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
     """``node, root`` of all classes that have a partner; ``classes`` has ``k`` and ``n``."""
-    whole = F.flatten(F.collect_list("v"))  # of one document
-    shared = repeated_shingles(documents, size).groupBy("k").agg(F.array_sort(whole).alias("v"))
-    shared = shared.withColumn("r", F.size("v").cast("bigint"))
+    shared = repeated_shingles(documents, size).withColumn("r", F.size("v").cast("bigint"))
     needed = F.ceil(F.col("n") * percent / 100).cast("bigint")
-    live = stage(shared.join(classes.select("k", "n"), "k").withColumn("first", F.col("r") - needed + 1).filter("first > 0"), "ngram-live")
+    live = shared.join(classes.select("k", "n"), "k").withColumn("first", F.col("r") - needed + 1)
+    live = stage(live.filter("first > 0"), "ngram-live")
 
     # Shingles of one set come before all others, so a place in the whole order is behind n - r of them.
     listed = live.select("k", "n", "r", F.posexplode(F.expr("slice(v, 1, cast(first AS int))")).alias("i", "v"))
-    listed = listed.withColumn("at", F.col("n") - F.col("r") + F.col("i")).drop("i", "r")
-    lists = listed.groupBy("v").agg(F.min("k").alias("lead"), F.max("k").alias("other")).filter("lead <> other").select("v", "lead")
+    listed = listed.withColumn("at", F.col("n") - F.col("r") + F.col("i")).drop("r")
+    lists = listed.groupBy("v").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low <> high").select("v")
     entries = stage(listed.join(lists, "v"), "ngram-lists")
 
     segment = F.expr(f"transform(sequence(0, {SEGMENTS - 1}), p -> struct(p AS part, filter(v, x -> pmod(x, {SEGMENTS}) = p) AS seg))")
     parts = stage(live.select("k", F.explode(segment).alias("s")).select("k", "s.part", "s.seg").filter("size(seg) > 0"), "ngram-parts")
-    sizes = live.select("k", "n")
-    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).alias("fits")
-
-    led = entries.filter("k <> lead").select(F.col("lead").alias("a"), F.col("k").alias("b"), F.col("n").alias("nb")).distinct()
-    led = led.join(sizes.select(F.col("k").alias("a"), F.col("n").alias("na")), "a").filter(fits)
-    links = stage(verified(led, parts, percent), "ngram-links")
-    roots = connected(links, "ngram-components")
-
-    # What is left: pairs of one list in different components.
-    rooted = entries.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    signs = stage(live.select("k", "r", "bits"), "ngram-parities")
+    of = lambda x: signs.select(F.col("k").alias(x), F.col("r").alias(f"r_{x}"), F.col("bits").alias(f"bits_{x}"))
+
+    # Each round every component tries one pair with another one of its lists: as many pairs as components.
+    roots = None
+    rooted = entries.withColumn("root", F.col("k"))
+    for _ in range(ROUNDS):
+        heads = rooted.groupBy("v", "root").agg(F.min(F.struct("k", "n")).alias("head"))
+        leads = heads.groupBy("v").agg(F.min(F.struct("root", "head")).alias("lead"), F.max("root").alias("high"))
+        leads = leads.filter("lead.root <> high").select("v", "lead")
+        tried = heads.join(leads, "v").filter("root <> lead.root").select(
+            "root", F.col("lead.head.k").alias("a"), F.col("head.k").alias("b"), F.col("lead.head.n").alias("na"), F.col("head.n").alias("nb")
+        )
+        often = tried.filter(fits).groupBy("root", "a", "b", "na", "nb").agg(F.count("*").alias("c"))
+        able = often.join(of("a"), "a").join(of("b"), "b").filter(_may_reach(percent))
+        best = able.groupBy("root").agg(F.max(F.struct("c", "a", "b", "na", "nb")).alias("best"))
+        best = best.select("best.a", "best.b", "best.na", "best.nb").distinct()
+        found = stage(verified(best, parts, percent), "ngram-links")
+        if found.isEmpty():
+            break
+        if roots is not None:
+            found = found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = connected(found, "ngram-components")
+        rooted = entries.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
+
+    # What is left: all pairs of one list in different components. Two sets that meet at some place share at most what
+    # both have listed before it, it, and what both have behind it;
+    # and their parities say how many shingles they differ in at least.
     open_lists = rooted.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("v")
-    rest = stage(rooted.join(open_lists, "v").select("v", "k", "n", "at", "root"), "ngram-open")
-    one = rest.select("v", F.col("k").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), F.col("root").alias("ra"))
-    two = rest.select("v", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"), F.col("root").alias("rb"))
-    met = one.join(two, "v").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).filter(fits)
-    met = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    rest = stage(rooted.join(open_lists, "v").join(signs, "k").select("v", "k", "n", "r", "at", "i", "root", "bits"), "ngram-open")
+    one, two = (
+        rest.select(
+            "v", F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"p{x}"), F.col("i").alias(f"i{x}"),
+            F.col("root").alias(f"root_{x}"), F.col("r").alias(f"r_{x}"), F.col("bits").alias(f"bits_{x}"),
+        )
+        for x in "ab"
+    )
     behind = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    possible = (100 + percent) * (F.col("c") + behind) >= percent * (F.col("na") + F.col("nb"))
-    more = verified(met.filter(possible).select("a", "b", "na", "nb"), parts, percent)
-    both = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
-    return connected(both, "ngram-components")
+    reaches = lambda shared: (100 + percent) * shared >= percent * (F.col("na") + F.col("nb"))
+    apart = (one["v"] == two["v"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+    met = one.join(two, apart & fits & _may_reach(percent) & reaches(F.least("ia", "ib") + 1 + behind))
+    met = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    more = verified(met.filter(reaches(F.col("c") + behind)).select("a", "b", "na", "nb"), parts, percent)
+    if roots is not None:
+        more = more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return connected(more, "ngram-components")
 
 
 def rooted_classes(documents: DataFrame, rows: DataFrame, *, percent: int, size: int) -> DataFrame:
