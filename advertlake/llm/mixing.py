@@ -1,16 +1,20 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Tokens are summed per cell of source, language and topic. A stated share of the tokens is to be sampled. The cells' mass is
-raked: scaled in turn so that each marginal meets its target of that share, until all do, and never beyond what a cell
-holds, so that no document is needed twice. A cell's raked mass over its tokens is its sampling probability, and the
-sample meets the targets in expectation. Only the cells come to the driver: as many as the target lists span, whatever the
-corpus holds.
+Tokens are summed per cell of source, language and topic. The cells' mass is raked: scaled in turn so that each marginal
+meets its target, until all do, and never beyond what a cell holds, so that no document is needed twice. Scarce values
+bound the share of the tokens with which that is possible, so the stated share is sampled or else the largest one that
+meets all targets. A cell's raked mass over its tokens is its sampling probability, and the sample meets the targets in
+expectation. Only the cells come to the driver: as many as the target lists span, whatever the corpus holds.
+
+With a share that has to be kept, as ``sample_sql`` states it, a fixed number of rounds cuts masses off at what cells
+hold. Such a sample can miss its targets; like targets that contradict each other, this is warned of with the marginals.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -21,6 +25,11 @@ ROUNDS = 25
 SHARE = 0.5  # of the tokens that the sample shall have
 SEED = 11
 
+# A marginal share closer than this to its target meets it. Rounds and halvings bound the search for the share.
+CLOSE = 1e-7
+MOST_ROUNDS = 300
+HALVINGS = 12
+
 # Topics as ordered rules on the case-folded text; the first that holds gives the topic.
 TOPIC_RULES = (("license", "licensed under"), ("table", " | "), ("contact", "@"))
 NO_TOPIC = "prose"
@@ -61,10 +70,72 @@ def uniform(doc_id: Column, seed: int) -> Column:
 
 @dataclass(frozen=True)
 class Raked:
-    """Cells in order, their probabilities, and how far the worst marginal share is off its target."""
+    """Cells in order, their probabilities, how far the worst marginal is off its target, as a share of what was wanted,
+    the share of the tokens that is sampled, and for each dimension's values (target, marginal share of the sample)."""
 
     probabilities: dict[tuple[str, str, str], float]
     error: float
+    share: float = 0.0
+    marginals: dict[str, dict[str, tuple[float, float]]] = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class _Cells:
+    """Cells that hold tokens and have targets, with each dimension's values, the cells' places in them, and goals."""
+
+    names: list[str]
+    keys: list[tuple[str, str, str]]
+    tokens: np.ndarray
+    values: list[list[str]]
+    at: list[np.ndarray]
+    goals: list[np.ndarray]
+
+    @classmethod
+    def of(cls, cells: Mapping[tuple[str, str, str], int], targets: Mapping[str, Mapping[str, float]]) -> _Cells:
+        names = list(targets)
+        keys = sorted(k for k, n in cells.items() if n > 0 and all(targets[d].get(v, 0) > 0 for d, v in zip(names, k)))
+        values = [sorted({k[d] for k in keys}) for d in range(len(names))]
+        at = [np.array([values[d].index(k[d]) for k in keys], np.int64) for d in range(len(names))]
+        goals = []
+        for d, name in enumerate(names):
+            goal = np.array([targets[name][v] for v in values[d]])
+            goals.append(goal / goal.sum())
+        return cls(names, keys, np.array([cells[k] for k in keys], float), values, at, goals)
+
+    def error(self, mass: np.ndarray, wanted: float) -> float:
+        return max(float(abs(np.bincount(at, mass) / wanted - goal).max()) for at, goal in zip(self.at, self.goals))
+
+    def raked(self, mass: np.ndarray, wanted: float) -> Raked:
+        total, marginals = mass.sum(), {}
+        for name, values, at, goal in zip(self.names, self.values, self.at, self.goals):
+            got = np.bincount(at, mass) / total
+            marginals[name] = {v: (float(g), float(x)) for v, g, x in zip(values, goal, got)}
+        probabilities = {k: float(p) for k, p in zip(self.keys, mass / self.tokens)}
+        return Raked(probabilities, self.error(mass, wanted), float(total / self.tokens.sum()), marginals)
+
+    def bounded(self, share: float) -> tuple[np.ndarray, float]:
+        """The mass nearest to the tokens that meets the goals of ``share`` within what cells hold, and its error.
+
+        Each value's factor is solved for exactly, cells that are full counted in; the factors of full cells go on
+        beyond 1, so that a later round can take back what an earlier one filled.
+        """
+        wanted = share * self.tokens.sum()
+        factor = np.full(len(self.keys), share)
+        members = [[np.flatnonzero(at == v) for v in range(len(goal))] for at, goal in zip(self.at, self.goals)]
+        for _ in range(MOST_ROUNDS):
+            for groups, goal in zip(members, self.goals):
+                for own, g in zip(groups, goal):
+                    own = own[np.argsort(-factor[own], kind="stable")]
+                    f, t = factor[own], self.tokens[own]
+                    full = np.concatenate(([0.0], np.cumsum(t)[:-1]))
+                    scale = (g * wanted - full) / np.cumsum((f * t)[::-1])[::-1]
+                    fits = np.flatnonzero(scale * f <= 1)
+                    factor[own] = f * (scale[fits[0]] if len(fits) else 1 / f[-1])
+            mass = np.minimum(factor, 1) * self.tokens
+            error = self.error(mass, wanted)
+            if error < CLOSE:
+                break
+        return mass, error
 
 
 def rake(
@@ -73,29 +144,52 @@ def rake(
     rounds: int = ROUNDS,
     share: float = SHARE,
 ) -> Raked:
-    """Iterative proportional fitting over the cells that hold tokens.
+    """Iterative proportional fitting over the cells that hold tokens, for a share that has to be kept.
 
     A value without tokens gives up its share to the others of its dimension in proportion. A value with target 0 or
     none has probability 0. Targets that contradict each other or ask for more than the cells hold leave an ``error``.
     """
-    names = list(targets)
-    keys = sorted(k for k, n in cells.items() if n > 0 and all(targets[d].get(v, 0) > 0 for d, v in zip(names, k)))
-    if not keys:
+    known = _Cells.of(cells, targets)
+    if not known.keys:
         return Raked({}, 0.0)
-    tokens = np.array([cells[k] for k in keys], float)
-    values = [sorted({k[d] for k in keys}) for d in range(len(names))]
-    at = [np.array([values[d].index(k[d]) for k in keys]) for d in range(len(names))]
-    goals = []
-    for d, name in enumerate(names):
-        goal = np.array([targets[name][v] for v in values[d]])
-        goals.append(goal / goal.sum())
+    tokens = known.tokens
     wanted = share * tokens.sum()
     mass = tokens * share
     for _ in range(rounds):
-        for d in range(len(names)):
-            mass = np.minimum(mass * (goals[d] * wanted / np.bincount(at[d], mass))[at[d]], tokens)
-    error = max(float(abs(np.bincount(at[d], mass) / wanted - goals[d]).max()) for d in range(len(names)))
-    return Raked({k: float(p) for k, p in zip(keys, mass / tokens)}, error)
+        for at, goal in zip(known.at, known.goals):
+            mass = np.minimum(mass * (goal * wanted / np.bincount(at, mass))[at], tokens)
+    return known.raked(mass, wanted)
+
+
+def rake_within_reach(
+    cells: Mapping[tuple[str, str, str], int],
+    targets: Mapping[str, Mapping[str, float]],
+    rounds: int = ROUNDS,
+    share: float = SHARE,
+) -> Raked:
+    """As ``rake``, with ``share`` or else the largest share below it with which every marginal meets its target.
+
+    Only targets that contradict each other on these cells, which no share can meet, leave an ``error``.
+    """
+    known = _Cells.of(cells, targets)
+    if not known.keys:
+        return Raked({}, 0.0)
+    total = known.tokens.sum()
+    # no value can give more than it holds
+    high = min(share, *(float((np.bincount(at, known.tokens) / (goal * total)).min()) for at, goal in zip(known.at, known.goals)))
+    mass, error = known.bounded(high)
+    reached = (mass, high) if error < CLOSE else None
+    low = 0.0
+    for _ in range(HALVINGS if reached is None else 0):
+        middle = (low + high) / 2
+        mass, error = known.bounded(middle)
+        if error < CLOSE:
+            low, reached = middle, (mass, middle)
+        else:
+            high = middle
+    if reached is None:
+        return rake(cells, targets, rounds, share)
+    return known.raked(reached[0], reached[1] * total)
 
 
 def described(documents: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> DataFrame:
@@ -108,11 +202,24 @@ def described(documents: DataFrame, targets: Mapping[str, Mapping[str, float]])
     return documents.select(F.struct("*").alias("row"), cell.alias("cell"), token_count(F.col("text")).alias("n_tokens"))
 
 
-def raked_cells(documents: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS, rounds: int = ROUNDS) -> Raked:
+def raked_cells(
+    documents: DataFrame,
+    targets: Mapping[str, Mapping[str, float]] = TARGETS,
+    rounds: int = ROUNDS,
+    share: float | None = None,
+) -> Raked:
+    """The raked cells of ``documents`` for a ``share`` that has to be kept, or else for the one within reach.
+
+    Warns with the marginals if they miss their targets.
+    """
     sums = described(documents.select("text", "source", "lang"), targets).groupBy("cell").agg(F.sum("n_tokens").alias("n"))
     # at most one row per combination of target values
     cells = {(r["cell"]["source"], r["cell"]["lang"], r["cell"]["topic"]): r["n"] for r in sums.collect()}
-    return rake(cells, targets, rounds)
+    raked = rake_within_reach(cells, targets, rounds) if share is None else rake(cells, targets, rounds, share)
+    if raked.error >= CLOSE:
+        missed = [f"{v} {x:.4f} for {g:.4f}" for m in raked.marginals.values() for v, (g, x) in m.items() if abs(x - g) >= 5e-5]
+        warnings.warn(f"sample misses its targets (error {raked.error:.4f}): {', '.join(missed)}", stacklevel=2)
+    return raked
 
 
 def rated(documents: DataFrame, raked: Raked, targets: Mapping[str, Mapping[str, float]] = TARGETS) -> DataFrame:
@@ -130,13 +237,16 @@ def sample_to_targets(
     *,
     rounds: int = ROUNDS,
     seed: int = SEED,
+    share: float | None = None,
 ) -> DataFrame:
     """The sampled rows of ``documents`` (``doc_id, text, source, lang`` and any others): ``row, cell, n_tokens, probability``.
 
+    Without a ``share`` the sample meets the targets, with ``SHARE`` of the tokens or the most that does.
+
     A row stays if its id's number is below its cell's probability, so a run can be repeated row by row. Null sources
     and languages count as other ones; rows of a cell without words are not sampled; an empty table gives none.
     """
-    rows = rated(documents, raked_cells(documents, targets, rounds), targets)
+    rows = rated(documents, raked_cells(documents, targets, rounds, share), targets)
     return rows.filter(uniform(F.col("row.doc_id"), seed) < F.col("probability"))
 
 

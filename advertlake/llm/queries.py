@@ -134,7 +134,8 @@ def op5_quality_rules(spark, sf_dir):
 
 @query(mixing.sample_sql())
 def op6_mixed_sample(spark, sf_dir):
-    sampled = mixing.sample_to_targets(table(spark, sf_dir, "documents"))
+    # the share of the SQL twin, whether it can meet the targets or not
+    sampled = mixing.sample_to_targets(table(spark, sf_dir, "documents"), share=mixing.SHARE)
     return sampled.select("row.doc_id", "cell.*", "n_tokens", F.round("probability", 9).alias("probability"))
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import warnings
 import zlib
 from collections import Counter
 
@@ -324,6 +325,40 @@ def test_sample_follows_its_probabilities(llm):
     assert mixing.sample_to_targets(frame(llm, [])).count() == 0
 
 
+def test_a_share_that_scarce_cells_cannot_meet_is_lowered_until_all_targets_are_met():
+    cells = {(s, l, t): n for s, a in (("x", 9), ("y", 1)) for l, b in (("en", 5), ("fr", 2)) for t, c in (("p", 3), ("q", 1)) for n in [a * b * c]}
+    targets = {"source": {"x": 0.5, "y": 0.5}, "lang": {"en": 0.6, "fr": 0.4}, "topic": {"p": 0.7, "q": 0.3}}
+    assert mixing.rake(cells, targets).error > 0.1
+    raked = mixing.rake_within_reach(cells, targets)
+    mass = {k: raked.probabilities[k] * n for k, n in cells.items()}
+    total = sum(mass.values())
+    for d, name in enumerate(targets):
+        for value, goal in targets[name].items():
+            assert abs(sum(m for k, m in mass.items() if k[d] == value) / total - goal) < 1e-5
+            assert abs(raked.marginals[name][value][1] - goal) < 1e-5
+    # cells that are full do not hold the others back
+    plain = mixing.rake(cells, targets, share=1e-6)
+    assert plain.error < 1e-9 and 1.05e-6 / max(plain.probabilities.values()) < raked.share <= 0.2
+    assert max(raked.probabilities.values()) <= 1 and raked.error < mixing.CLOSE
+    assert abs(mixing.rake_within_reach(cells, targets, share=0.05).share - 0.05) < 1e-6
+    # what no share can meet is told
+    apart = mixing.rake_within_reach({("x", "en", "p"): 5, ("y", "fr", "p"): 5}, {**targets, "topic": {"p": 1.0}})
+    assert apart.error > 0.01 and mixing.rake_within_reach({}, targets).probabilities == {}
+
+
+def test_the_default_sample_meets_the_targets_and_a_kept_share_warns(llm):
+    rows = [(i, "a b c d", "en", "src0" if i % 20 == 0 else "src9", "x", "y", "z", 1, 2) for i in range(200)]
+    docs = llm.createDataFrame(rows, DOCS)
+    targets = {"source": {"src0": 0.4, mixing.OTHER: 0.6}, "lang": {"en": 1.0}, "topic": {"prose": 1.0}}
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        raked = mixing.raked_cells(docs, targets)
+    assert abs(raked.marginals["source"]["src0"][1] - 0.4) < 1e-5 and abs(raked.share - 0.125) < 1e-3
+    with pytest.warns(UserWarning, match="src0 0.1004 for 0.4000"):
+        kept = mixing.raked_cells(docs, targets, share=mixing.SHARE)
+    assert kept.error > 0.1
+
+
 # ---- decontamination
 
 
