@@ -39,6 +39,7 @@ TRAIN_ROWS = 2000
 TRAIN_CHARS = 20_000
 KEEP_FROM = 0.05
 
+FOLDS = 4  # of the labelled texts, each left out of one fit
 BITS = 18  # of the hashed n-grams' buckets
 SCALE = 20.0  # what a text's n-gram shares are multiplied by
 
@@ -137,8 +138,21 @@ class HashedRegression:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+def folds(labels: np.ndarray) -> np.ndarray:
+    """The fold of every row: the rows of each label are dealt out in turn, so that the folds have as many of each."""
+    out = np.empty(len(labels), np.int64)
+    for label in (0, 1):
+        own = np.flatnonzero(labels == label)
+        out[own] = np.arange(len(own)) % FOLDS
+    return out
+
+
 def fit_regression(texts: Sequence[str], labels: Sequence[int], *, steps: int = 12, rate: float = 0.05) -> HashedRegression:
-    """Fit on three quarters of the texts and calibrate on the rest; without both labels every text scores 1."""
+    """The mean of models that each leave out a fold, calibrated on the logits that every text got while it was left out.
+
+    So all rows of the rarer label are held back once, and the calibration can be as sure as their number allows.
+    Without both labels every text scores 1.
+    """
     y = np.asarray(labels, float)
     if len(set(labels)) < 2:
         zero = np.zeros(1 << BITS, np.float32)
@@ -150,8 +164,23 @@ def fit_regression(texts: Sequence[str], labels: Sequence[int], *, steps: int =
         parts.append([(g, (r + block.first).astype(np.int32)) for g, r in grams])
     families = [tuple(np.concatenate(x) for x in zip(*[p[k] for p in parts])) for k in range(2)]
     totals = [np.maximum(np.bincount(r, minlength=n), 1) for _, r in families]
-    calibrate = np.arange(n) % 4 == 3
-    share = ~calibrate / max((~calibrate).sum(), 1)
+    fold = folds(y)
+    mean, mean_bias, left_out = [np.zeros(1 << BITS) for _ in families], 0.0, np.zeros(n)
+    for k in range(FOLDS):
+        weights, bias, logits = _descend(families, totals, y, fold != k, steps, rate)
+        left_out[fold == k] = logits[fold == k]
+        mean = [m + w / FOLDS for m, w in zip(mean, weights)]
+        mean_bias += bias / FOLDS
+    slope, shift = calibration(left_out, y)
+    return HashedRegression(mean[0].astype(np.float32), mean[1].astype(np.float32), mean_bias, slope, shift)
+
+
+def _descend(
+    families: list[tuple[np.ndarray, np.ndarray]], totals: list[np.ndarray], y: np.ndarray, learned: np.ndarray, steps: int, rate: float
+) -> tuple[list[np.ndarray], float, np.ndarray]:
+    """Weights, bias and the logits of all rows, fitted to the ``learned`` rows."""
+    n = len(y)
+    share = learned / max(learned.sum(), 1)
     weights = [np.zeros(1 << BITS) for _ in families]
     first, second = [0.0, 0.0], [0.0, 0.0]
     bias = 0.0
@@ -167,8 +196,7 @@ def fit_regression(texts: Sequence[str], labels: Sequence[int], *, steps: int =
             second[k] = 0.99 * second[k] + 0.01 * slope * slope
             weights[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
         bias -= error.sum()
-    slope, shift = calibration(logits()[calibrate], y[calibrate])
-    return HashedRegression(weights[0].astype(np.float32), weights[1].astype(np.float32), bias, slope, shift)
+    return weights, bias, logits()
 
 
 def calibration(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:

@@ -7,6 +7,7 @@ import warnings
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -24,6 +25,7 @@ from advertlake.llm import (
     urls,
 )
 from advertlake.llm.encode import default_tokenizer_path
+from advertlake.llm.kernels import text_blocks, words_of
 from advertlake.llm.queries import prepared
 
 DOCS = "doc_id bigint, text string, lang string, source string, row string, cell string, k string, n int, _h int"
@@ -272,6 +274,24 @@ def test_quality_rules_keep_the_good(llm):
     assert quality.judge_quality(docs, unlabelled).filter("NOT base_failed AND NOT kept").count() == 0
 
 
+def test_few_bad_labels_suffice_for_the_threshold():
+    good, bad = prose(20, 120), [" ".join(f"{w.upper()}!!" for w in t.split()) for t in prose(21, 150)]
+    for n_bad in (20, 30, 60):
+        model = quality.fit_regression(good + bad[:n_bad], [1] * len(good) + [0] * n_bad)
+        (block,) = text_blocks(pa.array(prose(24, 80) + bad[60:], pa.string()))
+        p = model.probabilities(block, words_of(block))
+        assert (p[:80] >= quality.KEEP_FROM).all() and (p[80:] < quality.KEEP_FROM).mean() > 0.8, n_bad
+
+
+def test_quality_rules_on_half_of_the_labels(llm):
+    good = prose(20, 120)
+    bad = [" ".join(f"{w.upper()}!!" for w in t.split()) for t in prose(21, 60)] + [t.replace(" ", "### ") for t in prose(22, 60)]
+    docs = frame(llm, list(enumerate(good + bad)))
+    labels = llm.createDataFrame([(i, int(i < 120)) for i in range(240)], "doc_id bigint, quality int")
+    kept = {r["doc_id"] for r in quality.keep_good(docs, quality.fit_quality(docs, labels)).collect()}
+    assert kept == {i for i, t in enumerate(good) if len(t.split()) >= 10}
+
+
 def test_attention_on_held_out_documents(llm):
     rows, labels = labelled(llm)
     docs = frame(llm, [*rows, (500, None), (501, ""), (None, "x")])

@@ -65,6 +65,12 @@ def test_every_stage_on_its_input(spark, tables):
     assert sorted(map(tuple, corpus_pipeline.run(spark, tables).collect())) == sorted(map(tuple, given.collect()))
 
 
+def test_the_quality_stage_rejects_nearly_all_that_is_bad(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    kept, n = corpus_pipeline.quality_rules(spark, docs, tables).count(), docs.count()
+    assert 80 < kept < n - 50
+
+
 def test_an_empty_table_passes_through(spark, tables, folder):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
