@@ -58,7 +58,7 @@ def seed_hashes(hashes: np.ndarray, rows: np.ndarray, mask: str) -> tuple[np.nda
 class SeedIndex:
     """A block of the benchmark: its words, and for every mask the sorted hashes with a bitmap before them."""
 
-    item_ids: np.ndarray  # by row
+    item_ids: list[int | None]  # by row
     words: np.ndarray  # hashes
     rows: np.ndarray
     first: np.ndarray  # of a row, with a last entry behind
@@ -66,7 +66,7 @@ class SeedIndex:
     bitmaps: list[np.ndarray]
 
     @classmethod
-    def build(cls, item_ids: list[int], texts: list[str]) -> SeedIndex:
+    def build(cls, item_ids: list[int | None], texts: list[str]) -> SeedIndex:
         hashes, rows, base = [], [], 0
         for block in text_blocks(pa.array(texts, pa.string())):
             h, w = word_hashes(block)
@@ -84,10 +84,10 @@ class SeedIndex:
             bitmap[(s >> U64(64 - TABLE_BITS)).astype(np.int64)] = True
             bitmaps.append(bitmap)
         first = np.searchsorted(r, np.arange(len(texts) + 1))
-        return cls(np.array(item_ids, np.int64), h, r, first, seeds, bitmaps)
+        return cls(item_ids, h, r, first, seeds, bitmaps)
 
     def overlaps(self, block: Block) -> list[list[tuple[int, int, int, int, int]]]:
-        """For every row of a block: the best verified overlap with each item, in order of item ids."""
+        """For every row of a block: the best verified overlap with each item, in order of item ids, those without one last."""
         out: list[list[tuple[int, int, int, int, int]]] = [[] for _ in range(block.rows)]
         hashes, words = word_hashes(block)
         found = []
@@ -118,8 +118,8 @@ class SeedIndex:
                 at = (int(equal[b] - equal[a]), b - a, int(lo + a + shift - first_word[row]), int(lo + a - self.first[item]))
                 best[row, item] = max(best.get((row, item), at), at)
         for (row, item), (n_equal, n, doc_word, item_word) in best.items():
-            out[row].append((int(self.item_ids[item]), doc_word, item_word, n, n_equal))
-        return [sorted(x) for x in out]
+            out[row].append((self.item_ids[item], doc_word, item_word, n, n_equal))
+        return [sorted(x, key=lambda hit: (hit[0] is None, hit[0] or 0, hit[1:])) for x in out]
 
 
 def overlap_hits(text: Column, index: SeedIndex) -> Column:
@@ -140,9 +140,11 @@ def overlap_hits(text: Column, index: SeedIndex) -> Column:
 def seed_indexes(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterable[SeedIndex]:
     """Indexes over blocks of the benchmark (``item_id, text``), each collected by itself; one when it is small.
 
-    Null texts and items of fewer than ``LEAST_WORDS`` words take part in no overlap; repeated rows count once.
+    Null texts and items of fewer than ``LEAST_WORDS`` words take part in no overlap; repeated rows count once. Texts
+    that only rows without an ``item_id`` have are items with a null id.
     """
-    items = benchmark.select("item_id", "text").filter("text IS NOT NULL AND item_id IS NOT NULL").distinct()
+    texts = benchmark.select("item_id", "text").filter("text IS NOT NULL").groupBy("text").agg(F.collect_set("item_id").alias("ids"))
+    items = texts.select(F.explode_outer("ids").alias("item_id"), "text")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // block_chars))
     for k in range(blocks):
@@ -153,7 +155,8 @@ def seed_indexes(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterab
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document row and item that overlap, with the place and size of the overlap in words.
 
-    Columns: ``doc_id, item_id, doc_word, item_word, n_words, n_equal``. Documents without an overlap give no row.
+    Columns: ``doc_id, item_id, doc_word, item_word, n_words, n_equal``; ``item_id`` is null for each text that only
+    benchmark rows without an id have. Documents without an overlap give no row.
     """
     out = None
     for index in seed_indexes(benchmark):

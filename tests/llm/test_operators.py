@@ -422,6 +422,16 @@ def test_decontamination_beside_all_alignments(llm):
     assert decontaminate.contaminated(docs.limit(0), benchmark).count() == 0
 
 
+def test_benchmark_rows_without_an_id_count(llm):
+    named, unnamed, other = [t for t in prose(42, 30) if len(t.split()) >= 20][:3]
+    docs = frame(llm, [(0, f"a {named} b"), (1, f"a {unnamed} b"), (2, f"a {unnamed} {named}"), (3, "a b c"), (4, other)])
+    rows = [(7, named), (None, named), (None, unnamed), (None, unnamed), (None, other), (None, None)]
+    benchmark = llm.createDataFrame(rows, "item_id bigint, text string")
+    hits = decontaminate.contaminated(docs, benchmark).select("doc_id", "item_id")
+    assert listed(hits) == sorted([(0, 7), (1, None), (2, 7), (2, None), (4, None)], key=repr)
+    assert [r["doc_id"] for r in decontaminate.without_contaminated(docs, benchmark).collect()] == [3]
+
+
 # ---- urls
 
 
