@@ -4,13 +4,14 @@ A fixed mask over consecutive words says which of them a hash takes in and which
 partner when words at ignored places were substituted. Hashes of the benchmark's words are joined with those of the
 documents; a hit aligns a document with an item, and around it the aligned words are compared: an overlap is a window
 of ``WINDOW`` words of which at least four fifths are equal, or a whole shorter item but for one word at most. The masks
-together hit every window with up to two substitutions, the most the share allows, and so miss none.
+together hit every window with up to two substitutions, the most the share allows, and so miss none. Items shorter than
+a mask are looked up by the hash of all their words, so that only a passage with the same words in order overlaps them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from advertlake.llm.kernels import LOWER_VALUES, PLACES, U64, Block, mix, prefix
 MASKS = ("1101111", "111010011")
 WINDOW = 13
 SHARE_PERCENT = 80
-LEAST_WORDS = 9  # shorter items take part in no overlap: they occur by chance
+LEAST_WORDS = 9  # shorter items, which occur by chance, overlap only where all their words do, and only if asked for
 # Benchmark text that one pass over the documents takes along; a larger benchmark takes more passes.
 BLOCK_CHARS = 4_000_000
 TABLE_BITS = 20
@@ -64,9 +65,10 @@ class SeedIndex:
     first: np.ndarray  # of a row, with a last entry behind
     seeds: list[tuple[np.ndarray, np.ndarray]]
     bitmaps: list[np.ndarray]
+    short: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)  # by words: sorted hashes, rows
 
     @classmethod
-    def build(cls, item_ids: list[int | None], texts: list[str]) -> SeedIndex:
+    def build(cls, item_ids: list[int | None], texts: list[str], short_items: bool = False) -> SeedIndex:
         hashes, rows, base = [], [], 0
         for block in text_blocks(pa.array(texts, pa.string())):
             h, w = word_hashes(block)
@@ -84,7 +86,16 @@ class SeedIndex:
             bitmap[(s >> U64(64 - TABLE_BITS)).astype(np.int64)] = True
             bitmaps.append(bitmap)
         first = np.searchsorted(r, np.arange(len(texts) + 1))
-        return cls(item_ids, h, r, first, seeds, bitmaps)
+        short = {}
+        per_row = np.diff(first)
+        for k in range(1, LEAST_WORDS) if short_items else ():
+            own = np.flatnonzero(per_row == k)
+            if len(own):
+                s, at = seed_hashes(h, r, "1" * k)
+                s = s[np.searchsorted(at, first[own])]
+                order = np.argsort(s, kind="stable")
+                short[k] = s[order], own[order]
+        return cls(item_ids, h, r, first, seeds, bitmaps, short)
 
     def overlaps(self, block: Block) -> list[list[tuple[int, int, int, int, int]]]:
         """For every row of a block: the best verified overlap with each item, in order of item ids, those without one last."""
@@ -117,6 +128,17 @@ class SeedIndex:
                 a, b = int(good[0]), int(good[-1]) + size
                 at = (int(equal[b] - equal[a]), b - a, int(lo + a + shift - first_word[row]), int(lo + a - self.first[item]))
                 best[row, item] = max(best.get((row, item), at), at)
+        for k, (seeds, items) in self.short.items():
+            s, at = seed_hashes(hashes, words.row, "1" * k)
+            low, high = np.searchsorted(seeds, s, "left"), np.searchsorted(seeds, s, "right")
+            hit = np.flatnonzero(high > low)
+            # the first place of a passage in a row
+            _, once = np.unique(np.stack((words.row[at[hit]], low[hit]), axis=1), axis=0, return_index=True)
+            for i in hit[once].tolist():
+                row = int(words.row[at[i]])
+                for item in items[low[i] : high[i]].tolist():
+                    if (self.words[self.first[item] : self.first[item + 1]] == hashes[at[i] : at[i] + k]).all():
+                        best[row, item] = (k, k, int(at[i] - first_word[row]), 0)
         for (row, item), (n_equal, n, doc_word, item_word) in best.items():
             out[row].append((self.item_ids[item], doc_word, item_word, n, n_equal))
         return [sorted(x, key=lambda hit: (hit[0] is None, hit[0] or 0, hit[1:])) for x in out]
@@ -137,11 +159,11 @@ def overlap_hits(text: Column, index: SeedIndex) -> Column:
     return hits.asNondeterministic()(text)
 
 
-def seed_indexes(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterable[SeedIndex]:
+def seed_indexes(benchmark: DataFrame, block_chars: int = BLOCK_CHARS, short_items: bool = False) -> Iterable[SeedIndex]:
     """Indexes over blocks of the benchmark (``item_id, text``), each collected by itself; one when it is small.
 
-    Null texts and items of fewer than ``LEAST_WORDS`` words take part in no overlap; repeated rows count once. Texts
-    that only rows without an ``item_id`` have are items with a null id.
+    Null texts take part in no overlap, and items of fewer than ``LEAST_WORDS`` words only with ``short_items``, where
+    all their words must be found in order. Repeated rows count once. Texts that only rows without an ``item_id`` have are items with a null id.
     """
     texts = benchmark.select("item_id", "text").filter("text IS NOT NULL").groupBy("text").agg(F.collect_set("item_id").alias("ids"))
     items = texts.select(F.explode_outer("ids").alias("item_id"), "text")
@@ -149,25 +171,25 @@ def seed_indexes(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterab
     blocks = max(1, -(-chars // block_chars))
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        yield SeedIndex.build([r["item_id"] for r in part], [r["text"] for r in part])
+        yield SeedIndex.build([r["item_id"] for r in part], [r["text"] for r in part], short_items)
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, short_items: bool = False) -> DataFrame:
     """One row per document row and item that overlap, with the place and size of the overlap in words.
 
     Columns: ``doc_id, item_id, doc_word, item_word, n_words, n_equal``; ``item_id`` is null for each text that only
     benchmark rows without an id have. Documents without an overlap give no row.
     """
     out = None
-    for index in seed_indexes(benchmark):
+    for index in seed_indexes(benchmark, short_items=short_items):
         hits = documents.select("doc_id", F.explode(overlap_hits(F.col("text"), index)).alias("hit")).select("doc_id", "hit.*")
         out = hits if out is None else out.unionByName(hits)
     return out
 
 
-def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, short_items: bool = False) -> DataFrame:
     """The rows of ``documents`` that overlap no item, with their own columns."""
-    for index in seed_indexes(benchmark):
+    for index in seed_indexes(benchmark, short_items=short_items):
         rated = documents.select(F.struct("*").alias("row"), F.size(overlap_hits(F.col("text"), index)).alias("hits"))
         documents = rated.filter("hits = 0").select("row.*")
     return documents

@@ -141,7 +141,7 @@ def op6_mixed_sample(spark, sf_dir):
 
 @query()
 def op7_decontamination(spark, sf_dir):
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 @query()

@@ -26,7 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_overlaps(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return decontaminate.without_contaminated(docs, table(prepared(spark), sf_dir, "benchmark"))
+    return decontaminate.without_contaminated(docs, table(prepared(spark), sf_dir, "benchmark"), short_items=True)
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

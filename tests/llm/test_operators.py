@@ -7,6 +7,7 @@ import warnings
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
@@ -26,7 +27,7 @@ from advertlake.llm import (
 )
 from advertlake.llm.encode import default_tokenizer_path
 from advertlake.llm.kernels import text_blocks, words_of
-from advertlake.llm.queries import prepared
+from advertlake.llm.queries import QUERIES, prepared
 
 DOCS = "doc_id bigint, text string, lang string, source string, row string, cell string, k string, n int, _h int"
 
@@ -432,6 +433,17 @@ def test_benchmark_rows_without_an_id_count(llm):
     assert [r["doc_id"] for r in decontaminate.without_contaminated(docs, benchmark).collect()] == [3]
 
 
+def test_queries_find_short_benchmark_items_word_for_word(llm, folder):
+    texts = ["who wrote it", "so Who  wrote IT then who wrote it", "who wrote", "who wrote that", "wrote", "a b c d e f g h", "a b c d e f g x", "", None]
+    frame(llm, list(enumerate(texts))).write.parquet(f"{folder}/documents.parquet")
+    items = [(0, "Who wrote it"), (1, "a b c d e f g h"), (2, "it then"), (3, " "), (4, "who wrote it"), (5, "it who")]
+    llm.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    hits = listed(QUERIES["op7_decontamination"](llm, folder))
+    assert hits == [(0, 0, 0, 0, 3, 3), (0, 4, 0, 0, 3, 3), (1, 0, 1, 0, 3, 3), (1, 2, 3, 0, 2, 2), (1, 4, 1, 0, 3, 3), (5, 1, 0, 0, 8, 8)]
+    clean = corpus_pipeline.benchmark_overlaps(llm, llm.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [2, 3, 4, 6, 7, 8]
+
+
 # ---- urls
 
 
