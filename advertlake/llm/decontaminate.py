@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from advertlake.llm.kernels import LOWER_VALUES, PLACES, U64, Block, mix, prefix_hash, span_hash, text_blocks, words_of
+from advertlake.session import remove, scratch_path, stage
 
 MASKS = ("1101111", "111010011")
 WINDOW = 13
@@ -159,37 +160,62 @@ def overlap_hits(text: Column, index: SeedIndex) -> Column:
     return hits.asNondeterministic()(text)
 
 
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text`` once each; a null id only for texts that no row with an id has."""
+    texts = benchmark.select("item_id", "text").filter("text IS NOT NULL").groupBy("text").agg(F.collect_set("item_id").alias("ids"))
+    return texts.select(F.explode_outer("ids").alias("item_id"), "text")
+
+
+def block_count(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> int:
+    """Blocks that the benchmark's items take."""
+    chars = items_of(benchmark).agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    return max(1, -(-chars // block_chars))
+
+
 def seed_indexes(benchmark: DataFrame, block_chars: int = BLOCK_CHARS, short_items: bool = False) -> Iterable[SeedIndex]:
     """Indexes over blocks of the benchmark (``item_id, text``), each collected by itself; one when it is small.
 
     Null texts take part in no overlap, and items of fewer than ``LEAST_WORDS`` words only with ``short_items``, where
-    all their words must be found in order. Repeated rows count once. Texts that only rows without an ``item_id`` have are items with a null id.
+    all their words must be found in order. Repeated rows count once. Texts that only rows without an ``item_id`` have
+    are items with a null id.
     """
-    texts = benchmark.select("item_id", "text").filter("text IS NOT NULL").groupBy("text").agg(F.collect_set("item_id").alias("ids"))
-    items = texts.select(F.explode_outer("ids").alias("item_id"), "text")
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-chars // block_chars))
+    items = items_of(benchmark)
+    blocks = block_count(benchmark, block_chars)
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
         yield SeedIndex.build([r["item_id"] for r in part], [r["text"] for r in part], short_items)
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, short_items: bool = False) -> DataFrame:
+def contaminated(documents: DataFrame, benchmark: DataFrame, short_items: bool = False, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document row and item that overlap, with the place and size of the overlap in words.
 
     Columns: ``doc_id, item_id, doc_word, item_word, n_words, n_equal``; ``item_id`` is null for each text that only
     benchmark rows without an id have. Documents without an overlap give no row.
+    The hits of one of several blocks are written before the next block is collected, so that neither
+    the driver nor the plan holds all indexes.
     """
     out = None
-    for index in seed_indexes(benchmark, short_items=short_items):
+    several = block_count(benchmark, block_chars) > 1
+    for index in seed_indexes(benchmark, block_chars, short_items):
         hits = documents.select("doc_id", F.explode(overlap_hits(F.col("text"), index)).alias("hit")).select("doc_id", "hit.*")
+        hits = stage(hits, "benchmark-hits") if several else hits
         out = hits if out is None else out.unionByName(hits)
     return out
 
 
-def without_contaminated(documents: DataFrame, benchmark: DataFrame, short_items: bool = False) -> DataFrame:
-    """The rows of ``documents`` that overlap no item, with their own columns."""
-    for index in seed_indexes(benchmark, short_items=short_items):
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, short_items: bool = False, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``documents`` that overlap no item, with their own columns.
+
+    With several blocks, what one leaves is written before the next is collected, and the copy before that is deleted.
+    """
+    several, spark, before = block_count(benchmark, block_chars) > 1, documents.sparkSession, None
+    for index in seed_indexes(benchmark, block_chars, short_items):
         rated = documents.select(F.struct("*").alias("row"), F.size(overlap_hits(F.col("text"), index)).alias("hits"))
         documents = rated.filter("hits = 0").select("row.*")
+        if several:
+            path = scratch_path(spark, "benchmark-left")
+            documents = stage(documents, "benchmark-left", path)
+            if before is not None:
+                remove(spark, before)
+            before = path
     return documents

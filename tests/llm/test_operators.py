@@ -444,6 +444,18 @@ def test_queries_find_short_benchmark_items_word_for_word(llm, folder):
     assert sorted(r["doc_id"] for r in clean.collect()) == [2, 3, 4, 6, 7, 8]
 
 
+def test_several_benchmark_blocks_leave_no_index_in_the_plan(llm):
+    items = [t for t in prose(43, 30) if len(t.split()) >= 20][:6]
+    docs = frame(llm, [*enumerate(f"a {t} b" for t in items), (50, "a b c"), (None, items[0])])
+    benchmark = llm.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    one, several = (decontaminate.contaminated(docs, benchmark, block_chars=n) for n in (10**6, 400))
+    assert decontaminate.block_count(benchmark, 400) > 2 and listed(one) == listed(several) and one.count() == 7
+    left = decontaminate.without_contaminated(docs, benchmark, block_chars=400)
+    assert [r["doc_id"] for r in left.collect()] == [50] and left.columns == docs.columns
+    for df, python in ((one, True), (several, False), (left, False)):
+        assert ("hits(" in df._jdf.queryExecution().optimizedPlan().toString()) == python
+
+
 # ---- urls
 
 
