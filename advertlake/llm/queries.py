@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advertlake.llm import attention, decontaminate, lengths, mixing, ngram_join, quality, run_index, secrets, tokenfiles, urls
+from advertlake.llm import attention, decontaminate, lengths, mixing, ngram_join, packing, quality, run_index, secrets, tokenfiles, urls
 from advertlake.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,3 +175,8 @@ def op10_quality_classifier(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     model = attention.fit_passage_classifier(documents, table(spark, sf_dir, "labels"))
     return attention.score_documents(documents, model)
+
+
+@query()
+def op12_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
