@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advertlake.llm import attention, decontaminate, lengths, mixing, ngram_join, packing, quality, run_index, secrets, tokenfiles, urls
+from advertlake.llm import (
+    attention,
+    decontaminate,
+    lengths,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    run_index,
+    secrets,
+    tokenfiles,
+    trie,
+    urls,
+    whitening,
+)
 from advertlake.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,3 +194,47 @@ def op10_quality_classifier(spark, sf_dir):
 @query()
 def op12_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+# Prefixes as lists of digests. The checksum of the id's digits goes bit by bit, as this engine has no such function.
+_TRIE_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+d AS (SELECT c, i, md5(length(role) || ':' || role || text) AS x, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM t),
+crc(c, k, v) AS (
+  SELECT DISTINCT c, 0, 4294967295 FROM d
+  UNION ALL
+  SELECT c, k + 1,
+         CASE WHEN u & 1 = 1 THEN xor(u >> 1, 3988292384) ELSE u >> 1 END
+  FROM (SELECT c, k, CASE WHEN k % 8 = 0 THEN xor(v, ascii(substr(CAST(c AS VARCHAR), k // 8 + 1, 1))) ELSE v END AS u
+        FROM crc WHERE k < 8 * length(CAST(c AS VARCHAR)))),
+h AS (SELECT c, xor(arg_max(v, k), 4294967295) % 4 AS h FROM crc GROUP BY c),
+r AS (
+  SELECT h.c, d.i AS pos, d.x, d.w FROM h JOIN d ON d.c = h.c - h.c % 20 AND d.i < h.h
+  UNION ALL SELECT h.c, d.i + 1000000, d.x, d.w FROM h JOIN d ON d.c = h.c AND d.i >= h.h),
+p AS (SELECT h.c, coalesce(list(x ORDER BY pos) FILTER (x IS NOT NULL), []) AS x, coalesce(list(w ORDER BY pos) FILTER (x IS NOT NULL), []) AS w
+      FROM h LEFT JOIN r ON r.c = h.c GROUP BY h.c),
+m AS (SELECT c, unnest(range(0, len(x) + 1)) AS d, x, w FROM p),
+n AS (SELECT x[1 : d] AS node, d, min(c) AS conv, count(*) AS n, max(w[d]) AS w, count(*) FILTER (len(x) = d) AS e,
+             string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(x) = d) AS ends
+      FROM m GROUP BY x[1 : d], d),
+k AS (SELECT node[1 : d - 1] AS node, d - 1 AS d, count(*) AS children FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(k.children, 0) AS children, (n.n - 1) * coalesce(n.w, 0) AS saved FROM n LEFT JOIN k USING (node, d)),
+s AS (SELECT node[1 : u] AS node, u AS d, count(*) FILTER (children = 0) AS leaves, CAST(sum(saved) AS BIGINT) AS saved
+      FROM (SELECT *, unnest(range(0, d + 1)) AS u FROM f) GROUP BY ALL)
+SELECT f.conv AS conv_id, f.d AS depth, up.conv AS parent_conv_id, f.n AS n_convs, f.children AS n_children,
+       s.leaves AS n_leaves, s.saved AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM f JOIN s USING (node, d) LEFT JOIN n up ON up.d = f.d - 1 AND up.node = f.node[1 : f.d - 1]
+"""
+
+
+@query(_TRIE_SQL)
+def op13_prefix_trie(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
