@@ -12,6 +12,7 @@ import tempfile
 import time
 
 import duckdb
+import pandas as pd
 from pyspark.sql import SparkSession
 
 from checks.registry import ORACLES, QUERIES
@@ -32,7 +33,7 @@ def rows_of(pdf) -> list[tuple]:
     names = sorted(pdf.columns)
 
     def text(v) -> str:
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return "NULL"
         if isinstance(v, bool) or type(v).__name__ in ("bool", "bool_"):
             return str(bool(v))
