@@ -15,35 +15,50 @@ import pyarrow as pa
 BLOCK_BYTES = 1 << 19
 
 U64 = np.uint64
+# Polynomials modulo the prime 2**31 - 1 at two random points, with a random value per byte. A modulus of 2**64 would make
+# texts of a regular build (those after Thue and Morse) collide at every odd point.
+PRIME_BITS = U64(31)
+PRIME = U64((1 << 31) - 1)
 _rng = np.random.Generator(np.random.PCG64(20240229))
-# One random odd value per byte; the second table folds A-Z onto a-z.
-BYTE_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
+# One table per point; the second pair folds A-Z onto a-z.
+BYTE_VALUES = _rng.integers(1, int(PRIME), (2, 256), dtype=np.uint64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-LOWER_VALUES = BYTE_VALUES[LOWER]
+LOWER_VALUES = BYTE_VALUES[:, LOWER]
 PLACES = _rng.integers(1, 2**63, 16, dtype=np.uint64) * U64(2) + U64(1)
-BASE = U64(0x9E3779B97F4A7C15)
-BASE_INVERSE = U64(pow(int(BASE), -1, 1 << 64))
+POINTS = [int(x) for x in _rng.integers(1 << 20, int(PRIME), 2)]
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 CONTINUED = np.zeros(256, bool)
 CONTINUED[0x80:0xC0] = True
 
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
+_powers: list[np.ndarray] = [np.ones(1, np.uint32)] * 4
 
 
-def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers, _inverses
-    if len(_powers) < n:
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Equal modulo the prime, and below 2**33 for any 64-bit number."""
+    return (x & PRIME) + (x >> PRIME_BITS)
+
+
+def _residues(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _powers_to(n: int) -> list[np.ndarray]:
+    """Powers of both points, then of their inverses, each table twice as long as the one before it."""
+    global _powers
+    if len(_powers[0]) < n:
         size = max(n, 2 * BLOCK_BYTES)
-        steps = np.full(size, BASE, np.uint64)
-        steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-        steps[1:] = BASE_INVERSE
-        _inverses = np.multiply.accumulate(steps)
-    return _powers, _inverses
+        tables = []
+        for step in (*POINTS, *[pow(x, -1, int(PRIME)) for x in POINTS]):
+            out = np.ones(1, np.uint64)
+            while len(out) < size:
+                out = np.concatenate((out, _residues(out * U64(pow(step, len(out), int(PRIME))))))
+            tables.append(out[:size].astype(np.uint32))
+        _powers = tables
+    return _powers
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -96,19 +111,23 @@ def text_blocks(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Blo
 
 
 def prefix_hash(data: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-    """Running sums from which ``span_hash`` takes the hash of any span."""
-    powers, _ = _powers_to(len(data) + 1)
-    out = np.empty(len(data) + 1, np.uint64)
-    out[0] = 0
-    np.cumsum(values[data] * powers[: len(data)], out=out[1:])
+    """Running sums, one row per point, from which ``span_hash`` takes the hash of any span."""
+    powers = _powers_to(len(data) + 1)
+    out = np.zeros((2, len(data) + 1), np.uint64)
+    for i in range(2):
+        # below 2**32 each, so sums over any block stay far below 2**64
+        np.cumsum(_fold(values[i][data] * powers[i][: len(data)]), out=out[i, 1:])
     return out
 
 
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of every span; equal bytes give equal hashes wherever they stand."""
-    _, inverses = _powers_to(len(prefix))
-    h = (prefix[ends] - prefix[starts]) * inverses[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * PLACES[15])
+    """Hash of the bytes of every span, 62 bits and its length; equal bytes give equal hashes wherever they stand."""
+    tables = _powers_to(prefix.shape[1])
+    parts = []
+    for i in range(2):
+        total = _residues(prefix[i][ends] - prefix[i][starts])
+        parts.append(_residues(total * tables[2 + i][starts]))
+    return mix((parts[0] | (parts[1] << PRIME_BITS)) + (ends - starts).astype(np.uint64) * PLACES[15])
 
 
 @dataclass

@@ -121,6 +121,9 @@ class RunIndex:
             middle = (low + high + 1) // 2
             equal = span_hash(prefix, a, a + middle) == span_hash(prefix, b, b + middle)
             low, high = np.where(equal, middle, low), np.where(equal, high, middle - 1)
+        # what is taken away rests on bytes, not on hashes
+        true = [self.data[i : i + n].tobytes() == self.data[j : j + n].tobytes() for i, j, n in zip(a.tolist(), b.tolist(), low.tolist())]
+        a, b, low = a[true], b[true], low[true]
         return np.concatenate((a, b)), np.concatenate((low, low))
 
     def covered(self, least: int) -> list[tuple[int, int, int]]:
@@ -360,15 +363,16 @@ def remove_repeats(documents: DataFrame, *, span: int = SPAN) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     known = documents.select("doc_id", text.alias("text")).select("doc_id", identity(F.col("text")).alias("i"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     rows = stage(known.select("doc_id", "i.k", "i.n", "sha"), "repeat-rows")
-    copies = rows.filter(F.col("n") >= span).groupBy("k").agg(F.count("*").alias("copies")).filter("copies > 1")
+    # whole texts are equal if both their keys and their digests are
+    copies = rows.filter(F.col("n") >= span).groupBy("k", "sha").agg(F.count("*").alias("copies")).filter("copies > 1")
 
     keyed = documents.filter("text IS NOT NULL").select(identity(F.col("text")).alias("i"), "text").select("i.k", "i.n", "text")
     texts = keep_first(keyed.filter(F.col("n") >= span).select("k", "text"), ["k"], ["k"])
     marks, candidates = repeated_marks(documents, texts, span=span)
     per_text = marks.groupBy("k").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e"))
     cut = candidates.select("k", "text").join(per_text, "k").select("k", removal(F.col("text"), F.col("s"), F.col("e")).alias("x"))
-    changed = copies.join(cut.select("k", "x.*"), "k", "full")
-    everything = F.col("copies").isNotNull()
+    changed = copies.join(cut.select("k", "x.*"), "k", "full").withColumnRenamed("sha", "sha_of_copies")
+    everything = F.col("copies").isNotNull() & (F.col("sha") == F.col("sha_of_copies"))
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     return rows.join(changed, "k", "left").select(
         "doc_id",
