@@ -9,9 +9,11 @@ documents of each of its shingles, and each fragment counts for itself; sums per
 2. The others keep their repeated shingles in order of rarity. Partners share one of the first few of them, more than
    that would be too many to miss. Documents with the same text set were made one class at the start.
 3. Candidates' overlaps are counted segment by segment and summed per pair. In a few rounds every component, at first
-   every class, tries one pair with the first component of a list it is in. The remaining pairs of a list are those
-   between different components: the links inside a large group of near copies are never all listed, and none that
-   joins two components is missed.
+   every class, tries one pair with a component that leads a list it is in, each round another one. What is left are
+   pairs of a list in different components. A pair is taken where its two sets first meet: further lists that both are
+   in, which near copies have by the dozen, see that the places before them agree. Of these pairs every component tries
+   its most promising ones, round by round more of them, and pairs within a component go; so the links inside a large
+   group of near copies are never all listed, and none that joins two components is missed.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -35,7 +37,8 @@ FRAGMENTS_PER_PARTITION = 4
 MOST_FRAGMENTS = 1 << 16
 SEGMENTS = 8  # of the repeated shingles of a document, when pairs are counted
 PARITY_WORDS = 8
-ROUNDS = 4  # of single tries per component before all remaining pairs are looked at
+ROUNDS = 2  # of single tries per component before all remaining pairs are listed
+BEFORE = 8  # places before one in which a pair is looked for, so that it is taken once
 BUFFERED = 1 << 21  # shingles a task holds before it passes them on
 
 KEPT_BYTES = 6  # of a shingle's hash beside its fragment
@@ -236,10 +239,14 @@ def _may_reach(percent: int) -> Column:
 
     Shingles that only one set has differ for certain; of the others at least as many differ as parities do.
     """
-    odd = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(PARITY_WORDS))
-    differ = F.expr(f"(na - r_a) + (nb - r_b) + {odd}")
     both = F.col("na") + F.col("nb")
-    return (100 + percent) * (both - differ) >= 2 * percent * both
+    return (100 + percent) * (both - _differ()) >= 2 * percent * both
+
+
+def _differ() -> Column:
+    """How many shingles sets ``a`` and ``b`` differ in at least."""
+    odd = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(PARITY_WORDS))
+    return F.expr(f"(na - r_a) + (nb - r_b) + {odd}")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], by: str, columns: tuple[str, ...]) -> Iterator[tuple[int, list]]:
@@ -269,8 +276,10 @@ def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return overlap.filter(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
-def class_links(documents: DataFrame, classes: DataFrame, *, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
-    """``node, root`` of all classes that have a partner; ``classes`` has ``k`` and ``n``."""
+def class_links(
+    documents: DataFrame, classes: DataFrame, *, percent: int = PERCENT, size: int = SHINGLE_WORDS
+) -> DataFrame | None:
+    """``node, root`` of all classes that have a partner, None if none has; ``classes`` has ``k`` and ``n``."""
     shared = repeated_shingles(documents, size).withColumn("r", F.size("v").cast("bigint"))
     needed = F.ceil(F.col("n") * percent / 100).cast("bigint")
     live = shared.join(classes.select("k", "n"), "k").withColumn("first", F.col("r") - needed + 1)
@@ -285,16 +294,17 @@ def class_links(documents: DataFrame, classes: DataFrame, *, percent: int = PERC
     segment = F.expr(f"transform(sequence(0, {SEGMENTS - 1}), p -> struct(p AS part, filter(v, x -> pmod(x, {SEGMENTS}) = p) AS seg))")
     parts = stage(live.select("k", F.explode(segment).alias("s")).select("k", "s.part", "s.seg").filter("size(seg) > 0"), "ngram-parts")
     fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    signs = stage(live.select("k", "r", "bits"), "ngram-parities")
-    of = lambda x: signs.select(F.col("k").alias(x), F.col("r").alias(f"r_{x}"), F.col("bits").alias(f"bits_{x}"))
+    parity = stage(live.select("k", "r", "bits"), "ngram-parities")
+    of = lambda x: parity.select(F.col("k").alias(x), F.col("r").alias(f"r_{x}"), F.col("bits").alias(f"bits_{x}"))
 
     # Each round every component tries one pair with another one of its lists: as many pairs as components.
     roots = None
     rooted = entries.withColumn("root", F.col("k"))
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         heads = rooted.groupBy("v", "root").agg(F.min(F.struct("k", "n")).alias("head"))
-        leads = heads.groupBy("v").agg(F.min(F.struct("root", "head")).alias("lead"), F.max("root").alias("high"))
-        leads = leads.filter("lead.root <> high").select("v", "lead")
+        drawn = F.xxhash64("root", F.lit(turn))
+        leads = heads.groupBy("v").agg(F.min(F.struct(drawn.alias("draw"), "root", "head")).alias("lead"), F.min("root").alias("low"), F.max("root").alias("high"))
+        leads = leads.filter("low <> high").select("v", "lead")
         tried = heads.join(leads, "v").filter("root <> lead.root").select(
             "root", F.col("lead.head.k").alias("a"), F.col("head.k").alias("b"), F.col("lead.head.n").alias("na"), F.col("head.n").alias("nb")
         )
@@ -304,33 +314,72 @@ def class_links(documents: DataFrame, classes: DataFrame, *, percent: int = PERC
         best = best.select("best.a", "best.b", "best.na", "best.nb").distinct()
         found = stage(verified(best, parts, percent), "ngram-links")
         if found.isEmpty():
-            break
-        if roots is not None:
-            found = found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = connected(found, "ngram-components")
+            continue
+        roots = _joined(found, roots)
         rooted = entries.join(roots.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
 
-    # What is left: all pairs of one list in different components. Two sets that meet at some place share at most what
-    # both have listed before it, it, and what both have behind it;
-    # and their parities say how many shingles they differ in at least.
+    # What is left: pairs of one list in different components. Two sets that meet at some place share at most what both
+    # have listed before it, it, and what both have behind it; and their parities say how many shingles they differ in
+    # at least. A pair that also meets in one of the last places before is taken there, or further up.
     open_lists = rooted.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("v")
-    rest = stage(rooted.join(open_lists, "v").join(signs, "k").select("v", "k", "n", "r", "at", "i", "root", "bits"), "ngram-open")
+    signs = live.select("k", "r", "bits", F.expr("slice(v, 1, cast(first AS int))").alias("vs"))
+    rest = rooted.join(open_lists, "v").join(signs, "k")
+    before = F.slice("vs", F.greatest(F.col("i") - BEFORE + 1, F.lit(1)), F.least(F.col("i"), F.lit(BEFORE)))
+    rest = stage(rest.select("v", "k", "n", "r", "at", "i", "root", "bits", before.alias("before")), "ngram-open")
     one, two = (
         rest.select(
             "v", F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"p{x}"), F.col("i").alias(f"i{x}"),
-            F.col("root").alias(f"root_{x}"), F.col("r").alias(f"r_{x}"), F.col("bits").alias(f"bits_{x}"),
+            F.col("root").alias(f"root_{x}"), F.col("r").alias(f"r_{x}"), F.col("bits").alias(f"bits_{x}"), F.col("before").alias(f"before_{x}"),
         )
         for x in "ab"
     )
     behind = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    reaches = lambda shared: (100 + percent) * shared >= percent * (F.col("na") + F.col("nb"))
+    reaches = (100 + percent) * (F.least("ia", "ib") + 1 + behind) >= percent * (F.col("na") + F.col("nb"))
     apart = (one["v"] == two["v"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-    met = one.join(two, apart & fits & _may_reach(percent) & reaches(F.least("ia", "ib") + 1 + behind))
-    met = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    more = verified(met.filter(reaches(F.col("c") + behind)).select("a", "b", "na", "nb"), parts, percent)
+    first = ~F.arrays_overlap("before_a", "before_b")
+    met = one.join(two, apart & fits & reaches & _may_reach(percent) & first)
+    met = met.groupBy("a", "b", "na", "nb").agg(F.min(_differ()).alias("differ"))
+    return _boruvka(stage(met, "ngram-candidates"), roots, parts, percent)
+
+
+def _joined(links: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Components of ``links`` together with those known already."""
     if roots is not None:
-        more = more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    return connected(more, "ngram-components")
+        links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return connected(links, "ngram-components")
+
+
+def _boruvka(candidates: DataFrame, roots: DataFrame | None, parts: DataFrame, percent: int) -> DataFrame | None:
+    """``node, root`` after all links among ``candidates`` (``a, b, na, nb, differ``) that join two components.
+
+    In a round every component tries its most promising candidates with others, one at first and four times as many in
+    each further round. Tried ones go, and so do those whose ends have come together. Nothing is left out: the rounds
+    end when no candidate is left.
+    """
+    width = 1
+    left = candidates
+    while not left.isEmpty():
+        if roots is not None:
+            end = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"of_{x}"))
+            left = left.join(end("a"), "a", "left").join(end("b"), "b", "left")
+            left = left.withColumns({f"root_{x}": F.coalesce(f"of_{x}", x) for x in "ab"}).drop("of_a", "of_b")
+            left = left.filter("root_a <> root_b")
+        else:
+            left = left.withColumns({"root_a": F.col("a"), "root_b": F.col("b")})
+        left = stage(left, "ngram-candidates")
+        columns = ["a", "b", "na", "nb", "differ"]
+        ends = left.select(*columns, F.explode(F.array("root_a", "root_b")).alias("root"))
+        # a group limit keeps ``width`` rows per component and task in front of the shuffle
+        rank = F.row_number().over(Window.partitionBy("root").orderBy(F.col("differ") / (F.col("na") + F.col("nb")), "a", "b"))
+        tries = ends.withColumn("rank", rank).filter(F.col("rank") <= width).select("a", "b", "na", "nb").distinct()
+        tries = stage(tries, "ngram-tries")
+        found = stage(verified(tries, parts, percent), "ngram-links")
+        left = left.select(*columns).join(tries.select("a", "b"), ["a", "b"], "left_anti")
+        if not found.isEmpty():
+            roots = _joined(found, roots)
+        left = stage(left, "ngram-candidates")
+        width *= 4
+    return roots
 
 
 def rooted_classes(documents: DataFrame, rows: DataFrame, *, percent: int, size: int) -> DataFrame:
@@ -338,6 +387,8 @@ def rooted_classes(documents: DataFrame, rows: DataFrame, *, percent: int, size:
     classes = rows.filter("n > 0").groupBy("k").agg(F.first("n").alias("n"), F.min("doc_id").alias("least"))
     classes = stage(classes, "ngram-classes")
     roots = class_links(documents, classes, percent=percent, size=size)
+    if roots is None:
+        return classes.select("k", "least", F.col("k").alias("root"))
     rooted = classes.join(roots.withColumnRenamed("node", "k"), "k", "left")
     return rooted.select("k", "least", F.coalesce("root", "k").alias("root"))
 
