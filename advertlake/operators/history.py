@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from advertlake.operators.interval import with_versions
 from advertlake.session import stage
 
 VALIDITY = ("valid_from", "valid_to", "is_current")
@@ -143,29 +142,6 @@ def extend_dimension(
     return passed.unionByName(versions(kept.unionByName(fresh), **spec))
 
 
-def load_dimension(
-    current_path: str | None,
-    path: str,
-    delta: DataFrame,
-    dimension: Dimension,
-    *,
-    loaded_until: str | None = None,
-    snapshots: DataFrame | None = None,
-) -> DataFrame:
-    """A stored dimension one load further: read at ``current_path``, extended, written whole to ``path``.
-
-    The new version of the table has a folder of its own, so a load that is lost is repeated from the
-    old one, which the caller drops once the new one is in use. The first load has no old one.
-    """
-    spark = delta.sparkSession
-    if current_path is None:
-        return stage(build_dimension(delta, dimension), dimension.name, path)
-    schema = build_dimension(delta.limit(0), dimension).schema
-    current = spark.read.schema(schema).parquet(current_path)
-    extended = extend_dimension(current, delta, dimension, loaded_until=loaded_until, snapshots=snapshots)
-    return stage(extended, dimension.name, path)
-
-
 def date_dimension(snapshots: DataFrame, at: str = "ingest_date") -> DataFrame:
     """One row per calendar day between the first and the last snapshot date."""
     span = snapshots.agg(F.min(F.to_date(at)).alias("lo"), F.max(F.to_date(at)).alias("hi"))
@@ -185,26 +161,8 @@ def date_dimension(snapshots: DataFrame, at: str = "ingest_date") -> DataFrame:
 def with_version(
     fact: DataFrame, dimension_table: DataFrame, dimension: Dimension, *, at: str = "ingest_date"
 ) -> DataFrame:
-    """Add ``<name>_version`` of the version valid at the fact's date; no version gives null.
-
-    The join is an equi-join on the business key with the interval as a residual, and versions do
-    not overlap, so a fact row meets one version. The versions are written first, so adaptive
-    execution knows their size: small ones are broadcast, for others a key that owns many facts is
-    split (a left join may split its left side). Facts with a null in the key have no version; they
-    stay out of the join, so that they do not meet in one task.
-    """
-    lookup = dimension_table.select(
-        *[F.col(c).alias(f"_k_{c}") for c in dimension.key],
-        F.col("version_id").alias(f"{dimension.name}_version"),
-        F.col("valid_from").alias("_from"),
-        F.col("valid_to").alias("_to"),
-    )
-    on = [F.col(c) == F.col(f"_k_{c}") for c in dimension.key]
-    on += [F.col("_from") <= F.col(at), F.col("_to").isNull() | (F.col(at) < F.col("_to"))]
-    keyed = reduce(and_, [F.col(c).isNotNull() for c in dimension.key])
-    joined = fact.filter(keyed).join(stage(lookup, f"{dimension.name}-versions"), on, "left")
-    joined = joined.drop(*[f"_k_{c}" for c in dimension.key], "_from", "_to")
-    return joined.unionByName(fact.filter(~keyed).withColumn(f"{dimension.name}_version", F.lit(None).cast("string")))
+    """Add ``<name>_version`` of the version valid at the fact's date; no version, or a null in the key, gives null."""
+    return with_versions(fact, {dimension.name: dimension_table}, {dimension.name: dimension.key}, at=at)
 
 
 def snapshot_fact(
@@ -214,12 +172,14 @@ def snapshot_fact(
     measures: Sequence[str] = ("salary_min", "salary_max"),
     at: str = "ingest_date",
 ) -> DataFrame:
-    """Facts under the snapshot key with one version id per dimension, a date id and the measures."""
+    """Facts under the snapshot key with one version id per dimension, a date id and the measures.
+
+    Facts with a null in a key have no version of that dimension. The snapshots are read once for all dimensions.
+    """
     used = [d for d in DIMENSIONS if d.name in dimension_tables]
     needed = dict.fromkeys(["job_id", "country", at, *measures, *[c for d in used for c in d.key]])
-    fact = snapshots.select(*needed)
-    for dimension in used:
-        fact = with_version(fact, dimension_tables[dimension.name], dimension, at=at)
+    tables = {d.name: dimension_tables[d.name] for d in used}
+    fact = with_versions(snapshots.select(*needed), tables, {d.name: d.key for d in used}, at=at)
     return fact.select(
         "job_id",
         "country",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,19 +25,29 @@ def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[Column | st
 def keep_first_sparse(
     df: DataFrame, key: Sequence[str], order_by: Sequence[Column | str], label: str = "repeated-keys"
 ) -> DataFrame:
-    """As ``keep_first`` where few keys repeat: only the rows of those are moved.
+    """As ``keep_first`` where few keys repeat, without moving rows; ``order_by`` are values, the least one first.
 
-    A first pass over the key columns finds the keys with more than one row. The others stay where
-    they are, with all their text; the join that parts them has the list of repeated keys as its
-    other side, which adaptive execution broadcasts when it is small. ``df`` is computed twice.
+    A first pass over key and order columns alone finds the keys with more than one row and the least order of each. This
+    short list meets ``df`` in one left join, which adaptive execution broadcasts, and rows of a listed key stay if they
+    have its least order: ``df`` is computed in full once, and its texts are not shuffled. Only where several rows of a
+    key share the least order (a second narrow pass tells) are the rows of these keys ranked among themselves.
     """
-    found = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    found = stage(found.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)]), label)
+    order = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(order_by)])
+    listed = [F.col(c).alias(f"_k{i}") for i, c in enumerate(key)]
+    found = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_least")).filter("_n > 1")
+    found = stage(found.select(*listed, "_least"), label)
     if found.isEmpty():
         return df
-    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
-    repeated = keep_first(df.join(found, same, "left_semi"), key, order_by)
-    return df.join(found, same, "left_anti").unionByName(repeated)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)])
+    names = found.columns
+    least = df.select(*key, order.alias("_order")).join(found, same & F.col("_order").eqNullSafe(F.col("_least")))
+    tied = stage(least.groupBy(*names[:-1]).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"), label)
+    if not tied.isEmpty():
+        whole = [*order_by, F.xxhash64(*df.columns)]
+        repeated = keep_first(df.join(found, same, "left_semi"), key, whole)
+        return df.join(found, same, "left_anti").unionByName(repeated)
+    met = df.withColumn("_order", order).join(found, same, "left")
+    return met.filter(F.col("_least").isNull() | F.col("_order").eqNullSafe(F.col("_least"))).drop("_order", *names)
 
 
 def top_k(

@@ -54,7 +54,43 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _at(spark: SparkSession, path: str):
+    """A path and the file system that holds it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system holds it; nothing happens if it is gone already."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    where, files = _at(spark, path)
+    files.delete(where, True)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what a folder holds, sorted; a folder that is not there holds nothing."""
+    where, files = _at(spark, folder)
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    """A small text file, read by the driver."""
+    where, files = _at(spark, path)
+    stream = files.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file; it appears whole under its name. A file that is there already is an error."""
+    where, files = _at(spark, path)
+    draft, _ = _at(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = files.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if files.exists(where) or not files.rename(draft, where):
+        files.delete(draft, False)
+        raise FileExistsError(path)

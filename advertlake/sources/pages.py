@@ -97,7 +97,7 @@ def parse_pages(payloads: DataFrame, value: str = "value", page_number: str | No
 
 def one_per_page(pages: DataFrame, run: Sequence[str] = PARTITIONS) -> DataFrame:
     """One row per run and page: of a page landed several times the fullest copy, then by content."""
-    order = [F.desc(F.size("results")), F.xxhash64("count", "results")]
+    order = [-F.size("results"), F.xxhash64("count", "results")]
     return keep_first_sparse(pages, [*run, "page"], order, "repeated-pages")
 
 

@@ -1,33 +1,42 @@
 """Accumulated tables: keyed replacement with an atomic publish, and the ledger of loaded partitions.
 
 A keyed table is a folder with ``data`` and ``manifest``. A load writes the folders it changes once, below a new
-``data/_v=<version>``, and then appends one small file to ``manifest`` that names the version of each of them. That file
-is the switch: readers take the latest version the manifest has for a folder, so a load that is lost before it changes
-nothing and can be repeated, and one that is lost after it is complete. Versions that were replaced are deleted last.
-One writer at a time is assumed, as without a table format; where one is available, ``save_replaced`` is the function to
-replace by its MERGE.
+``data/_v=<version>``, and then adds one small file to ``manifest`` that names the version of each of them and what they
+replace. That file is the switch: readers take the latest version the manifest has for a folder, so a load that is lost
+before it changes nothing and can be repeated, and one that is lost after it is complete. Loads are numbered, and two
+writers that take the same number cannot both publish. Every sixteenth file names all folders, so a reader opens no
+more than sixteen however many loads there were; older files go, and so do folders of loads that were lost.
+
+Versions that were replaced are deleted ``retain`` loads later: a frame made before still reads its rows until then.
+Where a table format is available, ``save_replaced`` is the function to replace by its MERGE.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from advertlake.operators.merge import not_loaded, replace_by_key
-from advertlake.operators.windows import keep_first_sparse
+from advertlake.operators.windows import keep_first
 from advertlake.schema import PARTITIONS, SNAPSHOT_KEY, enforce_schema
-from advertlake.session import remove, stage
+from advertlake.session import names_in, read_note, remove, stage, write_note
 from advertlake.sources.layers import spread_for_write
 
 VERSION = "_v"
 NULL_FOLDER, BLANK_FOLDER = "(null)", "(blank)"
+FOLD = 16  # loads between two manifest files that name all folders
+LISTED = 256  # folders that are read by their own paths; more are found by listing the table
+
+Folder = tuple[str, ...]
 
 LEDGER_SCHEMA = T.StructType(
     [*[T.StructField(c, T.StringType()) for c in PARTITIONS], T.StructField("loaded_at", T.TimestampType())]
@@ -58,31 +67,52 @@ def with_folders(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.withColumns({f: _folder(c) for f, c in zip(folder_columns(partitions), partitions)})
 
 
-def current_folders(spark: SparkSession, path: str, partitions: Sequence[str] = PARTITIONS) -> DataFrame:
-    """``_v``, folder names and ``load`` of what a reader sees now: the latest entry of every folder."""
-    names = folder_columns(partitions)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (VERSION, *names)] + [T.StructField("load", T.LongType())])
-    if not table_exists(spark, f"{path}/manifest"):
-        return spark.createDataFrame([], schema)
-    entries = spark.read.schema(schema).parquet(f"{path}/manifest")
-    latest = entries.groupBy(*names).agg(F.max_by(VERSION, "load").alias(VERSION), F.max("load").alias("load"))
-    return latest.select(VERSION, *names, "load")
-
-
-def _read_folders(
-    spark: SparkSession, path: str, schema: T.StructType, folders: Sequence[Row], partitions: Sequence[str]
+@dataclass
+class Snapshot:
+    """What a reader sees: the last load's number, the version of every folder and what loads noted about the table;
+    and the manifest files behind it."""
+
+    load: int = 0
+    folders: dict[Folder, str] = field(default_factory=dict)
+    files: list[str] = field(default_factory=list)
+    about: dict[str, str] = field(default_factory=dict)
+
+
+def current(spark: SparkSession, path: str) -> Snapshot:
+    """The table as the latest complete load left it; the driver reads a few small files."""
+    files = [name for name in names_in(spark, f"{path}/manifest") if name.endswith(".json")]
+    out = Snapshot(files=files)
+    # the last file that names all folders, and what came after it
+    first = max((i for i, name in enumerate(files) if name.endswith("-all.json")), default=0)
+    for name in files[first:]:
+        note = json.loads(read_note(spark, f"{path}/manifest/{name}"))
+        out.load, out.about = note["load"], note["about"]
+        for version, *folder in note["folders"]:
+            if version is None:
+                out.folders.pop(tuple(folder), None)
+            else:
+                out.folders[tuple(folder)] = version
+    return out
+
+
+def read_folders(
+    spark: SparkSession, path: str, schema: T.StructType, folders: dict[Folder, str], partitions: Sequence[str]
 ) -> DataFrame:
-    """Rows of the listed folders (``_v`` and names); the names prune the scan column by column.
+    """Rows of the given folders in their versions.
 
-    Each column's list is as long as there are loads, days or countries, however many folders they make up.
+    A few folders are read by their paths, so that nothing else is listed. For many, the names prune the scan column by
+    column: each column's list is as long as there are loads, days or countries, however many folders they make up.
     """
-    names = [VERSION, *folder_columns(partitions)]
-    stored = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in names]])
     if not folders:
         return spark.createDataFrame([], schema)
+    if len(folders) <= LISTED:
+        return spark.read.schema(schema).parquet(*[_folder_path(path, v, f, partitions) for f, v in folders.items()])
+    names = [VERSION, *folder_columns(partitions)]
+    rows = [(version, *folder) for folder, version in folders.items()]
+    stored = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in names]])
     data = spark.read.schema(stored).parquet(f"{path}/data")
-    data = data.filter(reduce(and_, [F.col(c).isin(sorted({r[c] for r in folders})) for c in names]))
-    listed = spark.createDataFrame([tuple(r[c] for c in names) for r in folders], ", ".join(f"{c} string" for c in names))
+    data = data.filter(reduce(and_, [F.col(c).isin(sorted({r[i] for r in rows})) for i, c in enumerate(names)]))
+    listed = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names))
     return data.join(listed, names, "left_semi").select(*schema.names)
 
 
@@ -90,7 +120,7 @@ def read_keyed(
     spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str] = PARTITIONS
 ) -> DataFrame:
     """The keyed table at ``path`` as the latest complete load left it; the driver lists its folders, no rows."""
-    return _read_folders(spark, path, schema, current_folders(spark, path, partitions).collect(), partitions)
+    return read_folders(spark, path, schema, current(spark, path).folders, partitions)
 
 
 def rows_of_folders(df: DataFrame, folders: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -105,24 +135,72 @@ def rows_of_folders(df: DataFrame, folders: DataFrame, partitions: Sequence[str]
     return kept.join(wanted, same, "left_semi")
 
 
-def one_per_key(batch: DataFrame, key: Sequence[str], last_of: Sequence[str] | None) -> DataFrame:
-    """The batch with each key once; a null in a key stops the load.
-
-    Of repeated keys the row that is last in ``last_of`` stays, then by its content. Rows of keys that occur once are
-    not moved.
+def _publish(
+    spark: SparkSession, path: str, before: Snapshot, folders: dict[Folder, str | None], about: dict[str, str] | None = None
+) -> Snapshot:
+    """The switch: one file with the new version of every written folder, null for one that has no rows any more."""
+    after = Snapshot(before.load + 1, before.folders | folders, about=before.about | (about or {}))
+    after.folders = {f: v for f, v in after.folders.items() if v is not None}
+    whole = after.load % FOLD == 0
+    named = after.folders if whole else folders
+    replaced = [[before.folders[f], *f] for f in folders if f in before.folders]
+    note = {"load": after.load, "folders": [[v, *f] for f, v in named.items()], "replaced": replaced, "about": after.about}
+    name = f"{after.load:012d}-{'all' if whole else 'new'}.json"
+    write_note(spark, f"{path}/manifest/{name}", json.dumps(note))
+    after.files = [*before.files, name]
+    return after
+
+
+def _vacuum(spark: SparkSession, path: str, now: Snapshot, partitions: Sequence[str], retain: int) -> None:
+    """Delete what a load replaced ``retain`` loads ago, and, when all folders were named, what nothing refers to."""
+    by_load = {int(name[:12]): name for name in now.files}
+    due = by_load.get(now.load - retain)
+    if due:
+        for version, *folder in json.loads(read_note(spark, f"{path}/manifest/{due}"))["replaced"]:
+            remove(spark, _folder_path(path, version, tuple(folder), partitions))
+    if now.load % FOLD == 0:
+        # files before the last one of their kind are read no more, unless their replaced folders still wait
+        last = max((n for n, name in by_load.items() if name.endswith("-all.json") and n <= now.load - retain), default=0)
+        kept = {n: name for n, name in by_load.items() if n >= last}
+        for n, name in by_load.items():
+            if n < last:
+                remove(spark, f"{path}/manifest/{name}")
+        known = set(now.folders.values())
+        for name in kept.values():
+            note = json.loads(read_note(spark, f"{path}/manifest/{name}"))
+            known |= {v for v, *_ in note["replaced"]} | {v for v, *_ in note["folders"] if v}
+        for name in names_in(spark, f"{path}/data"):
+            if name.startswith(f"{VERSION}=") and name.removeprefix(f"{VERSION}=") not in known:
+                remove(spark, f"{path}/data/{name}")
+
+
+def write_folders(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    folders: Iterable[Folder],
+    before: Snapshot,
+    *,
+    partitions: Sequence[str],
+    sort: Sequence[str] = (),
+    retain: int = 0,
+    emptied: Iterable[Folder] = (),
+    about: dict[str, str] | None = None,
+) -> Snapshot:
+    """Put ``rows`` in place of all rows of the named ``folders``, which hold all of them; ``emptied`` ones lose theirs.
+
+    ``about`` is noted with the table, in the same switch.
     """
-    broken = F.raise_error(F.lit(f"a key column is null: {', '.join(key)}"))
-    whole = [F.when(F.col(c).isNull(), broken.cast(batch.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in key else F.col(c) for c in batch.columns]
-    order = [F.desc_nulls_last(c) for c in last_of or ()] + [F.xxhash64(*batch.columns)]
-    return keep_first_sparse(batch.select(*whole), key, order)
-
-
-def _publish(spark: SparkSession, path: str, load: int, version: str, folders: Sequence[Row]) -> None:
-    """The switch: one file with the new version of every written folder."""
-    names = list(folders[0].asDict())
-    schema = ", ".join([f"{c} string" for c in (VERSION, *names)] + ["load bigint"])
-    entries = spark.createDataFrame([(version, *row, load) for row in folders], schema)
-    entries.repartition(1).write.mode("append").parquet(f"{path}/manifest")
+    names = folder_columns(partitions)
+    version = uuid.uuid4().hex
+    written = {f: version for f in folders}
+    if written:
+        out = spread_for_write(with_folders(rows, partitions), names)
+        out = out.sortWithinPartitions(*names, *[F.asc_nulls_last(c) for c in sort])
+        out.write.partitionBy(*names).parquet(f"{path}/data/{VERSION}={version}")
+    after = _publish(spark, path, before, written | {f: None for f in emptied}, about)
+    _vacuum(spark, path, after, partitions, retain)
+    return after
 
 
 def save_replaced(
@@ -135,30 +213,36 @@ def save_replaced(
     partitions: Sequence[str] = PARTITIONS,
     sort: Sequence[str] = ("created_at", "job_id"),
     keep_last_of: Sequence[str] | None = None,
-) -> None:
-    """Put a batch into a stored table by key; loading it twice equals loading it once.
+    retain: int = 0,
+) -> int:
+    """Put a batch into a stored table by key and return its number of rows; loading it twice equals loading it once.
 
     Only the folders of the batch are read and written anew, once, however large the table is. ``partitions`` must be
-    part of ``key``. A key that the batch repeats is stored once, the row last in ``keep_last_of`` order; a null key
-    stops the load before anything changes. The batch is read several times and should be a written table.
+    part of ``key``. A key that the batch repeats is stored once, the row last in ``keep_last_of`` order, then by its
+    content; a null key stops the load before anything changes. What is replaced stays readable for ``retain`` loads.
+    The batch is read twice, first its key columns alone, and should be a written table.
     """
     names = folder_columns(partitions)
-    fresh = one_per_key(enforce_schema(batch, schema), key, keep_last_of)
+    fresh = enforce_schema(batch, schema)
+    per_key = fresh.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    missing = reduce(or_, [F.col(c).isNull() for c in key])
     # folders, not rows: as many as the batch has days and countries
-    touched = with_folders(fresh, partitions).select(*names).distinct().collect()
+    counted = with_folders(per_key, partitions).groupBy(*names).agg(
+        F.sum("_n").alias("n"), F.max("_n").alias("most"), F.max(missing).alias("broken")
+    )
+    touched = {tuple(r[c] for c in names): r for r in counted.collect()}
+    if any(r["broken"] for r in touched.values()):
+        raise ValueError(f"a key column is null: {', '.join(key)}")
     if not touched:
-        return
-    current = current_folders(spark, path, partitions).collect()
-    wanted = set(map(tuple, touched))
-    old_folders = [r for r in current if tuple(r[n] for n in names) in wanted]
-    old = _read_folders(spark, path, schema, old_folders, partitions)
-    merged = with_folders(replace_by_key(old, fresh, key=key), partitions)
-    version = uuid.uuid4().hex
-    out = spread_for_write(merged, names).sortWithinPartitions(*names, *[F.asc_nulls_last(c) for c in sort])
-    out.write.partitionBy(*names).parquet(f"{path}/data/{VERSION}={version}")
-    _publish(spark, path, 1 + max((r["load"] for r in current), default=0), version, touched)
-    for row in old_folders:
-        remove(spark, f"{path}/data/{VERSION}={row[VERSION]}/" + "/".join(f"{n}={_escaped(row[n])}" for n in names))
+        return 0
+    if any(r["most"] > 1 for r in touched.values()):
+        order = [F.desc_nulls_last(c) for c in keep_last_of or ()] + [F.xxhash64(*fresh.columns)]
+        fresh = keep_first(fresh, key, order)
+    before = current(spark, path)
+    old = {f: v for f, v in before.folders.items() if f in touched}
+    merged = replace_by_key(read_folders(spark, path, schema, old, partitions), fresh, key=key) if old else fresh
+    write_folders(spark, path, merged, touched, before, partitions=partitions, sort=sort, retain=retain)
+    return sum(r["n"] for r in touched.values())
 
 
 # Characters that Spark escapes in folder names.
@@ -169,6 +253,11 @@ def _escaped(name: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in name)
 
 
+def _folder_path(path: str, version: str, folder: Folder, partitions: Sequence[str]) -> str:
+    parts = [f"{n}={_escaped(value)}" for n, value in zip(folder_columns(partitions), folder)]
+    return "/".join([f"{path}/data/{VERSION}={version}", *parts])
+
+
 def pending_partitions(spark: SparkSession, deltas: DataFrame, ledger_path: str) -> DataFrame:
     """Folders of the delta layer that were not loaded yet."""
     folders = deltas.select(*PARTITIONS).distinct()

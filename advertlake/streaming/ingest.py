@@ -11,8 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from advertlake.operators.windows import keep_first
 from advertlake.schema import CLEAN_SCHEMA, PARTITIONS, SNAPSHOT_KEY
-from advertlake.session import remove, scratch_path, stage
-from advertlake.sources.store import save_replaced
+from advertlake.session import names_in, remove, scratch_path, stage
+from advertlake.sources.layers import spread_for_write
+from advertlake.sources.store import BLANK_FOLDER, NULL_FOLDER, save_replaced
 
 
 def read_deltas(
@@ -88,11 +89,44 @@ def weekly_share_stream(
     )
 
 
-def append_updates(updates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each batch of updated rows under its batch number; a repeated batch replaces itself."""
+def _finished(spark: SparkSession, folder: str) -> bool:
+    return "_SUCCESS" in names_in(spark, folder)
+
+
+def _layers(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    """Number of the last whole base, if there is one, and the numbers of the batches after it, rising."""
+    names = names_in(spark, path)
+    bases = sorted(int(n.removeprefix("base=")) for n in names if n.startswith("base="))
+    base = next((n for n in reversed(bases) if _finished(spark, f"{path}/base={n}")), None)
+    batches = sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+    return base, [n for n in batches if base is None or n > base]
+
+
+def _fold(spark: SparkSession, path: str, rows: DataFrame, number: int) -> None:
+    """Write ``rows``, all up to batch ``number``, as the new base; what the base before it had made needless goes.
+
+    Batches since that base stay until the next one, for readers that have listed them.
+    """
+    older, _ = _layers(spark, path)
+    rows.write.mode("overwrite").parquet(f"{path}/base={number}")
+    for name in names_in(spark, path):
+        kind, _, n = name.partition("=")
+        if n.isdigit() and older is not None and (int(n) <= older if kind == "batch" else int(n) < older):
+            remove(spark, f"{path}/{name}")
+
+
+def append_updates(
+    updates: DataFrame, path: str, checkpoint: str, *, key: Sequence[str] | None = None, fold: int = 16
+) -> StreamingQuery:
+    """Write each batch of updated rows under its batch number; a repeated batch replaces itself.
+
+    With ``key``, every ``fold`` batches are folded into a base that holds the last update of each key, so that a reader
+    opens no more than ``fold`` batches and a base, however long the stream runs.
+    """
+    schema = updates.schema
 
     def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        save_update(batch.sparkSession, path, batch, schema, number, key=key, fold=fold)
 
     return (
         updates.writeStream.outputMode("update")
@@ -103,6 +137,14 @@ def append_updates(updates: DataFrame, path: str, checkpoint: str) -> StreamingQ
     )
 
 
+def save_update(
+    spark: SparkSession, path: str, batch: DataFrame, schema: T.StructType, number: int, *, key: Sequence[str] | None, fold: int = 16
+) -> None:
+    batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    if key and len(_layers(spark, path)[1]) >= fold:
+        _fold(spark, path, _last_updates(spark, path, schema, key), number)
+
+
 def append_rows(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write finished rows to parquet through the exactly-once file sink and stop."""
     return (
@@ -115,11 +157,148 @@ def append_rows(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _last_updates(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str]) -> DataFrame:
+    base, batches = _layers(spark, path)
+    numbered = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    rows = spark.createDataFrame([], numbered)
+    if batches:
+        rows = spark.read.schema(numbered).option("basePath", path).parquet(*[f"{path}/batch={n}" for n in batches])
+    if base is not None:
+        folded = spark.read.schema(schema).parquet(f"{path}/base={base}")
+        rows = rows.unionByName(folded.withColumn("batch", F.lit(-1).cast("bigint")))
+    return keep_first(rows, key, [F.desc("batch")]).drop("batch")
+
+
 def latest_updates(
     spark: SparkSession, path: str, schema: T.StructType, *, key: Sequence[str], digits: int = 4
 ) -> DataFrame:
-    """The current weekly share table: the last update of every group."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    updates = spark.read.schema(with_batch).parquet(path)
-    latest = keep_first(updates, key, [F.desc("batch")]).drop("batch")
+    """The current weekly share table: the last update of every group, from the base and the batches after it."""
+    latest = _last_updates(spark, path, schema, key)
     return latest.withColumn("ai_share", F.round(F.col("ai_ads") / F.col("total_ads"), digits))
+
+
+# ---- first arrivals, across restarts and watermarks
+
+
+def _bits(keys: DataFrame, key: Sequence[str], within: Sequence[str], bits: int, hashes: int) -> DataFrame:
+    """``within``, ``key``, bucket and place in it of every hash of every key."""
+    place = F.explode(F.array(*[F.pmod(F.xxhash64(*key, F.lit(j)), F.lit(bits)) for j in range(hashes)]))
+    columns = list(dict.fromkeys([*within, *key]))
+    spread = keys.select(*columns, place.alias("_place"))
+    return spread.select(*columns, F.bitmap_bucket_number("_place").alias("_bucket"), F.bitmap_bit_position("_place").alias("_bit"))
+
+
+def _is_set(bitmap: Column, bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.call_function("shiftright", byte, (bit % 8).cast("int")) % 2 == 1, F.lit(False))
+
+
+class FirstArrivals:
+    """An append-only table that keeps the first arrival of every key, however late another one comes.
+
+    The watermark of a stream forgets keys; the stored table does not. Each folder has a Bloom filter of its keys, kept as
+    bitmaps. Keys of a batch that miss a bit are new, and no stored row is read for them; the others, repeats and a few
+    false alarms, meet the keys of their folders in an exact join. Batches go by their numbers: one that is repeated after
+    a failure looks at the batches before it alone and replaces what it wrote.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        *,
+        schema: T.StructType = CLEAN_SCHEMA,
+        key: Sequence[str] = SNAPSHOT_KEY,
+        folders: Sequence[str] = PARTITIONS,
+        first_by: Sequence[str] = ("ingested_at",),
+        bits: int = 1 << 23,
+        hashes: int = 4,
+        fold: int = 16,
+    ) -> None:
+        self.spark, self.path, self.schema = spark, path, schema
+        self.key, self.folders, self.first_by = list(key), list(folders), list(first_by)
+        self.bits, self.hashes, self.fold = bits, hashes, fold
+        names = T.StructType([f for f in schema.fields if f.name in self.folders])
+        self.filter_schema = T.StructType([*names, T.StructField("_bucket", T.LongType()), T.StructField("_map", T.BinaryType())])
+
+    def _names(self) -> list[str]:
+        """Folder columns of the files; the values stay in the rows as well."""
+        return [f"_f_{c}" for c in self.folders]
+
+    def rows(self, before: int | None = None) -> DataFrame:
+        """All rows, or those of the batches before one."""
+        numbers = [int(n.removeprefix("batch=")) for n in names_in(self.spark, f"{self.path}/rows")]
+        paths = [f"{self.path}/rows/batch={n}" for n in numbers if before is None or n < before]
+        paths = [p for p in paths if _finished(self.spark, p)]
+        stored = T.StructType([*self.schema.fields, *[T.StructField(c, T.StringType()) for c in self._names()]])
+        if not paths:
+            return self.spark.createDataFrame([], stored)
+        return self.spark.read.schema(stored).option("basePath", f"{self.path}/rows").parquet(*paths)
+
+    def table(self) -> DataFrame:
+        return self.rows().select(*self.schema.names)
+
+    def _filters(self, before: int) -> DataFrame:
+        root = f"{self.path}/filters"
+        base, batches = _layers(self.spark, root)
+        if base is not None and base >= before:  # a batch repeated after it was folded: its own bits must not count
+            base, batches = None, []
+        paths = [f"{root}/batch={n}" for n in batches if n < before] + ([f"{root}/base={base}"] if base is not None else [])
+        if not paths:
+            return self.spark.createDataFrame([], self.filter_schema)
+        parts = self.spark.read.schema(self.filter_schema).parquet(*paths)
+        return parts.groupBy(*self.folders, "_bucket").agg(F.bitmap_or_agg("_map").alias("_map"))
+
+    def _new_filters(self, rows: DataFrame) -> DataFrame:
+        bits = _bits(rows, self.key, self.folders, self.bits, self.hashes)
+        return bits.groupBy(*self.folders, "_bucket").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+
+    def add(self, batch: DataFrame, number: int) -> None:
+        """Append the keys of a batch that no earlier batch had, each with its first row in ``first_by`` order.
+
+        Of rows that share a key and ``first_by`` the one with the least content stays. Null keys count as equal.
+        """
+        spark, scratch = self.spark, scratch_path(self.spark, "first-arrivals")
+        order = [F.asc(c) for c in self.first_by] + [F.xxhash64(*self.schema.names)]
+        fresh = stage(keep_first(batch.select(*self.schema.names), self.key, order), "fresh", f"{scratch}/fresh")
+        replayed = (_layers(spark, f"{self.path}/filters")[0] or -1) >= number
+        bits = _bits(fresh, self.key, self.folders, self.bits, self.hashes)
+        known = self._filters(number).withColumnsRenamed({c: f"_w_{c}" for c in self.folders})
+        same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in self.folders]
+        met = bits.join(known.withColumnRenamed("_bucket", "_b"), [*same, F.col("_bucket") == F.col("_b")], "left")
+        hit = F.when(F.col("_map").isNotNull(), _is_set(F.col("_map"), F.col("_bit"))).otherwise(replayed)
+        maybe = met.groupBy(*self.key).agg(F.min(hit).alias("_all")).filter("_all").drop("_all")
+        maybe = stage(maybe, "maybe", f"{scratch}/maybe")
+        new = fresh
+        if not maybe.isEmpty():
+            # folders, not rows: as many as the batch has days and countries
+            touched = maybe.select(*self.folders).distinct().collect()
+            stored = self.rows(number)
+            for c, name in zip(self.folders, self._names()):
+                stored = stored.filter(F.col(name).isin(sorted({_folder_name(r[c]) for r in touched})))
+            listed = [F.col(c).alias(f"_k{i}") for i, c in enumerate(self.key)]
+            asked = maybe.select(*listed)
+            equal = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(self.key)]
+            there = stored.select(*self.key).join(asked, equal, "left_semi").select(*listed).distinct()
+            new = fresh.join(there, equal, "left_anti")
+        text = [F.coalesce(F.when(F.col(c).cast("string") == "", BLANK_FOLDER).otherwise(F.col(c).cast("string")), F.lit(NULL_FOLDER)) for c in self.folders]
+        out = new.withColumns(dict(zip(self._names(), text)))
+        spread_for_write(out, self._names()).write.mode("overwrite").partitionBy(*self._names()).parquet(f"{self.path}/rows/batch={number}")
+        written = self.spark.read.schema(self.schema).parquet(f"{self.path}/rows/batch={number}") if not new.isEmpty() else new
+        self._new_filters(written).write.mode("overwrite").parquet(f"{self.path}/filters/batch={number}")
+        if len(_layers(spark, f"{self.path}/filters")[1]) >= self.fold:
+            _fold(spark, f"{self.path}/filters", self._filters(number + 1), number)
+        remove(spark, scratch)
+
+    def stream(self, deltas: DataFrame, checkpoint: str) -> StreamingQuery:
+        """Add all new deltas and stop; run it on any schedule."""
+        return (
+            deltas.writeStream.foreachBatch(lambda batch, number: self.add(batch, number))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+
+def _folder_name(value: object) -> str:
+    return NULL_FOLDER if value is None else BLANK_FOLDER if str(value) == "" else str(value)

@@ -20,10 +20,10 @@ from advertlake.operators import quality as Q
 from advertlake.operators import share as A
 from advertlake.operators import trend as R
 from advertlake.operators.windows import keep_first, top_k
-from advertlake.plans import pipeline, warehouse
+from advertlake.plans import pipeline, reports, warehouse
 from advertlake.schema import CLEAN_SCHEMA, FLAGS_SCHEMA, HISTORY_KEY, HISTORY_SCHEMA
 from advertlake.session import configure, scratch_path, stage
-from advertlake.sources import layers, pages, store
+from advertlake.sources import dimensions, layers, pages, store
 from advertlake.streaming import ingest
 from checks import ads_view as V
 from checks import sql as S
@@ -195,14 +195,16 @@ def archived_pages(spark, sf_dir):
     return ads.select("country", "page", "pos", "id", "title")
 
 
-# Every page number that leaves the rest 5 by 7 arrives broken: its list of results is a text, or its body no document.
+# Every page number that leaves the rest 1 or 2 by 7 arrives broken: its list of results is a text, or its body no
+# document. A country's empty last page counts too.
 @query(ctes(S.RAW) + """
-SELECT country, CASE WHEN page % 2 = 0 THEN 'no results' ELSE 'not a document' END AS reason, count(DISTINCT page) AS n
-FROM raw WHERE page % 7 = 5 GROUP BY 1, 2""")
+SELECT country, CASE WHEN page % 2 = 0 THEN 'no results' ELSE 'not a document' END AS reason, count(*) AS n
+FROM (SELECT country, page FROM raw UNION SELECT country, max(page) + 1 FROM raw GROUP BY 1)
+WHERE page % 7 IN (1, 2) GROUP BY 1, 2""")
 def archived_pages_rejects(spark, sf_dir):
     page = V.landed_pages(spark, sf_dir).withColumn("no", F.get_json_object("value", "$.page").cast("int"))
     full = page.filter(F.get_json_object("value", "$.results").isNotNull())
-    broken = F.col("no") % 7 == 5
+    broken = (F.col("no") % 7).isin(1, 2)
     body = F.when(broken & (F.col("no") % 2 == 0), F.concat(F.lit('{"page":'), F.col("no").cast("string"), F.lit(',"results":"oops"}')))
     single = full.filter(broken & (F.col("no") % 2 == 1)).withColumn("value", F.concat(F.lit('{"page": broken '), F.substring("value", 1, 200)))
     wrapped = (
@@ -998,20 +1000,28 @@ def master_blank_country(spark, sf_dir):
     return store.read_keyed(spark, path, CLEAN_SCHEMA).select("job_id", "country", "ingest_date", "title")
 
 
-@query(ctes(S.SNAPSHOTS) + """SELECT 2 AS versions, 2 AS kept, (SELECT count(*) FROM snapshots WHERE ingest_date <= '2026-09-02') AS n""")
+VERSION_COLUMNS = columns(["job_id", "country", "ingest_date", "created_at", "salary_max"])
+
+
+@query(ctes(S.SNAPSHOTS) + f"""
+SELECT 'before' AS reader, {VERSION_COLUMNS} FROM snapshots WHERE ingest_date <= '2026-09-02'
+UNION ALL SELECT 'after', {VERSION_COLUMNS.replace("salary_max", "CASE WHEN ingest_date = '2026-09-02' THEN salary_max + 1000 ELSE salary_max END AS salary_max")}
+FROM snapshots WHERE ingest_date <= '2026-09-02'""")
 def published_versions(spark, sf_dir):
-    # Two loads, then one that is lost before its switch: readers see the second load, and a repeat would find it.
+    # Two loads, one that is lost before its switch, and a correction: a frame made before it still reads what it saw,
+    # a later one the corrected rows, and neither the lost load.
     path = scratch_path(spark, "published")
     days = stage(snapshots(spark, sf_dir), "days")
+    spec = {"schema": CLEAN_SCHEMA, "retain": 1}
     for day in ("2026-09-01", "2026-09-02"):
-        store.save_replaced(spark, path, days.filter(F.col("ingest_date") == day), schema=CLEAN_SCHEMA)
+        store.save_replaced(spark, path, days.filter(F.col("ingest_date") == day), **spec)
     lost = store.with_folders(days.filter("ingest_date = '2026-09-03'"), ["ingest_date", "country"])
     lost.write.partitionBy("_f_ingest_date", "_f_country").parquet(f"{path}/data/{store.VERSION}=lost")
-    current = store.current_folders(spark, path).select(store.VERSION).distinct()
-    there = store.read_keyed(spark, path, CLEAN_SCHEMA)
-    stored = spark.read.schema("_f_ingest_date string").parquet(f"{path}/manifest").select("_f_ingest_date").distinct()
-    counts = [df.agg(F.count(F.lit(1)).alias(name)) for df, name in ((current, "versions"), (stored, "kept"), (there, "n"))]
-    return counts[0].join(F.broadcast(counts[1])).join(F.broadcast(counts[2]))  # one row each
+    before = store.read_keyed(spark, path, CLEAN_SCHEMA)
+    store.save_replaced(spark, path, correction(days), **spec)
+    after = store.read_keyed(spark, path, CLEAN_SCHEMA)
+    both = before.withColumn("reader", F.lit("before")).unionByName(after.withColumn("reader", F.lit("after")))
+    return both.select("reader", "job_id", "country", "ingest_date", "created_at", "salary_max")
 
 
 @query(HISTORY_SQL)
@@ -1121,6 +1131,63 @@ def warehouse_sql(spark, sf_dir):
     )
 
 
+# Every snapshot with the flags of its advert.
+FLAGGED_DAYS = S.FLAGS + ", " + S.SNAPSHOTS[len(S.CLEAN) + 2 :] + """, days AS (
+  SELECT s.country, s.ingest_date, s.salary_min, s.salary_max, CAST(date_trunc('week', f.created_at) AS DATE) AS week, f.* EXCLUDE (country, ingest_date)
+  FROM snapshots s JOIN flags f ON s.job_id = f.job_id AND s.country = f.country
+)"""
+
+
+def flagged_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = snapshots(spark, sf_dir).select("job_id", "country", "ingest_date", "salary_min", "salary_max")
+    flags = flagged(spark, sf_dir).drop("ingest_date", "title", "description", "category_tag", "category_label")
+    return stage(days.join(flags, ["job_id", "country"]), "flagged-days")
+
+
+def loaded_reports(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """States of three days that were loaded one by one, the second first with wrong flags; and the rows themselves."""
+    days, path = flagged_days(spark, sf_dir), scratch_path(spark, "report-states")
+    of = lambda day: days.filter(F.col("ingest_date") == day)
+    wrong = of("2026-09-02").withColumns({"ai_mentioned": ~F.col("ai_mentioned"), "salary_max": F.col("salary_max") * 3})
+    for batch in (of("2026-09-01"), wrong, of("2026-09-03"), of("2026-09-02")):
+        reports.refresh(spark, path, batch)
+    return reports.read_states(spark, path), days
+
+
+@query("WITH " + FLAGGED_DAYS + """
+SELECT CAST(week AS VARCHAR) AS week, country, role_class, count(*) AS total_ads, count(*) FILTER (ai_mentioned) AS ai_ads,
+  round(count(*) FILTER (ai_mentioned) / count(*)::DOUBLE, 4) AS ai_share FROM days GROUP BY 1, 2, 3""")
+def incremental_weekly_share(spark, sf_dir):
+    return reports.weekly_share(loaded_reports(spark, sf_dir)[0])
+
+
+@query("WITH " + FLAGGED_DAYS + f"""
+SELECT country, role_class, {", ".join(f"CAST(sum({c}) AS BIGINT) AS {g}_mentions" for g, c in SKILLS.columns.items())}, count(*) AS ads
+FROM days GROUP BY 1, 2""")
+def incremental_group_counts(spark, sf_dir):
+    return reports.group_counts(loaded_reports(spark, sf_dir)[0])
+
+
+@query("WITH " + FLAGGED_DAYS + """
+SELECT country, role_class, measure, share, count(*) AS n, true AS within
+FROM (SELECT country, role_class, unnest(['salary_min', 'salary_max']) AS measure, unnest([salary_min, salary_max]) AS value FROM days),
+     (SELECT unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS share)
+WHERE value IS NOT NULL GROUP BY ALL""")
+def incremental_salary_quantiles(spark, sf_dir):
+    # The merged sketches' values, and whether their ranks among all values are as close as promised.
+    states, days = loaded_reports(spark, sf_dir)
+    got = reports.quantiles(states, [0.25, 0.5, 0.75])
+    each = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("v")) for m in reports.MEASURES])
+    values = days.select("country", "role_class", F.inline(each)).filter("v IS NOT NULL")
+    met = values.join(got, ["country", "role_class", "measure"])
+    ranks = met.groupBy("country", "role_class", "measure", "share", "n").agg(
+        F.count_if(F.col("v") < F.col("value")).alias("below"), F.count_if(F.col("v") <= F.col("value")).alias("upto")
+    )
+    slack = F.lit(reports.RANK_ERROR) * F.col("n") + 1
+    within = (F.col("below") - slack <= F.col("share") * F.col("n")) & (F.col("share") * F.col("n") <= F.col("upto") + slack)
+    return ranks.select("country", "role_class", "measure", "share", "n", within.alias("within"))
+
+
 @query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS} FROM weekly")
 def full_run(spark, sf_dir):
     root = scratch_path(spark, "run")
@@ -1166,6 +1233,22 @@ def _register_dimension(dimension: H.Dimension) -> None:
     def whole(spark, sf_dir):
         return H.build_dimension(snapshots(spark, sf_dir), dimension)
 
+    kept = ctes(S.SNAPSHOTS, _versions_sql(dimension)) + f"SELECT *, true AS others_kept FROM {dimension.name}"
+
+    @query(kept, f"dimension_{dimension.name}_stored")
+    def stored(spark, sf_dir):
+        # Three days, one by one, and the last of them again. Files of segments that a load does not name must stay.
+        path, others_kept = scratch_path(spark, "dimension"), True
+        days = stage(snapshots(spark, sf_dir), "days")
+        for day in ("2026-09-01", "2026-09-02", "2026-09-03", "2026-09-03"):
+            before = store.current(spark, path).folders
+            written = dimensions.load_snapshots(spark, path, days.filter(F.col("ingest_date") == day), dimension)
+            after = store.current(spark, path).folders
+            others_kept &= all(after.get(f) == v for f, v in before.items() if f[0] not in written)
+            others_kept &= day != "2026-09-03" or before != after or not written
+        table = dimensions.read_dimension(spark, path, dimensions.stored_schema(days, dimension))
+        return table.withColumn("others_kept", F.lit(others_kept))
+
     @query(sql, f"dimension_{dimension.name}_incremental")
     def stepwise(spark, sf_dir):
         days = stage(snapshots(spark, sf_dir), "days")
@@ -1200,10 +1283,11 @@ def dimension_job_late_day(spark, sf_dir):
     days = stage(snapshots(spark, sf_dir), "days")
     of = lambda day: days.filter(F.col("ingest_date") == day)
     job = next(d for d in H.DIMENSIONS if d.name == "job")
-    paths = [scratch_path(spark, "dimension") for _ in range(3)]
-    H.load_dimension(None, paths[0], of("2026-09-01"), job)
-    H.load_dimension(paths[0], paths[1], of("2026-09-03"), job, loaded_until="2026-09-01")
-    return H.load_dimension(paths[1], paths[2], of("2026-09-02"), job, snapshots=days.filter("ingest_date <> '2026-09-02'"))
+    path = scratch_path(spark, "dimension")
+    for day in ("2026-09-01", "2026-09-03"):
+        dimensions.load_snapshots(spark, path, of(day), job)
+    dimensions.load_snapshots(spark, path, of("2026-09-02"), job, snapshots=days.filter("ingest_date <> '2026-09-02'"))
+    return dimensions.read_dimension(spark, path, dimensions.stored_schema(days, job))
 
 
 @query(_dimension_sql("category"))
@@ -1213,10 +1297,10 @@ def dimension_category_rerun(spark, sf_dir):
     category = next(d for d in H.DIMENSIONS if d.name == "category")
     last = days.filter("ingest_date = '2026-09-03'")
     wrong = last.withColumn("category_label", F.concat("category_label", F.lit("?")))
-    paths = [scratch_path(spark, "dimension") for _ in range(3)]
-    H.load_dimension(None, paths[0], days.filter("ingest_date < '2026-09-03'"), category)
-    H.load_dimension(paths[0], paths[1], wrong, category, loaded_until="2026-09-02")
-    return H.load_dimension(paths[1], paths[2], last, category, loaded_until="2026-09-03")
+    path = scratch_path(spark, "dimension")
+    for batch in (days.filter("ingest_date < '2026-09-03'"), wrong, last):
+        dimensions.load_snapshots(spark, path, batch, category)
+    return dimensions.read_dimension(spark, path, dimensions.stored_schema(days, category))
 
 
 _FACT_DIMENSIONS = list(H.DIMENSIONS)
@@ -1286,8 +1370,9 @@ def stream_weekly_share(spark, sf_dir):
     flagged(spark, sf_dir).drop("description").write.parquet(landing)
     arrivals = ingest.read_deltas(spark, landing, T.StructType([f for f in FLAGS_SCHEMA if f.name != "description"]))
     share = ingest.weekly_share_stream(arrivals, delay="400 days")
-    ingest.append_updates(share, f"{root}/updates", f"{root}/checkpoint").awaitTermination()
-    return ingest.latest_updates(spark, f"{root}/updates", share.schema, key=["week", "country", "role_class"])
+    key = ["week", "country", "role_class"]
+    ingest.append_updates(share, f"{root}/updates", f"{root}/checkpoint", key=key).awaitTermination()
+    return ingest.latest_updates(spark, f"{root}/updates", share.schema, key=key)
 
 
 @query("""SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week, event_type, count(*) AS total_ads,
@@ -1301,3 +1386,32 @@ def stream_event_share(spark, sf_dir):
     share = ingest.weekly_share_stream(arrivals, ts="ts", flag="high", by=["event_type"], delay="60 days")
     ingest.append_updates(share, f"{root}/updates", f"{root}/checkpoint").awaitTermination()
     return ingest.latest_updates(spark, f"{root}/updates", share.schema, key=["week", "event_type"])
+
+
+@query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS}, true AS bounded FROM weekly WHERE week IS NOT NULL")
+def stream_weekly_share_folded(spark, sf_dir):
+    # Twelve batches, folded by four: a reader opens a base and at most four batches.
+    landing, root = scratch_path(spark, "flags-landing"), scratch_path(spark, "weekly-stream")
+    key, columns_ = ["week", "country", "role_class"], ["created_at", "ai_mentioned", "country", "role_class"]
+    flagged(spark, sf_dir).select(columns_).repartition(12).write.parquet(landing)
+    arrivals = ingest.read_deltas(spark, landing, T.StructType([f for f in FLAGS_SCHEMA if f.name in columns_]), files_per_batch=1)
+    share = ingest.weekly_share_stream(arrivals, delay="400 days")
+    ingest.append_updates(share, f"{root}/updates", f"{root}/checkpoint", key=key, fold=4).awaitTermination()
+    base, after = ingest._layers(spark, f"{root}/updates")
+    table = ingest.latest_updates(spark, f"{root}/updates", share.schema, key=key)
+    return table.withColumn("bounded", F.lit(base is not None and len(after) < 4))
+
+
+@query(MASTER_SQL)
+def stream_first_arrivals(spark, sf_dir):
+    # The days arrive in order, then the first one again with other salaries, after a restart and long after any watermark.
+    root = scratch_path(spark, "arrivals")
+    days = stage(snapshots(spark, sf_dir), "days")
+    late = days.filter("ingest_date = '2026-09-01'").withColumns(
+        {"salary_max": F.col("salary_max") + 1, "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 40 DAYS")}
+    )
+    for part in (days.filter("ingest_date < '2026-09-03'"), late.unionByName(days.filter("ingest_date = '2026-09-03'"))):
+        part.write.mode("append").parquet(f"{root}/landing")
+        arrivals = ingest.FirstArrivals(spark, f"{root}/table")
+        arrivals.stream(ingest.read_deltas(spark, f"{root}/landing"), f"{root}/checkpoint").awaitTermination()
+    return arrivals.table()
