@@ -120,6 +120,16 @@ def prefix_hash(data: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarra
     return out
 
 
+def prefix_digits(digits: np.ndarray) -> np.ndarray:
+    """As ``prefix_hash`` for a sequence of 64-bit hashes, such as those of words; 31 bits of each count per point."""
+    powers = _powers_to(len(digits) + 1)
+    out = np.zeros((2, len(digits) + 1), np.uint64)
+    for i in range(2):
+        part = (digits >> U64(33 * i)) & PRIME
+        np.cumsum(_fold(part * powers[i][: len(digits)]), out=out[i, 1:])
+    return out
+
+
 def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the bytes of every span, 62 bits and its length; equal bytes give equal hashes wherever they stand."""
     tables = _powers_to(prefix.shape[1])

@@ -14,6 +14,10 @@ others, and no index is larger than a task can hold:
    they are at least ``SPAN``, cover what all places cover, and only these are looked at.
 4. An anchor with too many different pieces for a unit (a common line that is shorter than ``SPAN``) has its pieces
    anchored again with longer grams, up to grams of ``SPAN`` bytes, where equal anchors are equal strings.
+
+Passages of more than fifty words that stand in several texts are told besides, whatever their length in bytes. Each text
+is winnowed: of every 26 runs of 26 words the least hash counts, so that two texts with a common passage of 51 words
+share one of these hashes. Only around shared ones are the hashes of all runs of 51 words compared.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from advertlake.llm.kernels import U64, Block, mix, prefix_hash, span_hash, text_blocks
+from advertlake.llm.kernels import U64, Block, Words, prefix_digits, prefix_hash, span_hash, text_blocks, words_of
 from advertlake.operators.windows import keep_first
 from advertlake.session import stage
 
@@ -35,6 +39,8 @@ SPAN = 400
 GRAM_SHARES = (0.12, 0.56, 0.78, 0.89, 1.0)  # lengths of the grams of the levels, as shares of the span
 UNIT_BYTES = 1 << 20
 UNIT_PIECES = 1024  # different pieces of one anchor that an index takes
+PASSAGE_WORDS = 51
+WINNOW_WORDS = 26  # of a run that is hashed; as many runs are looked at together, so a passage has one that counts
 # Places fit any text Spark can hold; of equal shortened hashes the first counts, in every copy of a string alike.
 PLACE_BITS = 32
 
@@ -194,16 +200,88 @@ def anchor_table(documents: DataFrame, span: int, gram: int) -> DataFrame:
     return documents.select("text").mapInArrow(found, ANCHOR_SCHEMA)
 
 
+def run_hashes(word_hashes: np.ndarray, words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``size`` words and the number of the word each begins with; runs stay within a text."""
+    n = len(word_hashes)
+    if n < size:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at = np.flatnonzero(words.row[: n - size + 1] == words.row[size - 1 :])
+    return span_hash(prefix_digits(word_hashes), at, at + size), at
+
+
+def winnowed(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of the runs of words that count: the least of every ``WINNOW_WORDS`` next to each other."""
+    words = words_of(block)
+    hashes = span_hash(prefix_hash(block.data), words.starts, words.ends)
+    runs, at = run_hashes(hashes, words, WINNOW_WORDS)
+    if not len(runs):
+        return at, runs
+    row = words.row[at]
+    # a window of runs begins where all of them are in one text
+    whole = np.flatnonzero(row[: len(row) - WINNOW_WORDS + 1] == row[WINNOW_WORDS - 1 :]) if len(row) >= WINNOW_WORDS else at[:0]
+    if not len(whole):
+        return at[:0], runs[:0]
+    least = sliding_least(runs, WINNOW_WORDS)[whole]
+    first = np.append(True, (least[1:] != least[:-1]) | (row[whole][1:] != row[whole][:-1]))
+    return row[whole][first], least[first]
+
+
+def passage_table(documents: DataFrame) -> DataFrame:
+    """``k, g``: the hashes that count of every text of ``PASSAGE_WORDS`` words, each different text once per task."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for block in text_blocks(batch.column("text")):
+                keys = text_keys(block).view(np.int64)
+                row, g = winnowed(block)
+                fresh = np.zeros(block.rows, bool)
+                for i in np.unique(row).tolist():
+                    if int(keys[i]) not in seen:
+                        seen.add(int(keys[i]))
+                        fresh[i] = True
+                take = fresh[row]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[row[take]]), pa.array(g[take].view(np.int64))], names=["k", "g"])
+
+    return documents.select("text").mapInArrow(found, "k bigint, g bigint")
+
+
+def passage_runs(candidates: DataFrame) -> DataFrame:
+    """``k, h``: hashes of all runs of ``PASSAGE_WORDS`` words around the shared hashes ``passages`` of a text."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lists = batch.column("k").to_numpy(), batch.column("passages")
+            sizes = lists.value_lengths().fill_null(0).to_numpy()
+            begins = np.concatenate(([0], np.cumsum(sizes)))
+            wanted = lists.flatten().to_numpy().view(np.uint64)
+            for block in text_blocks(batch.column("text")):
+                words = words_of(block)
+                hashes = span_hash(prefix_hash(block.data), words.starts, words.ends)
+                short, at = run_hashes(hashes, words, WINNOW_WORDS)
+                hit = np.zeros(len(hashes) + 1, np.int64)
+                here = np.unique(wanted[begins[block.first] : begins[block.first + block.rows]])
+                hit[at[np.isin(short, here)]] = 1
+                before = np.concatenate(([0], np.cumsum(hit)))
+                whole, start = run_hashes(hashes, words, PASSAGE_WORDS)
+                around = before[start + PASSAGE_WORDS - WINNOW_WORDS + 1] > before[start]
+                rows = words.row[start[around]]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[block.first + rows]), pa.array(whole[around].view(np.int64))], names=["k", "h"])
+
+    return candidates.filter("passages IS NOT NULL").select("k", "text", "passages").mapInArrow(runs, "k bigint, h bigint")
+
+
 def identity(text: Column) -> Column:
-    """``k`` and ``n``: key and number of bytes of a whole text."""
+    """``k``, ``n`` and ``w``: key, number of bytes and number of words of a whole text."""
 
-    @arrow_udf("struct<k:bigint,n:bigint>")
+    @arrow_udf("struct<k:bigint,n:bigint,w:bigint>")
     def identify(texts: pa.Array) -> pa.Array:
-        ks, ns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
         for block in text_blocks(texts):
-            ks.append(text_keys(block).view(np.int64))
-            ns.append(np.diff(block.offsets))
-        return pa.StructArray.from_arrays([pa.array(np.concatenate(ks)), pa.array(np.concatenate(ns))], ["k", "n"])
+            found = (text_keys(block).view(np.int64), np.diff(block.offsets), words_of(block).per_row.astype(np.int64))
+            for column, part in zip(columns, found):
+                column.append(part)
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["k", "n", "w"])
 
     return identify.asNondeterministic()(text)
 
@@ -290,10 +368,12 @@ def indexed_marks(pieces: DataFrame, span: int) -> DataFrame:
     return dealt.mapInArrow(marks, MARK_SCHEMA)
 
 
-def repeated_marks(documents: DataFrame, texts: DataFrame, *, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
-    """Marks ``k, s, e`` on texts, and the texts that may have some (``k, text``).
+def repeated_marks(
+    documents: DataFrame, texts: DataFrame, *, span: int = SPAN
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Marks ``k, s, e`` on texts, the texts that may have some (``k, text``), and those with a common passage (``k``).
 
-    ``texts`` has one row ``k, text`` per different text of at least ``span`` bytes.
+    ``texts`` has one row ``k, text`` per different text of at least ``span`` bytes or ``PASSAGE_WORDS`` words.
     """
     grams = gram_lengths(span)
     table = anchor_table(documents, span, grams[0])
@@ -302,10 +382,20 @@ def repeated_marks(documents: DataFrame, texts: DataFrame, *, span: int = SPAN)
     twice = stage(twice, "repeat-grams")  # so that the join has shuffles of its own, whose large parts can be split
     # anchors of one text, each task's copy of it being equal
     listed = table.join(twice, "g").groupBy("k").agg(F.array_distinct(F.collect_list(F.struct("g", "a", "b"))).alias("found"))
-    candidates = stage(texts.join(listed, "k"), "repeat-candidates")
+    counted = passage_table(documents)
+    common = counted.groupBy("g").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low <> high").select("g")
+    common = stage(common, "passage-grams")
+    passages = counted.join(common, "g").groupBy("k").agg(F.collect_set("g").alias("passages"))
+    # the texts that either asks for are moved once
+    asked = stage(listed.join(passages, "k", "full"), "repeat-asked")
+    candidates = stage(texts.join(asked, "k"), "repeat-candidates")
+
+    runs = stage(passage_runs(candidates).distinct(), "passage-runs")
+    twice_run = runs.groupBy("h").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low <> high").select("h")
+    with_passage = runs.join(stage(twice_run, "passage-repeats"), "h").select("k").distinct()
 
     all_marks = None
-    pieces = first_pieces(candidates, span)
+    pieces = first_pieces(candidates.filter("found IS NOT NULL"), span)
     for level, gram in enumerate(grams):
         different = pieces.groupBy("g", "h").agg(
             F.first("bytes").alias("bytes"), F.count("*").alias("n"), F.min(F.struct("k", "at")).alias("one")
@@ -325,7 +415,7 @@ def repeated_marks(documents: DataFrame, texts: DataFrame, *, span: int = SPAN)
         if large.isEmpty():
             break
         pieces = finer_pieces(stage(different.join(large, "g").select("k", "at", "bytes"), "repeat-large"), span, grams[level + 1])
-    return all_marks, candidates
+    return all_marks, candidates, with_passage
 
 
 def removal(text: Column, starts: Column, ends: Column) -> Column:
@@ -354,7 +444,9 @@ def removal(text: Column, starts: Column, ends: Column) -> Column:
 
 
 def remove_repeats(documents: DataFrame, *, span: int = SPAN) -> DataFrame:
-    """Per row of ``documents`` (``doc_id, text``): ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
+    """Per row of ``documents`` (``doc_id, text``): ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, repeats``.
+
+    ``repeats`` tells whether the text shares a passage of ``PASSAGE_WORDS`` words with another row, equal texts included.
 
     Texts are UTF-8 bytes, a null text none; what repeats is judged on the input. Texts shorter than ``span`` lose
     nothing; equal longer texts, repeated rows among them, lose everything. An empty table gives no rows; other columns
@@ -362,17 +454,20 @@ def remove_repeats(documents: DataFrame, *, span: int = SPAN) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     known = documents.select("doc_id", text.alias("text")).select("doc_id", identity(F.col("text")).alias("i"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    rows = stage(known.select("doc_id", "i.k", "i.n", "sha"), "repeat-rows")
+    rows = stage(known.select("doc_id", "i.k", "i.n", "i.w", "sha"), "repeat-rows")
     # whole texts are equal if both their keys and their digests are
-    copies = rows.filter(F.col("n") >= span).groupBy("k", "sha").agg(F.count("*").alias("copies")).filter("copies > 1")
+    copies = rows.filter((F.col("n") >= span) | (F.col("w") >= PASSAGE_WORDS)).groupBy("k", "sha").agg(F.count("*").alias("copies")).filter("copies > 1")
 
-    keyed = documents.filter("text IS NOT NULL").select(identity(F.col("text")).alias("i"), "text").select("i.k", "i.n", "text")
-    texts = keep_first(keyed.filter(F.col("n") >= span).select("k", "text"), ["k"], ["k"])
-    marks, candidates = repeated_marks(documents, texts, span=span)
+    keyed = documents.filter("text IS NOT NULL").select(identity(F.col("text")).alias("i"), "text").select("i.k", "i.n", "i.w", "text")
+    long = (F.col("n") >= span) | (F.col("w") >= PASSAGE_WORDS)
+    texts = keep_first(keyed.filter(long).select("k", "text"), ["k"], ["k"])
+    marks, candidates, with_passage = repeated_marks(documents, texts, span=span)
     per_text = marks.groupBy("k").agg(F.collect_list("s").alias("s"), F.collect_list("e").alias("e"))
     cut = candidates.select("k", "text").join(per_text, "k").select("k", removal(F.col("text"), F.col("s"), F.col("e")).alias("x"))
     changed = copies.join(cut.select("k", "x.*"), "k", "full").withColumnRenamed("sha", "sha_of_copies")
-    everything = F.col("copies").isNotNull() & (F.col("sha") == F.col("sha_of_copies"))
+    changed = changed.join(with_passage.withColumn("passage", F.lit(True)), "k", "full")
+    copied = F.coalesce(F.col("copies").isNotNull() & (F.col("sha") == F.col("sha_of_copies")), F.lit(False))
+    everything = copied & (F.col("n") >= span)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     return rows.join(changed, "k", "left").select(
         "doc_id",
@@ -380,4 +475,5 @@ def remove_repeats(documents: DataFrame, *, span: int = SPAN) -> DataFrame:
         F.when(everything, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
         F.when(everything, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("bigint").alias("n_spans"),
         F.when(everything, nothing).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        (F.coalesce("passage", F.lit(False)) | (copied & (F.col("w") >= PASSAGE_WORDS))).alias("repeats"),
     )
