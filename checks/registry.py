@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from advertlake.functions import text as X
 from advertlake.functions.taxonomy import SKILLS, Taxonomy
 from advertlake.operators import clean as C
+from advertlake.operators import dictionary as D
 from advertlake.operators import enrich as E
 from advertlake.operators import history as H
 from advertlake.operators import merge as M
@@ -23,7 +24,7 @@ from advertlake.operators.windows import keep_first, top_k
 from advertlake.plans import pipeline, reports, warehouse
 from advertlake.schema import CLEAN_SCHEMA, FLAGS_SCHEMA, HISTORY_KEY, HISTORY_SCHEMA
 from advertlake.session import configure, scratch_path, stage
-from advertlake.sources import dimensions, layers, pages, store
+from advertlake.sources import buckets, dimensions, layers, pages, store
 from advertlake.streaming import ingest
 from checks import ads_view as V
 from checks import sql as S
@@ -422,6 +423,15 @@ def term_counts(spark, sf_dir):
     return E.term_counts(cleaned(spark, sf_dir))
 
 
+@query(TERMS + "SELECT term, count(*) AS mentions FROM terms GROUP BY term")
+def dictionary_term_counts(spark, sf_dir):
+    # The same hits by way of word n-grams that meet the dictionary as a table.
+    dictionary = D.prepared_dictionary(SKILLS.table(spark))
+    ads = cleaned(spark, sf_dir).select("job_id", "country", X.normalize_text(E.advert_text()).alias("norm"))
+    hits = D.dictionary_hits(ads, dictionary, key=["job_id", "country"], text=F.col("norm"))
+    return hits.groupBy("term").agg(F.count(F.lit(1)).alias("mentions"))
+
+
 _GROUP_OF = " ".join(f"WHEN '{t}' THEN '{g}'" for g, ts in SKILLS.groups.items() for t in ts)
 
 
@@ -461,6 +471,20 @@ def weekly_share_joined(spark, sf_dir):
     return warehouse.share_weekly(clean, stage(E.enrich_ads(clean), "flags"))
 
 
+@query(ctes(S.WEEKLY) + f"SELECT {WEEK_COLUMNS}, 0 AS shuffles FROM weekly")
+def weekly_share_bucketed(spark, sf_dir):
+    # Facts and flags in equal buckets of the snapshot key; the flags come twice, first all false.
+    fact_path, flags_path = scratch_path(spark, "fact-buckets"), scratch_path(spark, "flag-buckets")
+    flags = stage(flagged(spark, sf_dir), "flags")
+    facts = flags.select("job_id", "country", "ingest_date", "created_at")
+    flags = flags.select("job_id", "country", "ingest_date", "role_class", "ai_mentioned")
+    buckets.save_buckets(facts, fact_path, buckets=8)
+    for batch in (flags.withColumn("ai_mentioned", F.lit(False)), flags):
+        buckets.save_buckets(batch, flags_path, buckets=8)
+    joined = buckets.join_buckets(buckets.read_buckets(spark, fact_path), buckets.read_buckets(spark, flags_path))
+    return A.period_share(joined).withColumn("shuffles", F.lit(buckets.shuffles_below_join(joined)))
+
+
 @query(ctes(S.FLAGS) + """
 SELECT concat(CAST(date_trunc('week', created_at) AS DATE), '/', CAST(date_trunc('week', created_at) AS DATE) + 6) AS week,
   country, role_class, count(job_id) AS total_ads, count(*) FILTER (ai_mentioned) AS ai_ads,
