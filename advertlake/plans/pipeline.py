@@ -6,19 +6,23 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from advertlake.functions.taxonomy import SKILLS, Taxonomy
 from advertlake.operators.clean import clean_ads
 from advertlake.operators.enrich import enrich_ads
 from advertlake.operators.quality import assert_quality, quality_checks, quality_passed
+from advertlake.operators.history import Dimension
 from advertlake.operators.quality import extraction_checks
-from advertlake.plans.warehouse import Warehouse
-from advertlake.schema import CLEAN_SCHEMA, HISTORY_KEY, HISTORY_SCHEMA
-from advertlake.session import configure, remove, scratch_path, stage
+from advertlake.plans import reports
+from advertlake.plans.warehouse import FACT_TABLE, FLAGS_TABLE, Warehouse
+from advertlake.schema import CLEAN_SCHEMA, HISTORY_KEY, HISTORY_SCHEMA, SNAPSHOT_KEY
+from advertlake.session import configure, scratch_path, scratch_scope, stage
 from advertlake.sources import layers, pages, store
+from advertlake.sources.dimensions import load_snapshots
 
+REPORT_STATES = "report_states"
 JOBS_MASTER = "processed/jobs_master"
 HISTORY_MASTER = "processed/history_master"
 
@@ -66,6 +70,8 @@ def run_pipeline(
     now: datetime | None = None,
     taxonomy: Taxonomy = SKILLS,
     source: str = "job-board",
+    dimensions: Sequence[Dimension] = (),
+    report_states: bool = False,
 ) -> RunResult:
     """Extract, clean, check, load, analyse and export the payloads landed for one ingest date.
 
@@ -75,6 +81,9 @@ def run_pipeline(
     would have read, or ``max_pages`` for no more than that. Pages that cannot be read, and runs that
     hold fewer adverts than were advertised, are checks of their own. Quality is judged before anything
     is loaded. Loading replaces by folder and by key, so a lost run can simply be repeated.
+
+    The warehouse also keeps the versions of ``dimensions``, each brought up to the run's day, and with ``report_states``
+    the partial states that reports are combined from; both read and write what the day touches.
     """
     if export and not warehouse_root:
         raise ValueError("export needs a warehouse_root")
@@ -83,10 +92,51 @@ def run_pipeline(
     ingest_date = instant.astimezone(timezone.utc).date().isoformat()
     of_run = (F.col("ingest_date") == ingest_date) & F.col("country").isin(list(countries))
 
-    scratch = scratch_path(spark, "run")
+    # the two results that outlive the run's scratch
+    lasting = {label: scratch_path(spark, label) for label in ("checks", "nulls")}
+    with scratch_scope(spark, "run"):
+        result = _loaded(
+            spark, search_path=search_path, history_path=history_path, root=root, warehouse_root=warehouse_root, instant=instant,
+            ingest_date=ingest_date, of_run=of_run, start_date=start_date, cut=cut, max_pages=max_pages, page_number=page_number,
+            fail_on_validation=fail_on_validation, whole_files=whole_files, now=now, taxonomy=taxonomy, source=source, lasting=lasting,
+            dimensions=dimensions, report_states=report_states,
+        )
+        if export and not dry_run:
+            result.exported = layers.export_all(Warehouse(spark, warehouse_root).export_frames(), f"{root}/export")
+    if export and dry_run:
+        frames = Warehouse(spark, warehouse_root).export_frames()
+        result.previews = layers.preview(frames)
+        result.exported = list(frames)
+    return result
+
+
+def _loaded(
+    spark: SparkSession,
+    *,
+    search_path: str,
+    history_path: str | None,
+    root: str,
+    warehouse_root: str | None,
+    instant: datetime,
+    ingest_date: str,
+    of_run: Column,
+    start_date: str | None,
+    cut: bool,
+    max_pages: int | None,
+    page_number: str | None,
+    fail_on_validation: bool,
+    whole_files: bool,
+    now: datetime | None,
+    taxonomy: Taxonomy,
+    source: str,
+    lasting: dict[str, str],
+    dimensions: Sequence[Dimension],
+    report_states: bool,
+) -> RunResult:
+    """The run up to its reports; what it stages belongs to the scope around it, but for the ``lasting`` tables."""
 
     def kept(df: DataFrame, label: str) -> DataFrame:
-        return stage(df, label, f"{scratch}/{label}")
+        return stage(df, label)
 
     payloads = pages.read_payloads(spark, search_path, whole_files=whole_files).filter(of_run)
     documents = kept(pages.read_documents(payloads, page_number=page_number), "documents")
@@ -109,8 +159,8 @@ def run_pipeline(
         lost = entries.filter("reason is not null")
     found = extraction_checks(audit, rejected, lost)
     checks = checks.unionByName(found)
-    # the two results that outlive the run's scratch
-    checks, nulls = stage(checks, "checks"), stage(nulls, "nulls").orderBy(F.desc("null_rate"), "column")
+    checks = stage(checks, "checks", lasting["checks"])
+    nulls = stage(nulls, "nulls", lasting["nulls"]).orderBy(F.desc("null_rate"), "column")
     if fail_on_validation:
         assert_quality(checks)
 
@@ -157,10 +207,13 @@ def run_pipeline(
         frames = warehouse.export_frames()
         written.append(warehouse_root)
         written += layers.write_analysis(flags, frames, root, ingest_date.replace("-", ""))
-        if export and dry_run:
-            result.previews = layers.preview(frames)
-            result.exported = list(frames)
-        elif export:
-            result.exported = layers.export_all(frames, f"{root}/export")
-    remove(spark, scratch)
+        for dimension in dimensions:
+            # a day before the last loaded one is built from the stored facts, others do not read them
+            load_snapshots(spark, f"{warehouse_root}/dim_{dimension.name}", clean, dimension, snapshots=warehouse.table(FACT_TABLE))
+        if report_states:
+            # the folders as the loads left them: a run may send a part of a day again
+            of_day = (F.col("ingest_date") == ingest_date) & F.col("country").isin(sorted({r["country"] for r in extraction}))
+            salaries = warehouse.table(FACT_TABLE).filter(of_day).select(*SNAPSHOT_KEY, *reports.MEASURES)
+            stored = warehouse.table(FLAGS_TABLE).filter(of_day).join(salaries, list(SNAPSHOT_KEY))
+            reports.refresh(spark, f"{warehouse_root}/{REPORT_STATES}", stage(stored, "report-rows"))
     return result

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,9 +40,28 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark)}/advertlake/{spark.conf.get('spark.app.id', 'app')}"
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch folder of the job at hand", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below one folder per application, which can be removed once the application ended."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below one folder per application, which can be removed once the application ended, or, within a
+    ``scratch_scope``, below that one's folder."""
+    return f"{_scope.get() or scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, label: str) -> Iterator[str]:
+    """Everything staged inside goes to one folder, which is removed at the end, also of a job that fails.
+
+    Frames that are read later must not rest on it: write them under a path of their own.
+    """
+    folder = scratch_path(spark, label)
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        remove(spark, folder)
 
 
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:

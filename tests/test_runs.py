@@ -11,9 +11,14 @@ from advertlake.operators import share as A
 from advertlake.operators.clean import clean_ads
 from advertlake.operators.enrich import enrich_ads
 from advertlake.operators.quality import QualityError
-from advertlake.plans.pipeline import HISTORY_MASTER, JOBS_MASTER, run_pipeline
+from advertlake.operators.history import DIMENSIONS
+from advertlake.plans import reports
+from advertlake.plans.pipeline import HISTORY_MASTER, JOBS_MASTER, REPORT_STATES, run_pipeline
+from advertlake.plans.warehouse import WEEKLY_VIEW, Warehouse
 from advertlake.schema import CLEAN_SCHEMA, FLAGS_SCHEMA, HISTORY_SCHEMA
+from advertlake.session import scratch_root
 from advertlake.sources import layers, store
+from advertlake.sources.dimensions import read_dimension, stored_schema
 from advertlake.streaming import ingest
 from checks.compare import rows_of
 from tests.adverts import INGESTED_AT, advert, page, raw_frame
@@ -81,7 +86,17 @@ def test_full_run(spark, folder):
         assert os.path.isdir(path), path
     first = sorted(map(str, master.collect()))
 
-    again = run_pipeline(spark, export=True, dry_run=True, **spec)
+    staged = set(os.listdir(f"{scratch_root(spark)}"))
+    category = next(d for d in DIMENSIONS if d.name == "category")
+    again = run_pipeline(spark, export=True, dry_run=True, dimensions=[category], report_states=True, **spec)
+    # a run leaves its two results, and here the series that its preview reads
+    left = {name.split("-")[0] for name in set(os.listdir(scratch_root(spark))) - staged}
+    assert left == {"checks", "nulls", "series"}
+    tags = read_dimension(spark, f"{folder}/dw/dim_category", stored_schema(master, category))
+    assert sorted(r.category_tag for r in tags.filter("is_current").collect()) == ["it-jobs", "music-jobs"]
+    states = reports.read_states(spark, f"{folder}/dw/{REPORT_STATES}")
+    weekly = Warehouse(spark, f"{folder}/dw").query(f"SELECT * FROM {WEEKLY_VIEW}").select("week", "country", "role_class", "total_ads", "ai_ads", "ai_share")
+    assert sorted(map(str, reports.weekly_share(states).collect())) == sorted(map(str, weekly.collect()))
     assert sorted(map(str, store.read_keyed(spark, f"{folder}/data/{JOBS_MASTER}", CLEAN_SCHEMA).collect())) == first
     shape, head = again.previews["ai_skill_counts"]
     assert tuple(shape.first()) == ("ai_skill_counts", 4, 7) and head.count() == 4
