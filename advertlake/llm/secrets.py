@@ -111,6 +111,10 @@ def _spans(text: Column, rule: Rule) -> Column:
     return F.when(F.rlike(text, pattern), found).otherwise(nothing)
 
 
+# Addresses that a task may hold to pick texts by, some 30 MB of them; with more all texts are moved, each once a task.
+BROADCAST_BLOBS = 200_000
+
+
 class BlobLedger:
     """The ledger table at ``path``.
 
@@ -132,17 +136,26 @@ class BlobLedger:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
     def unseen(self, texts: DataFrame, text: str = "text") -> DataFrame:
-        """One row per blob that lacks some rule version: ``blob, text, todo``."""
+        """One row per blob that lacks some rule version: ``blob, text, todo``.
+
+        With a ledger to ask, the addresses alone, combined in front of the shuffle, are matched with it first. Texts are
+        moved for blobs that lack something, and none if no blob does.
+        """
         addressed = texts.select(address(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-        once = keep_first(addressed, ["blob"], ["blob"])
-        done = (
-            self.table()
-            .groupBy("blob")
-            .agg(F.array_distinct(F.flatten(F.collect_list("results.rule"))).alias("done"))
-        )
         wanted = F.array(*[F.lit(r.key) for r in self.rules])
+        ledger = self.table()
+        if ledger.isEmpty():
+            return keep_first(addressed, ["blob"], ["blob"]).withColumn("todo", wanted)
+        done = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("results.rule"))).alias("done"))
+        blobs = addressed.select("blob").distinct().join(done, "blob", "left")
         todo = F.array_except(wanted, F.coalesce(F.col("done"), F.array().cast("array<string>")))
-        return once.join(done, "blob", "left").select("blob", "text", todo.alias("todo")).filter("size(todo) > 0")
+        lacking = stage(blobs.select("blob", todo.alias("todo")).filter("size(todo) > 0"), "secret-lacking")
+        n = lacking.count()
+        if n == 0:
+            return texts.sparkSession.createDataFrame([], "blob string, text string, todo array<string>")
+        if n <= BROADCAST_BLOBS:
+            return keep_first(addressed.join(F.broadcast(lacking), "blob"), ["blob"], ["blob"])
+        return keep_first(addressed, ["blob"], ["blob"]).join(lacking, "blob")
 
     def record(self, texts: DataFrame, text: str = "text") -> None:
         """Scan what is unseen in ``texts`` and append it to the ledger."""

@@ -90,7 +90,9 @@ def test_ledger_scans_unseen_pairs_only(llm, folder):
     second = first.unionByName(llm.createDataFrame([("token=zzzzzzzz",)], "text string"))
     assert [r["text"] for r in ledger.unseen(second).collect()] == ["token=zzzzzzzz"]
     ledger.record(second)
-    ledger.record(second)  # a repeated load adds nothing
+    again = ledger.unseen(second)
+    assert again.count() == 0 and "Exchange" not in again._jdf.queryExecution().executedPlan().toString()
+    ledger.record(second)  # a repeated load adds nothing, and moves no text
     assert ledger.table().count() == 3
     raised = secrets.BlobLedger(llm, f"{folder}/ledger", (*rules[1:], secrets.Rule("assign", 2, "hunter2+")))
     assert {tuple(r["todo"]) for r in raised.unseen(second).collect()} == {("assign@2",)}
