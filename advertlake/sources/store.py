@@ -186,17 +186,21 @@ def write_folders(
     retain: int = 0,
     emptied: Iterable[Folder] = (),
     about: dict[str, str] | None = None,
+    ranges: int | None = None,
 ) -> Snapshot:
     """Put ``rows`` in place of all rows of the named ``folders``, which hold all of them; ``emptied`` ones lose theirs.
 
-    ``about`` is noted with the table, in the same switch.
+    ``about`` is noted with the table, in the same switch. With ``ranges`` the rows are dealt to that many tasks by folder
+    and ``sort``, so that files of a folder hold ranges of it, which a filter can skip; otherwise by folder and size.
     """
     names = folder_columns(partitions)
     version = uuid.uuid4().hex
     written = {f: version for f in folders}
     if written:
-        out = spread_for_write(with_folders(rows, partitions), names)
-        out = out.sortWithinPartitions(*names, *[F.asc_nulls_last(c) for c in sort])
+        order = [*names, *[F.asc_nulls_last(c) for c in sort]]
+        out = with_folders(rows, partitions)
+        out = out.repartitionByRange(ranges, *order) if ranges else spread_for_write(out, names)
+        out = out.sortWithinPartitions(*order)
         out.write.partitionBy(*names).parquet(f"{path}/data/{VERSION}={version}")
     after = _publish(spark, path, before, written | {f: None for f in emptied}, about)
     _vacuum(spark, path, after, partitions, retain)
@@ -214,12 +218,15 @@ def save_replaced(
     sort: Sequence[str] = ("created_at", "job_id"),
     keep_last_of: Sequence[str] | None = None,
     retain: int = 0,
+    file_rows: int | None = None,
 ) -> int:
     """Put a batch into a stored table by key and return its number of rows; loading it twice equals loading it once.
 
     Only the folders of the batch are read and written anew, once, however large the table is. ``partitions`` must be
     part of ``key``. A key that the batch repeats is stored once, the row last in ``keep_last_of`` order, then by its
     content; a null key stops the load before anything changes. What is replaced stays readable for ``retain`` loads.
+    With ``file_rows`` the files hold ranges of ``sort`` within their folder, of about so many rows of the batch, so that a
+    filter on its first column reads a few of them.
     The batch is read twice, first its key columns alone, and should be a written table.
     """
     names = folder_columns(partitions)
@@ -241,8 +248,10 @@ def save_replaced(
     before = current(spark, path)
     old = {f: v for f, v in before.folders.items() if f in touched}
     merged = replace_by_key(read_folders(spark, path, schema, old, partitions), fresh, key=key) if old else fresh
-    write_folders(spark, path, merged, touched, before, partitions=partitions, sort=sort, retain=retain)
-    return sum(r["n"] for r in touched.values())
+    n = sum(r["n"] for r in touched.values())
+    ranges = -(-n // file_rows) if file_rows else None
+    write_folders(spark, path, merged, touched, before, partitions=partitions, sort=sort, retain=retain, ranges=ranges)
+    return n
 
 
 # Characters that Spark escapes in folder names.

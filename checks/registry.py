@@ -24,7 +24,7 @@ from advertlake.operators.windows import keep_first, top_k
 from advertlake.plans import pipeline, reports, warehouse
 from advertlake.schema import CLEAN_SCHEMA, FLAGS_SCHEMA, HISTORY_KEY, HISTORY_SCHEMA
 from advertlake.session import configure, scratch_path, stage
-from advertlake.sources import buckets, dimensions, layers, pages, store
+from advertlake.sources import buckets, dimensions, layers, pages, payloads, store
 from advertlake.streaming import ingest
 from checks import ads_view as V
 from checks import sql as S
@@ -1000,6 +1000,35 @@ def history_delta_layer(spark, sf_dir):
     return back.filter(F.col("ingest_date") == V.INGEST_DATE).drop("ingest_date")
 
 
+@query(ctes(S.RAW) + """
+SELECT country, CAST(count(DISTINCT page) + 1 AS BIGINT) AS pages, 0 AS new_again, true AS unaltered FROM raw GROUP BY 1""")
+def payload_store(spark, sf_dir):
+    # Landed files go to the store of payloads twice; the pages are read back from its bytes.
+    landing, root = landed(spark, sf_dir), scratch_path(spark, "payloads")
+    first = payloads.store_payloads(spark, landing, root)
+    again = payloads.store_payloads(spark, landing, root)
+    stored = payloads.stored_payloads(spark, root)
+    lines = stored.select("country", F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).filter("line <> ''")
+    unaltered = first > 0 and payloads.altered(stored).isEmpty()
+    counts = lines.groupBy("country").agg(F.count_if(F.get_json_object("line", "$.results").isNotNull()).alias("pages"))
+    return counts.withColumns({"new_again": F.lit(again), "unaltered": F.lit(unaltered)})
+
+
+@query(ctes(S.SNAPSHOTS) + f"""
+SELECT {columns(["job_id", "country", "ingest_date", "created_at"])}, true AS few_files FROM snapshots
+WHERE created_at >= TIMESTAMP '2026-03-02' AND created_at < TIMESTAMP '2026-03-09'""")
+def master_week(spark, sf_dir):
+    # One week of a master whose files hold ranges of the date: the rows stand in a part of the files.
+    path = scratch_path(spark, "clustered")
+    days = stage(snapshots(spark, sf_dir), "days")
+    n = store.save_replaced(spark, path, days, schema=CLEAN_SCHEMA, file_rows=max(1, days.count() // 96))
+    master = store.read_keyed(spark, path, CLEAN_SCHEMA)
+    week = master.filter("created_at >= TIMESTAMP '2026-03-02' AND created_at < TIMESTAMP '2026-03-09'")
+    read = week.select(F.input_file_name().alias("f")).distinct().count()
+    few = n > 0 and 4 * read <= len(master.inputFiles())
+    return week.select("job_id", "country", "ingest_date", "created_at").withColumn("few_files", F.lit(few))
+
+
 MASTER_SQL = ctes(S.SNAPSHOTS) + f"SELECT {CLEAN_COLUMNS} FROM snapshots"
 
 

@@ -273,3 +273,38 @@ def test_sparse_keep_first_equals_the_plain_one(spark, tied):
     assert got.columns == df.columns
     if not tied:
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+# -- payloads byte for byte
+
+
+def test_payloads_come_back_byte_for_byte(spark, folder):
+    import hashlib
+    import os
+
+    from advertlake.sources import payloads
+
+    contents = {"gb/a.json": b'{\n  "results": [\r\n  ]\n}\n', "gb/b.json": b" ", "us/c.json": b"\xff\x00no text\n", "us/d.json": b'{\n  "results": [\r\n  ]\n}\n'}
+    for name, raw in contents.items():
+        country, file = name.split("/")
+        os.makedirs(f"{folder}/landing/ingest_date=2026-09-03/country={country}", exist_ok=True)
+        with open(f"{folder}/landing/ingest_date=2026-09-03/country={country}/{file}", "wb") as handle:
+            handle.write(raw)
+    assert payloads.store_payloads(spark, f"{folder}/landing", f"{folder}/store") == 3  # two files are equal
+    assert payloads.store_payloads(spark, f"{folder}/landing", f"{folder}/store") == 0
+    stored = payloads.stored_payloads(spark, f"{folder}/store")
+    got = {f"{r.country}/{r.path.split('/')[-1]}": (bytes(r.content), r.sha256) for r in stored.collect()}
+    assert got == {name: (raw, hashlib.sha256(raw).hexdigest()) for name, raw in contents.items()}
+    assert payloads.altered(stored).count() == 0
+    assert payloads.altered(stored.withColumn("content", F.lit("x").cast("binary"))).count() == 4
+
+
+def test_files_hold_ranges_of_the_date(spark, folder):
+    days = spark.range(4000).selectExpr(
+        "cast(id as string) AS job_id", "'gb' AS country", "'d1' AS ingest_date", "timestampadd(HOUR, cast(id * 7919 % 4000 as int), timestamp'2026-01-01') AS created_at"
+    )
+    store.save_replaced(spark, folder, enforce_schema(days, CLEAN_SCHEMA), schema=CLEAN_SCHEMA, file_rows=200)
+    master = store.read_keyed(spark, folder, CLEAN_SCHEMA)
+    assert len(master.inputFiles()) >= 15
+    week = master.filter("created_at >= timestamp'2026-02-02' AND created_at < timestamp'2026-02-09'")
+    assert week.count() == 168 and week.select(F.input_file_name()).distinct().count() <= 3
