@@ -172,22 +172,22 @@ def _round(spark: SparkSession, pieces: DataFrame, slots: DataFrame, rows: int,
     return free.join(gaps, ["k", "at"], "left").select("id", "size", F.coalesce("seq", "taker").alias("seq"))
 
 
-def _opening(free: dict[int, int], top: int, size: int) -> tuple[int, float]:
-    """Which of the free pieces open sequences, all being counted by length: those above a length and a share of it.
+FEW = 1024  # pieces of a length that open sequences and are named one by one; of more a share is drawn
+
+
+def _opening(free: dict[int, int], top: int, size: int) -> tuple[int, int]:
+    """Which of the free pieces open sequences, all being counted by length: those above a length, and a number of it.
 
     Pieces longer than ``top``, the widest gap, can only open sequences: the longest of them, as many as they need at
-    least. (0, 0.0) stands for none.
+    least. (size, 0) stands for none.
     """
     lone = {length: n for length, n in free.items() if length > top}
-    if not lone:
-        return size, 0.0
     need = max(sum(n for x, n in lone.items() if 2 * x > size), -(-sum(x * n for x, n in lone.items()) // size))
     for length in sorted(lone, reverse=True):
         if lone[length] >= need:
-            # few pieces of one length: all, so that a share never means none
-            return length, 1.0 if lone[length] < 64 else need / lone[length]
+            return length, need
         need -= lone[length]
-    return 0, 0.0
+    return size, 0
 
 
 def pack_pieces(pieces: DataFrame, *, size: int = SIZE) -> DataFrame:
@@ -209,14 +209,23 @@ def pack_pieces(pieces: DataFrame, *, size: int = SIZE) -> DataFrame:
             step += 1
             path = f"{root}/step={step}"
             free = {x: n for x, n in counted.items() if x > over}
-            edge, share = _opening(free, max(widths, default=0), size)
-            drawn = F.pmod(F.xxhash64("id", F.lit(step)), F.lit(1 << 20)) < int(share * (1 << 20))
+            edge, some = _opening(free, max(widths, default=0), size)
+            draw = F.pmod(F.xxhash64("id", F.lit(step)), F.lit(1 << 20))
+            if some == free.get(edge, 0):
+                drawn = F.lit(True)
+            elif some <= FEW:
+                named = wait.filter(F.col("size") == edge).orderBy(draw, "id").limit(some).select("id").collect()
+                drawn = F.col("id").isin([r["id"] for r in named])
+            else:
+                # by hashes, and rather too few of them: the next round opens the rest
+                drawn = draw < int((some - 2 * some**0.5) / free[edge] * (1 << 20))
             opens = (F.col("size") > edge) | ((F.col("size") == edge) & drawn)
             opened = wait.filter(band & opens).select("id", "size", F.col("id").alias("seq"))
             new = opened.select("seq", (F.lit(size) - F.col("size")).alias("gap"))
             gaps = gaps.unionByName(new)
             rest = wait.filter(band & ~opens)
-            left = sum(n for x, n in free.items() if x < edge or (x == edge and share < 1))
+            # as many as there are, or a few less where a share is drawn
+            left = sum(n for x, n in free.items() if x < edge) + free.get(edge, 0) - some
             found = opened
             if left:
                 top, least = max(x for x in free if x <= edge), min(free)
