@@ -49,8 +49,8 @@ def gram_lengths(span: int) -> list[int]:
     return sorted({max(1, round(span * s)) for s in GRAM_SHARES})
 
 
-def text_keys(block: Block) -> np.ndarray:
-    return span_hash(prefix_hash(block.data), block.offsets[:-1], block.offsets[1:])
+def text_keys(block: Block, prefix: np.ndarray) -> np.ndarray:
+    return span_hash(prefix, block.offsets[:-1], block.offsets[1:])
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -64,14 +64,14 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(block: Block, span: int, gram: int) -> tuple[np.ndarray, ...]:
+def anchors(block: Block, span: int, gram: int, prefix: np.ndarray) -> tuple[np.ndarray, ...]:
     """Per piece of the block: row, anchor, and where its strings first and last begin, from the start of the text."""
     none = np.zeros(0, np.int64)
     n = len(block.data)
     if n < span:
         return none, none, none, none
     starts = np.arange(n - gram + 1)
-    hashes = span_hash(prefix_hash(block.data), starts, starts + gram)
+    hashes = span_hash(prefix, starts, starts + gram)
     keyed = (hashes >> U64(PLACE_BITS) << U64(PLACE_BITS)) | starts.astype(np.uint64)
     least = (sliding_least(keyed, span - gram + 1) & U64((1 << PLACE_BITS) - 1)).astype(np.int64)
     inside = np.zeros(len(least) + 1, np.int32)
@@ -119,7 +119,8 @@ class RunIndex:
         most = np.minimum(self.left[a], self.left[b])
         able = most >= least
         a, b, most = a[able], b[able], most[able]
-        prefix = prefix_hash(self.data)
+        # equal bytes have equal hashes, so a search by them ends no earlier than the match
+        prefix = prefix_hash(self.data)[:1]
         same = span_hash(prefix, a, a + least) == span_hash(prefix, b, b + least)
         a, b, most = a[same], b[same], most[same]
         low, high = np.full(len(a), least), most
@@ -128,8 +129,11 @@ class RunIndex:
             equal = span_hash(prefix, a, a + middle) == span_hash(prefix, b, b + middle)
             low, high = np.where(equal, middle, low), np.where(equal, high, middle - 1)
         # what is taken away rests on bytes, not on hashes
-        true = [self.data[i : i + n].tobytes() == self.data[j : j + n].tobytes() for i, j, n in zip(a.tolist(), b.tolist(), low.tolist())]
-        a, b, low = a[true], b[true], low[true]
+        for k, (i, j, n) in enumerate(zip(a.tolist(), b.tolist(), low.tolist())):
+            one, two = self.data[i : i + n], self.data[j : j + n]
+            if not np.array_equal(one, two):
+                low[k] = np.flatnonzero(one != two)[0]
+        a, b, low = a[low >= least], b[low >= least], low[low >= least]
         return np.concatenate((a, b)), np.concatenate((low, low))
 
     def covered(self, least: int) -> list[tuple[int, int, int]]:
@@ -175,31 +179,6 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
     return order
 
 
-ANCHOR_SCHEMA = "k bigint, g bigint, a bigint, b bigint"
-
-
-def anchor_table(documents: DataFrame, span: int, gram: int) -> DataFrame:
-    """Anchors of all texts, each different text once per task: ``k`` (of the text), ``g``, ``a``, ``b``."""
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for block in text_blocks(batch.column("text")):
-                keys = text_keys(block).view(np.int64)
-                fresh = np.zeros(block.rows, bool)
-                for i in np.flatnonzero(np.diff(block.offsets) >= span).tolist():
-                    if int(keys[i]) not in seen:
-                        seen.add(int(keys[i]))
-                        fresh[i] = True
-                row, g, a, b = anchors(block, span, gram)
-                take = fresh[row] if len(row) else np.zeros(0, bool)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[take]) for x in (keys[row] if len(row) else row, g, a, b)], names=["k", "g", "a", "b"]
-                )
-
-    return documents.select("text").mapInArrow(found, ANCHOR_SCHEMA)
-
-
 def run_hashes(word_hashes: np.ndarray, words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``size`` words and the number of the word each begins with; runs stay within a text."""
     n = len(word_hashes)
@@ -209,10 +188,10 @@ def run_hashes(word_hashes: np.ndarray, words: Words, size: int) -> tuple[np.nda
     return span_hash(prefix_digits(word_hashes), at, at + size), at
 
 
-def winnowed(block: Block) -> tuple[np.ndarray, np.ndarray]:
+def winnowed(block: Block, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of the runs of words that count: the least of every ``WINNOW_WORDS`` next to each other."""
     words = words_of(block)
-    hashes = span_hash(prefix_hash(block.data), words.starts, words.ends)
+    hashes = span_hash(prefix, words.starts, words.ends)
     runs, at = run_hashes(hashes, words, WINNOW_WORDS)
     if not len(runs):
         return at, runs
@@ -226,24 +205,37 @@ def winnowed(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return row[whole][first], least[first]
 
 
-def passage_table(documents: DataFrame) -> DataFrame:
-    """``k, g``: the hashes that count of every text of ``PASSAGE_WORDS`` words, each different text once per task."""
+ANCHOR_SCHEMA = "k bigint, g bigint, a bigint, b bigint"
+
+
+def anchor_table(documents: DataFrame, span: int, gram: int) -> DataFrame:
+    """``k`` (of the text), ``g``, ``a``, ``b`` of the anchors of all texts; and, without ``a`` and ``b``, ``k, g`` of the
+    hashes of runs of words that count. Each different text is looked at once per task."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for block in text_blocks(batch.column("text")):
-                keys = text_keys(block).view(np.int64)
-                row, g = winnowed(block)
+                prefix = prefix_hash(block.data)
+                keys = text_keys(block, prefix).view(np.int64)
+                row, g, a, b = anchors(block, span, gram, prefix)
+                row_w, g_w = winnowed(block, prefix)
                 fresh = np.zeros(block.rows, bool)
-                for i in np.unique(row).tolist():
+                for i in np.unique(np.concatenate((row, row_w))).tolist():
                     if int(keys[i]) not in seen:
                         seen.add(int(keys[i]))
                         fresh[i] = True
-                take = fresh[row]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[row[take]]), pa.array(g[take].view(np.int64))], names=["k", "g"])
+                take, take_w = fresh[row], fresh[row_w]
+                n, m = int(take.sum()), int(take_w.sum())
+                columns = [
+                    pa.array(np.concatenate((keys[row[take]], keys[row_w[take_w]]))),
+                    pa.array(np.concatenate((g[take].view(np.int64), g_w[take_w].view(np.int64)))),
+                    pa.concat_arrays([pa.array(a[take], pa.int64()), pa.nulls(m, pa.int64())]),
+                    pa.concat_arrays([pa.array(b[take], pa.int64()), pa.nulls(m, pa.int64())]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["k", "g", "a", "b"])
 
-    return documents.select("text").mapInArrow(found, "k bigint, g bigint")
+    return documents.select("text").mapInArrow(found, ANCHOR_SCHEMA)
 
 
 def passage_runs(candidates: DataFrame) -> DataFrame:
@@ -278,7 +270,7 @@ def identity(text: Column) -> Column:
     def identify(texts: pa.Array) -> pa.Array:
         columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
         for block in text_blocks(texts):
-            found = (text_keys(block).view(np.int64), np.diff(block.offsets), words_of(block).per_row.astype(np.int64))
+            found = (text_keys(block, prefix_hash(block.data)).view(np.int64), np.diff(block.offsets), words_of(block).per_row.astype(np.int64))
             for column, part in zip(columns, found):
                 column.append(part)
         return pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["k", "n", "w"])
@@ -329,7 +321,7 @@ def finer_pieces(pieces: DataFrame, span: int, gram: int) -> DataFrame:
                 part = raws[i : i + 256]
                 offsets = np.concatenate(([0], np.cumsum([len(p) for p in part])))
                 block = Block(i, np.frombuffer(b"".join(part), np.uint8), offsets)
-                for row, g, a, b in zip(*[x.tolist() for x in anchors(block, span, gram)]):
+                for row, g, a, b in zip(*[x.tolist() for x in anchors(block, span, gram, prefix_hash(block.data))]):
                     piece = part[row][a : b + span]
                     rows.append((g, _bytes_hash(piece), ks[i + row], ats[i + row] + a, piece))
                 yield _piece_batch(rows)
@@ -376,13 +368,14 @@ def repeated_marks(
     ``texts`` has one row ``k, text`` per different text of at least ``span`` bytes or ``PASSAGE_WORDS`` words.
     """
     grams = gram_lengths(span)
-    table = anchor_table(documents, span, grams[0])
+    # written, as it is read twice
+    both = stage(anchor_table(documents, span, grams[0]), "repeat-anchors")
+    table, counted = both.filter("a IS NOT NULL"), both.filter("a IS NULL").select("k", "g")
     place = F.xxhash64("k", "a")
     twice = table.groupBy("g").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low <> high").select("g")
     twice = stage(twice, "repeat-grams")  # so that the join has shuffles of its own, whose large parts can be split
     # anchors of one text, each task's copy of it being equal
-    listed = table.join(twice, "g").groupBy("k").agg(F.array_distinct(F.collect_list(F.struct("g", "a", "b"))).alias("found"))
-    counted = passage_table(documents)
+    listed = table.join(twice, "g").distinct().groupBy("k").agg(F.collect_list(F.struct("g", "a", "b")).alias("found"))
     common = counted.groupBy("g").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low <> high").select("g")
     common = stage(common, "passage-grams")
     passages = counted.join(common, "g").groupBy("k").agg(F.collect_set("g").alias("passages"))
