@@ -153,3 +153,9 @@ def _float_text(value: Column) -> Column:
         .when((magnitude >= 1e-4) & (magnitude < 1e16), plain)
         .otherwise(scientific)
     )
+
+
+def bit_is_set(bitmap: Column, bit: Column) -> Column:
+    """Whether a bitmap, as ``bitmap_construct_agg`` makes it, has the bit at a ``bitmap_bit_position``; not if it is null."""
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.call_function("shiftright", byte, (bit % 8).cast("int")) % 2 == 1, F.lit(False))

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Runtime settings every job relies on. Weeks and ingest dates are UTC days, so the session
 # zone is part of the result; the rest lets adaptive execution coalesce, split and re-plan.
@@ -69,10 +70,13 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
 
     Used where a result feeds several jobs: it is computed once, survives the loss of executors
     and cuts the lineage. Its real size is known afterwards, so that adaptive execution can tell a
-    side to broadcast from one to shuffle.
+    side to broadcast from one to shuffle. Tables with text are packed closer.
     """
     path = path or scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write
+    if any(isinstance(f.dataType, T.StringType) for f in df.schema):
+        writer = writer.option("compression", "zstd")
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -94,6 +98,12 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
 
 
+def size_of(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below a folder."""
+    where, files = _at(spark, folder)
+    return files.getContentSummary(where).getLength()
+
+
 def read_note(spark: SparkSession, path: str) -> str:
     """A small text file, read by the driver."""
     where, files = _at(spark, path)

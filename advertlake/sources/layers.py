@@ -31,6 +31,15 @@ WRITTEN_EMPTY = {"emptyValue": '""'}
 EMPTY = "\u0001empty\u0001"
 
 
+# A batch of few folders with many rows each is written as its tasks hold it.
+DEALT_FOLDERS, DEALT_ROWS = 8, 50_000
+
+
+def is_dealt(rows: int, folders: int) -> bool:
+    """Whether tasks can write their rows as they hold them, without small files for many folders."""
+    return folders <= DEALT_FOLDERS and rows >= DEALT_ROWS * folders
+
+
 def spread_for_write(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Bring rows of a folder together, but split folders that are large.
 
@@ -41,15 +50,19 @@ def spread_for_write(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
 
 
 def write_partitions(
-    df: DataFrame, path: str, *, partitions: Sequence[str] = PARTITIONS, sort: Sequence[str] = ()
+    df: DataFrame, path: str, *, partitions: Sequence[str] = PARTITIONS, sort: Sequence[str] = (), dealt: bool = False
 ) -> None:
-    """Replace exactly the folders present in ``df``; the output committer publishes them at the end."""
-    out = spread_for_write(df, partitions)
+    """Replace exactly the folders present in ``df``; the output committer publishes them at the end.
+
+    Rows that are ``dealt`` already are written by the tasks that hold them.
+    """
+    out = df if dealt else spread_for_write(df, partitions)
     if sort:
         out = out.sortWithinPartitions(*partitions, *[F.asc_nulls_last(c) for c in sort])
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(*partitions)
         .parquet(path)
     )
@@ -60,8 +73,10 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def write_payloads(payloads: DataFrame, path: str, *, partitions: Sequence[str] = PARTITIONS) -> None:
-    """Payloads one per line under their run's folder, so that they split over tasks when read again.
+def write_payloads(
+    payloads: DataFrame, path: str, *, partitions: Sequence[str] = PARTITIONS, compression: str = "none"
+) -> None:
+    """Payloads one per line under their run's folder, so that they split over tasks when read again; packed files by file.
 
     A text without line breaks is written as it is. In an indented document the breaks stand between
     its parts, for JSON has none inside a string, and become blanks: the document stays the same.
@@ -70,18 +85,19 @@ def write_payloads(payloads: DataFrame, path: str, *, partitions: Sequence[str]
         payloads.select(F.translate("value", "\r\n", "  ").alias("value"), *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
         .partitionBy(*partitions)
         .text(path)
     )
 
 
-def write_raw_rows(ads: DataFrame, path: str) -> None:
-    write_partitions(flatten_nested_to_json(ads), path)
+def write_raw_rows(ads: DataFrame, path: str, *, dealt: bool = False) -> None:
+    write_partitions(flatten_nested_to_json(ads), path, dealt=dealt)
 
 
-def write_clean_delta(clean: DataFrame, root: str) -> None:
+def write_clean_delta(clean: DataFrame, root: str, *, dealt: bool = False) -> None:
     """The clean rows of a run; a rerun replaces the run's folders whole."""
-    write_partitions(clean, f"{root}/{CLEAN_JOBS}", sort=("created_at", "job_id"))
+    write_partitions(clean, f"{root}/{CLEAN_JOBS}", sort=("created_at", "job_id"), dealt=dealt)
 
 
 def read_clean_delta(spark: SparkSession, root: str, country: str | None = None) -> DataFrame:
@@ -104,14 +120,17 @@ def write_layers(
     history_payloads: DataFrame | None = None,
     history: DataFrame | None = None,
 ) -> list[str]:
-    """Raw and clean layers of one run; returns the folders written."""
-    write_payloads(payloads, f"{root}/{RAW_SEARCH}")
-    write_raw_rows(ads, f"{root}/{RAW_SEARCH_FLAT}")
-    write_clean_delta(clean, root)
+    """Raw and clean layers of one run; returns the folders written. Raw payloads are packed with gzip."""
+    # folders, not rows; the raw rows are some more
+    sizes = [r["count"] for r in clean.groupBy(*PARTITIONS).count().collect()]
+    dealt = is_dealt(sum(sizes), len(sizes))
+    write_payloads(payloads, f"{root}/{RAW_SEARCH}", compression="gzip")
+    write_raw_rows(ads, f"{root}/{RAW_SEARCH_FLAT}", dealt=dealt)
+    write_clean_delta(clean, root, dealt=dealt)
     written = [RAW_SEARCH, RAW_SEARCH_FLAT, CLEAN_JOBS]
     if history is not None:
         if history_payloads is not None:
-            write_payloads(history_payloads, f"{root}/{RAW_HISTORY}")
+            write_payloads(history_payloads, f"{root}/{RAW_HISTORY}", compression="gzip")
             written.append(RAW_HISTORY)
         dated = history.withColumn("ingest_date", F.lit(ingest_date))
         write_partitions(dated, f"{root}/{RAW_HISTORY_FLAT}")
@@ -123,13 +142,15 @@ def write_layers(
 # -- text files --------------------------------------------------------------------------------
 
 
-def write_csv(df: DataFrame, path: str, *, one_file: bool = False, mode: str = "overwrite") -> None:
+def write_csv(
+    df: DataFrame, path: str, *, one_file: bool = False, mode: str = "overwrite", compression: str = "none"
+) -> None:
     """CSV with a header; ``one_file`` is for aggregated views only.
 
     The view is brought into one task when it is made; making it stays spread.
     """
     out = df.repartition(1) if one_file else df
-    out.write.mode(mode).options(**CSV_OPTIONS, **WRITTEN_EMPTY).csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS, **WRITTEN_EMPTY, compression=compression).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = CLEAN_SCHEMA) -> DataFrame:
@@ -173,9 +194,9 @@ def preview(frames: Mapping[str, DataFrame], n: int = 10) -> dict[str, tuple[Dat
 
 
 def write_analysis(flags: DataFrame, frames: Mapping[str, DataFrame], root: str, stamp: str) -> list[str]:
-    """Flags of the run under a date stamp and one file per view."""
+    """Flags of the run under a date stamp, packed with gzip, and one file per view."""
     written = [f"{root}/{ANALYSIS}/ai_job_flags_{stamp}"]
-    write_csv(flags, written[0])
+    write_csv(flags, written[0], compression="gzip")
     for name, frame in frames.items():
         path = f"{root}/{ANALYSIS}/{name}"
         write_csv(frame, path, one_file=True)

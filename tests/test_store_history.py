@@ -282,3 +282,35 @@ def test_fixed_values_are_as_they_were():
 
     text = json.dumps([{g: list(t) for g, t in taxonomy.SKILLS.groups.items()}, scalars.CURRENCY_BY_COUNTRY], sort_keys=True)
     assert hashlib.sha256(text.encode()).hexdigest() == "50c4dcf5580c027af4ad0f4095e7aa67c04441e52fcc2ec737cb3a2682ba4c09"
+
+
+def test_a_load_leaves_versions_without_its_keys_alone(spark, folder, monkeypatch):
+    path = f"{folder}/master"
+    monkeypatch.setattr(store, "APART", 0)
+    put = lambda *values: store.save_replaced(spark, path, rows(spark, *values), schema=CLEAN_SCHEMA)
+    put(("1", "a/b=c d%", "2026-09-01", "a"), ("2", "", "2026-09-01", "b"))
+    first = files(path)
+    put(("3", "a/b=c d%", "2026-09-01", "c"), ("4", "", "2026-09-01", "d"))
+    assert first < files(path)
+    both = files(path)
+    put(("3", "a/b=c d%", "2026-09-01", "C"))
+    assert first < files(path) and len(both - files(path)) == 1
+    assert titles(stored(spark, path)) == sorted([
+        ("1", "a/b=c d%", "2026-09-01", "a"), ("2", "", "2026-09-01", "b"), ("3", "a/b=c d%", "2026-09-01", "C"), ("4", "", "2026-09-01", "d"),
+    ])
+    for _ in range(store.FOLD):  # the files that name all folders name all versions of each
+        put(("4", "", "2026-09-01", "D"))
+    assert len(titles(stored(spark, path))) == 4 and len(files(path)) == 4
+
+
+def test_loads_move_no_texts(spark, folder, monkeypatch):
+    # a large batch that repeats keys, and replaces others, is written as its tasks hold it
+    path = f"{folder}/master"
+    monkeypatch.setattr("advertlake.sources.layers.DEALT_ROWS", 1)
+    moved = []
+    monkeypatch.setattr(store, "spread_for_write", lambda df, names: moved.append(df) or df)
+    batch = [(str(k), "gb", "d1", f"t{k}") for k in range(40)]
+    store.save_replaced(spark, path, rows(spark, *batch), schema=CLEAN_SCHEMA)
+    again = [(str(k), "gb", "d1", t) for k in range(20, 60) for t in ("A", "B")]
+    store.save_replaced(spark, path, rows(spark, *again), schema=CLEAN_SCHEMA, keep_last_of=("title",))
+    assert titles(stored(spark, path)) == sorted([*batch[:20], *[r for r in again if r[3] == "B"]]) and not moved
