@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from advertlake.functions.scalars import bit_is_set
 from advertlake.operators.windows import keep_first
 from advertlake.schema import CLEAN_SCHEMA, PARTITIONS, SNAPSHOT_KEY
 from advertlake.session import names_in, remove, scratch_path, stage
-from advertlake.sources.layers import spread_for_write
-from advertlake.sources.store import BLANK_FOLDER, NULL_FOLDER, save_replaced
+from advertlake.sources.layers import is_dealt, spread_for_write
+from advertlake.sources.store import BLANK_FOLDER, NULL_FOLDER, by_marks, first_marks, key_marks, save_replaced
 
 
 def read_deltas(
@@ -188,11 +189,6 @@ def _bits(keys: DataFrame, key: Sequence[str], within: Sequence[str], bits: int,
     return spread.select(*columns, F.bitmap_bucket_number("_place").alias("_bucket"), F.bitmap_bit_position("_place").alias("_bit"))
 
 
-def _is_set(bitmap: Column, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.call_function("shiftright", byte, (bit % 8).cast("int")) % 2 == 1, F.lit(False))
-
-
 class FirstArrivals:
     """An append-only table that keeps the first arrival of every key, however late another one comes.
 
@@ -259,17 +255,20 @@ class FirstArrivals:
         Of rows that share a key and ``first_by`` the one with the least content stays. Null keys count as equal.
         """
         spark, scratch = self.spark, scratch_path(self.spark, "first-arrivals")
-        order = [F.asc(c) for c in self.first_by] + [F.xxhash64(*self.schema.names)]
-        fresh = stage(keep_first(batch.select(*self.schema.names), self.key, order), "fresh", f"{scratch}/fresh")
+        written = stage(batch.select(*self.schema.names), "batch", f"{scratch}/batch")
+        kept, keys = [], written.select(*self.key, *self.folders)
+        if not written.groupBy(*self.key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+            first = first_marks(written, self.key, self.first_by, [F.asc(c) for c in self.first_by])
+            kept.append((stage(first, "first", f"{scratch}/first"), "left_semi"))
+            keys = by_marks(written, *kept).select(*self.key, *self.folders)
         replayed = (_layers(spark, f"{self.path}/filters")[0] or -1) >= number
-        bits = _bits(fresh, self.key, self.folders, self.bits, self.hashes)
+        bits = _bits(keys, self.key, self.folders, self.bits, self.hashes)
         known = self._filters(number).withColumnsRenamed({c: f"_w_{c}" for c in self.folders})
         same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in self.folders]
         met = bits.join(known.withColumnRenamed("_bucket", "_b"), [*same, F.col("_bucket") == F.col("_b")], "left")
-        hit = F.when(F.col("_map").isNotNull(), _is_set(F.col("_map"), F.col("_bit"))).otherwise(replayed)
+        hit = F.when(F.col("_map").isNotNull(), bit_is_set(F.col("_map"), F.col("_bit"))).otherwise(replayed)
         maybe = met.groupBy(*self.key).agg(F.min(hit).alias("_all")).filter("_all").drop("_all")
         maybe = stage(maybe, "maybe", f"{scratch}/maybe")
-        new = fresh
         if not maybe.isEmpty():
             # folders, not rows: as many as the batch has days and countries
             touched = maybe.select(*self.folders).distinct().collect()
@@ -280,12 +279,16 @@ class FirstArrivals:
             asked = maybe.select(*listed)
             equal = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(self.key)]
             there = stored.select(*self.key).join(asked, equal, "left_semi").select(*listed).distinct()
-            new = fresh.join(there, equal, "left_anti")
+            kept.append((stage(key_marks(written, there, equal), "there", f"{scratch}/there"), "left_anti"))
+        new = by_marks(written, *kept) if kept else written
         text = [F.coalesce(F.when(F.col(c).cast("string") == "", BLANK_FOLDER).otherwise(F.col(c).cast("string")), F.lit(NULL_FOLDER)) for c in self.folders]
         out = new.withColumns(dict(zip(self._names(), text)))
-        spread_for_write(out, self._names()).write.mode("overwrite").partitionBy(*self._names()).parquet(f"{self.path}/rows/batch={number}")
-        written = self.spark.read.schema(self.schema).parquet(f"{self.path}/rows/batch={number}") if not new.isEmpty() else new
-        self._new_filters(written).write.mode("overwrite").parquet(f"{self.path}/filters/batch={number}")
+        # folders, not rows
+        sizes = [r["n"] for r in written.groupBy(*self.folders).agg(F.count(F.lit(1)).alias("n")).collect()]
+        out = out if is_dealt(sum(sizes), len(sizes)) else spread_for_write(out, self._names())
+        out.write.mode("overwrite").option("compression", "zstd").partitionBy(*self._names()).parquet(f"{self.path}/rows/batch={number}")
+        added = self.spark.read.schema(self.schema).parquet(f"{self.path}/rows/batch={number}") if not new.isEmpty() else new
+        self._new_filters(added).write.mode("overwrite").parquet(f"{self.path}/filters/batch={number}")
         if len(_layers(spark, f"{self.path}/filters")[1]) >= self.fold:
             _fold(spark, f"{self.path}/filters", self._filters(number + 1), number)
         remove(spark, scratch)
