@@ -75,7 +75,7 @@ def run_pipeline(
 ) -> RunResult:
     """Extract, clean, check, load, analyse and export the payloads landed for one ingest date.
 
-    The batch is parsed once and cleaned once: both results are written to the shared scratch
+    The batch is parsed once and cleaned once: pages and clean rows are written to the shared scratch
     folder, which is freed at the end, and quality checks, layers and analysis read those tables.
     Everything landed is loaded, each page once, unless ``cut`` asks for what a sequential reader
     would have read, or ``max_pages`` for no more than that. Pages that cannot be read, and runs that
@@ -144,7 +144,7 @@ def _loaded(
     cut = cut or max_pages is not None
     totals = pages.page_totals(parsed)
     read = pages.cut_pages(parsed, max_pages=max_pages, totals=totals) if cut else pages.one_per_page(parsed)
-    ads = kept(pages.explode_ads(read), "ads")
+    ads = pages.explode_ads(read)
     audit = kept(pages.page_audit(parsed, max_pages=max_pages, totals=totals, cut=cut), "audit")
     extraction = audit.orderBy("country").collect()
 

@@ -145,10 +145,10 @@ def salary_complete_rows(spark, sf_dir):
 # -- sources -----------------------------------------------------------------------------------
 
 
-def landed(spark: SparkSession, sf_dir: str) -> str:
+def landed(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
     """Write the page payloads as a landing folder, one page per line, and return its path."""
     path = scratch_path(spark, "landing")
-    layers.write_payloads(V.landed_pages(spark, sf_dir), path)
+    layers.write_payloads(V.landed_pages(spark, sf_dir), path, compression=compression)
     return path
 
 
@@ -1246,7 +1246,7 @@ def full_run(spark, sf_dir):
     root = scratch_path(spark, "run")
     pipeline.run_pipeline(
         spark,
-        search_path=landed(spark, sf_dir),
+        search_path=landed(spark, sf_dir, "snappy"),
         root=root,
         ingested_at=datetime(2026, 9, 3, 12, tzinfo=timezone.utc),
         warehouse_root=f"{root}/warehouse",
