@@ -23,24 +23,36 @@ def prepared_dictionary(terms: DataFrame, term: str = "term") -> DataFrame:
     return stage(known.withColumn("words", F.regexp_count("term", F.lit(f"{WORD}+"))), "dictionary")
 
 
-def word_grams(texts: DataFrame, text: Column, lengths: Sequence[int], key: Sequence[str]) -> DataFrame:
+def word_grams(
+    texts: DataFrame, text: Column, lengths: Sequence[int], key: Sequence[str], starts: DataFrame | None = None
+) -> DataFrame:
     """``key, at, words, term``: every run of words with one of the ``lengths``, as it stands in the text.
 
     ``at`` is the place of its first word. Between words a run holds whatever the text has there, so it equals a term
-    only if the separators do.
+    only if the separators do. With ``starts``, only runs whose first word is listed there as ``start``.
     """
     tokens = F.regexp_extract_all(text, F.lit(f"{WORD}+{NOT_WORD}*"), F.lit(0))
-    cut = texts.select(*key, tokens.alias("_tokens")).withColumn("_n", F.size("_tokens")).filter("_n > 0")
+    words = F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0))
+    cut = texts.select(*key, tokens.alias("_tokens"), words.alias("_words"))
+    n, most = F.size("_words"), F.lit(max(lengths))
+    # Places are made before they become rows, which would each carry the whole text otherwise. The outer forms, because
+    # a plain one is preceded by a filter that makes them again.
+    places = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda at: F.struct(
+            at.alias("at"), F.get("_words", at).alias("_first"),
+            F.slice("_tokens", at + 1, most).alias("_to"), F.slice("_words", at + 1, most).alias("_of"),
+        ),
+    )
+    placed = cut.select(*key, F.inline_outer(F.when(n > 0, places))).filter("_first is not null")
+    if starts is not None:
+        placed = placed.join(starts.select(F.col("start").alias("_first")), "_first", "left_semi")
+    # what the text has up to the last word, and that; null beyond the end of the text
     runs = [
-        F.struct(
-            F.lit(m).alias("words"),
-            F.regexp_replace(F.array_join(F.slice("_tokens", F.col("at") + 1, F.lit(m)), ""), f"{NOT_WORD}+$", "").alias("term"),
-            (F.col("at") + m <= F.col("_n")).alias("whole"),
-        )
+        F.struct(F.lit(m).alias("words"), F.concat(F.array_join(F.slice("_to", 1, m - 1), ""), F.get("_of", F.lit(m - 1))).alias("term"))
         for m in lengths
     ]
-    placed = cut.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    return placed.select(*key, "at", F.inline(F.array(*runs))).filter("whole").drop("whole")
+    return placed.select(*key, "at", F.inline_outer(F.array(*runs))).filter("term is not null")
 
 
 def dictionary_hits(texts: DataFrame, dictionary: DataFrame, *, key: Sequence[str], text: Column) -> DataFrame:
@@ -53,7 +65,8 @@ def dictionary_hits(texts: DataFrame, dictionary: DataFrame, *, key: Sequence[st
     lengths = sorted(r["words"] for r in dictionary.select("words").distinct().collect())
     if not lengths:
         return texts.select(*key, F.lit(0).alias("at"), F.lit("").alias("term")).limit(0)
-    grams = word_grams(texts, text, lengths, key)
+    starts = dictionary.select(F.regexp_extract("term", f"^{WORD}+", 0).alias("start")).distinct()
+    grams = word_grams(texts, text, lengths, key, starts)
     found = grams.join(dictionary.select("term"), "term")
     longest = found.groupBy(*key, "at").agg(F.max(F.struct("words", "term")).alias("hit"))
     # hits that could overlap stand in one chain; a hit that begins behind all ends before it opens a new one

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from advertlake.functions import text as X
 from advertlake.functions.taxonomy import SKILLS
-from advertlake.operators.dictionary import dictionary_hits, prepared_dictionary
+from advertlake.operators.dictionary import dictionary_hits, prepared_dictionary, word_grams
 from advertlake.sources import buckets
 
 
@@ -55,3 +55,13 @@ def test_bucketed_tables_are_joined_without_a_shuffle(spark, folder):
     assert buckets.shuffles_below_join(plain) > 0
     with pytest.raises(ValueError, match="another layout"):
         buckets.save_buckets(days[0], f"{folder}/left", buckets=8)
+
+
+def test_runs_begin_with_a_listed_word_and_keep_their_separators(spark):
+    texts = spark.createDataFrame([(1, "deep-learning, deep learning deep"), (2, ""), (3, None), (4, "?!")], "k int, t string")
+    starts = spark.createDataFrame([("deep",)], "start string")
+    got = word_grams(texts, F.col("t"), [1, 2], ["k"], starts).collect()
+    assert sorted(map(tuple, got)) == [
+        (1, 0, 1, "deep"), (1, 0, 2, "deep-learning"), (1, 2, 1, "deep"), (1, 2, 2, "deep learning"), (1, 4, 1, "deep"),
+    ]
+    assert word_grams(texts, F.col("t"), [1, 2], ["k"]).count() == 9
