@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,26 +117,40 @@ def _fold(spark: SparkSession, path: str, rows: DataFrame, number: int) -> None:
             remove(spark, f"{path}/{name}")
 
 
+@contextmanager
+def _state_tasks(spark: SparkSession, most: int | None) -> Iterator[None]:
+    """A stream started inside deals its state to a task per core, or to ``most``, and never to more than the session says.
+
+    A stream keeps the number it was first started with in its checkpoint.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), most or spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_updates(
-    updates: DataFrame, path: str, checkpoint: str, *, key: Sequence[str] | None = None, fold: int = 16
+    updates: DataFrame, path: str, checkpoint: str, *, key: Sequence[str] | None = None, fold: int = 16, tasks: int | None = None
 ) -> StreamingQuery:
     """Write each batch of updated rows under its batch number; a repeated batch replaces itself.
 
     With ``key``, every ``fold`` batches are folded into a base that holds the last update of each key, so that a reader
     opens no more than ``fold`` batches and a base, however long the stream runs.
+
+    Every batch opens and commits the state of every task, however little it holds. Running counts are few, so a new
+    stream has a task per core; ``tasks`` is for groups whose state needs more.
     """
     schema = updates.schema
 
     def save(batch: DataFrame, number: int) -> None:
         save_update(batch.sparkSession, path, batch, schema, number, key=key, fold=fold)
 
-    return (
-        updates.writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = updates.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint)
+    with _state_tasks(updates.sparkSession, tasks):
+        return writer.trigger(availableNow=True).start()
 
 
 def save_update(

@@ -223,3 +223,25 @@ def test_query_equals_its_sql(spark, name):
     want = con.execute(entry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
+
+
+def test_running_counts_are_dealt_to_a_task_per_core(spark, folder):
+    day = "timestamp'2026-03-0{} 10:00:00' AS created_at, 'gb' AS country, 'technical' AS role_class, true AS ai_mentioned"
+    schema = spark.sql("SELECT " + day.format(1)).schema
+    name, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(name, "50")
+    try:
+        for n, tasks in ((1, None), (2, 3)):
+            spark.sql("SELECT " + day.format(n)).write.mode("append").parquet(f"{folder}/landing")
+            share = ingest.weekly_share_stream(ingest.read_deltas(spark, f"{folder}/landing", schema), delay="400 days")
+            ingest.append_updates(share, f"{folder}/updates", f"{folder}/ck", tasks=tasks).awaitTermination()
+            assert spark.conf.get(name) == "50"
+            # a stream that goes on keeps the number it began with
+            dealt = [p for p in os.listdir(f"{folder}/ck/state/0") if p.isdigit()]
+            assert len(dealt) == spark.sparkContext.defaultParallelism
+        ingest.append_updates(share, f"{folder}/other", f"{folder}/ck2", tasks=3).awaitTermination()
+        assert len([p for p in os.listdir(f"{folder}/ck2/state/0") if p.isdigit()]) == 3
+        got = ingest.latest_updates(spark, f"{folder}/updates", share.schema, key=["week", "country", "role_class"]).collect()
+        assert sorted((str(r["week"]), r["total_ads"]) for r in got) == [("2026-02-23", 1), ("2026-03-02", 1)]
+    finally:
+        spark.conf.set(name, before)
