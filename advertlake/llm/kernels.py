@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 19
+CACHED = 1 << 14  # values that are worked through together, so that they stay in a core's cache
 
 U64 = np.uint64
 # Polynomials modulo the prime 2**31 - 1 at two random points, with a random value per byte. A modulus of 2**64 would make
@@ -114,9 +115,16 @@ def prefix_hash(data: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarra
     """Running sums, one row per point, from which ``span_hash`` takes the hash of any span."""
     powers = _powers_to(len(data) + 1)
     out = np.zeros((2, len(data) + 1), np.uint64)
-    for i in range(2):
-        # below 2**32 each, so sums over any block stay far below 2**64
-        np.cumsum(_fold(values[i][data] * powers[i][: len(data)]), out=out[i, 1:])
+    for at in range(0, len(data), CACHED):
+        end = min(at + CACHED, len(data))
+        part = data[at:end]
+        for i in range(2):
+            terms = values[i].take(part)
+            terms *= powers[i][at:end]
+            # below 2**32 each, so sums over any block stay far below 2**64
+            terms = _fold(terms)
+            terms[0] += out[i, at]
+            np.cumsum(terms, out=out[i, at + 1 : end + 1])
     return out
 
 
@@ -143,6 +151,19 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
+def window_digests(prefix: np.ndarray, width: int) -> np.ndarray:
+    """Digest below 2**31, at the first point, of every run of ``width`` bytes; equal bytes have equal digests."""
+    back = _powers_to(prefix.shape[1])[2]
+    sums = prefix[0]
+    out = np.empty(max(len(sums) - width, 0), np.uint64)
+    for at in range(0, len(out), CACHED):
+        end = min(at + CACHED, len(out))
+        total = _fold(sums[at + width : end + width] - sums[at:end])  # below 2**32
+        total *= back[at:end]
+        out[at:end] = _residues(total)
+    return out
+
+
 @dataclass
 class Words:
     """Words of a block: where they start and end, and the row each belongs to."""

@@ -8,10 +8,11 @@ others, and no index is larger than a task can hold:
    with one anchor stand next to each other; the bytes they span are a piece.
 2. Anchors that occur once in the corpus are dropped. The pieces of the others are grouped by anchor, equal pieces
    become one. Equal pieces repeat as a whole.
-3. Different pieces with one anchor are indexed in units of about a megabyte: suffixes are sorted, the transform is
-   cut into runs, and the places at the run ends are kept. How far a place's text goes on elsewhere, its matching
-   statistic, is one less than that of the place before, except at run ends. So the matches at run ends, as long as
-   they are at least ``SPAN``, cover what all places cover, and only these are looked at.
+3. Different pieces with one anchor are indexed in units of about a megabyte, without the stretches whose anchors of
+   longer grams are in the unit once: suffixes are sorted, the transform is cut into runs, and the places at the run ends
+   are kept. How far a place's text goes on elsewhere, its matching statistic, is one less than that of the place before,
+   except at run ends. So the matches at run ends, as long as they are at least ``SPAN``, cover what all places cover, and
+   only these are looked at.
 4. An anchor with too many different pieces for a unit (a common line that is shorter than ``SPAN``) has its pieces
    anchored again with longer grams, up to grams of ``SPAN`` bytes, where equal anchors are equal strings.
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from advertlake.llm.kernels import U64, Block, Words, prefix_digits, prefix_hash, span_hash, text_blocks, words_of
+from advertlake.llm.kernels import CACHED, U64, Block, Words, prefix_digits, prefix_hash, span_hash, text_blocks, window_digests, words_of
 from advertlake.operators.windows import keep_first
 from advertlake.session import stage
 
@@ -54,14 +55,16 @@ def text_keys(block: Block, prefix: np.ndarray) -> np.ndarray:
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
-    """Least of every ``width`` consecutive values, from running minima of blocks in both directions."""
-    n = len(values)
-    padded = np.full(-(-n // width) * width, np.iinfo(values.dtype).max, values.dtype)
-    padded[:n] = values
-    rows = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(rows, axis=1).ravel()
-    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
+    """Least of every ``width`` consecutive values, from those of runs that double in length."""
+    out = np.empty(max(len(values) - width + 1, 0), values.dtype)
+    for at in range(0, len(out), CACHED):
+        least, size = values[at : at + CACHED + width - 1], 1
+        while 2 * size <= width:
+            least = np.minimum(least[:-size], least[size:])
+            size *= 2
+        # two runs that overlap make up the rest
+        out[at : at + CACHED] = np.minimum(least[: len(least) - width + size], least[width - size :])
+    return out
 
 
 def anchors(block: Block, span: int, gram: int, prefix: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -70,9 +73,8 @@ def anchors(block: Block, span: int, gram: int, prefix: np.ndarray) -> tuple[np.
     n = len(block.data)
     if n < span:
         return none, none, none, none
-    starts = np.arange(n - gram + 1)
-    hashes = span_hash(prefix, starts, starts + gram)
-    keyed = (hashes >> U64(PLACE_BITS) << U64(PLACE_BITS)) | starts.astype(np.uint64)
+    # half the hash chooses the anchor, all of it tells anchors apart
+    keyed = (window_digests(prefix, gram) << U64(PLACE_BITS)) | np.arange(n - gram + 1, dtype=np.uint64)
     least = (sliding_least(keyed, span - gram + 1) & U64((1 << PLACE_BITS) - 1)).astype(np.int64)
     inside = np.zeros(len(least) + 1, np.int32)
     sizes = np.diff(block.offsets)
@@ -87,7 +89,8 @@ def anchors(block: Block, span: int, gram: int, prefix: np.ndarray) -> tuple[np.
     closes = np.append(opens[1:], True)
     row = block.row_of(begin[opens])
     base = block.offsets[row]
-    return row, hashes[at[opens]].view(np.int64), begin[opens] - base, begin[closes] - base
+    g = span_hash(prefix, at[opens], at[opens] + gram)
+    return row, g.view(np.int64), begin[opens] - base, begin[closes] - base
 
 
 class RunIndex:
@@ -152,30 +155,42 @@ class RunIndex:
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes in order, by doubling the length compared; only suffixes still tied are sorted again."""
+    """Starts of the suffixes in order, by multiplying the length compared; only suffixes still tied are sorted again.
+
+    The first comparison is of as many symbols as a number holds, the next ones of as many ranks.
+    """
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
-    sorted_ = symbols[order]
+    low = int(symbols.min(initial=0))
+    bits = max(int(symbols.max(initial=0) - low + 1).bit_length(), 1)  # nothing, behind the end, is less than any symbol
+    packed = max(62 // bits, 1)
+    firsts = symbols - (low - 1)
+    for k in range(1, packed):
+        firsts <<= bits
+        firsts[: max(n - k, 0)] += symbols[k:] - (low - 1)
+    order = np.argsort(firsts)
+    sorted_ = firsts[order]
     head = np.append(True, sorted_[1:] != sorted_[:-1])
-    rank = np.empty(n + 1, np.int64)
+    rank = np.empty(n + 1, np.int32 if n < 1 << 31 else np.int64)
     rank[n] = -1
-    places = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    rank[order] = places
-    tied = ~(head & np.append(head[1:], True))
-    active, k = order[tied], 1
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    slots = np.flatnonzero(~(head & np.append(head[1:], True)))
+    active, k = order[slots], packed
+    bits = n.bit_length()
+    parts = max(63 // bits, 2) if bits else 2
     while len(active):
-        key = rank[active] * (n + 1) + rank[np.minimum(active + k, n)] + 1
-        by = np.argsort(key, kind="stable")
+        key = rank[active].astype(np.int64)
+        for j in range(1, parts):
+            key <<= bits
+            key += rank.take(active + j * k, mode="clip") + 1
+        by = np.argsort(key)
         active, key = active[by], key[by]
-        group = rank[active]
-        index = np.arange(len(active))
-        opens_group = np.append(True, group[1:] != group[:-1])
-        place = group + index - np.maximum.accumulate(np.where(opens_group, index, 0))
         opens = np.append(True, key[1:] != key[:-1])
-        order[place] = active
-        rank[active] = place[np.maximum.accumulate(np.where(opens, index, 0))]
-        active = active[~(opens & np.append(opens[1:], True))]
-        k *= 2
+        # tied suffixes stand together, so the sorted ones fill the same places
+        order[slots] = active
+        rank[active] = np.maximum.accumulate(np.where(opens, slots, 0))
+        tied = ~(opens & np.append(opens[1:], True))
+        active, slots = active[tied], slots[tied]
+        k *= parts
     return order
 
 
@@ -333,16 +348,36 @@ def finer_pieces(pieces: DataFrame, span: int, gram: int) -> DataFrame:
 MARK_SCHEMA = "k bigint, s bigint, e bigint"
 
 
+def met_again(pieces: list[bytes], span: int, gram: int) -> list[tuple[int, int, bytes]]:
+    """``piece, start, bytes`` of the stretches of a unit whose strings of ``span`` bytes have an anchor that is there twice.
+
+    Strings that repeat in the unit have equal anchors of every length, so all of them are within a stretch.
+    """
+    offsets = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
+    block = Block(0, np.frombuffer(b"".join(pieces), np.uint8), offsets)
+    row, g, a, b = anchors(block, span, gram, prefix_hash(block.data))
+    _, back, counts = np.unique(g, return_inverse=True, return_counts=True)
+    twice = counts[back] > 1
+    # in the order of the text, so that a stretch ends where the next one does not begin before its end
+    row, a, b = row[twice], a[twice], b[twice] + span
+    opens = np.append(True, (row[1:] != row[:-1]) | (a[1:] > b[:-1]))[: len(row)]
+    closes = np.append(opens[1:], True)[: len(row)]
+    return [(i, s, pieces[i][s:e]) for i, s, e in zip(row[opens].tolist(), a[opens].tolist(), b[closes].tolist())]
+
+
 def indexed_marks(pieces: DataFrame, span: int) -> DataFrame:
     """Marks on pieces that occur once, from indexes over all pieces of an anchor (``g, k, at, n, bytes``)."""
+    longest = gram_lengths(span)[-2:][0]
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, now = 0, None
 
         def index() -> pa.RecordBatch:
-            found = RunIndex([r[3] for r in held]).covered(span)
-            out = [(held[i][0], held[i][1] + s, held[i][1] + e) for i, s, e in found if held[i][2] == 1]
+            parts = met_again([r[3] for r in held], span, longest)
+            found = RunIndex([raw for _, _, raw in parts]).covered(span) if parts else []
+            of = [(*held[i], at) for i, at, _ in parts]
+            out = [(of[j][0], of[j][1] + of[j][4] + s, of[j][1] + of[j][4] + e) for j, s, e in found if of[j][2] == 1]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*out)) or ([], [], []))], names=["k", "s", "e"])
 
         for batch in batches:

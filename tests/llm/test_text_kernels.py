@@ -178,3 +178,40 @@ def test_parities_never_show_more_than_what_differs(sets):
         for b, y in zip(sets, bits):
             shown = int(np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)).sum())
             assert shown <= len(a ^ b) and shown % 2 == len(a ^ b) % 2
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=60), min_size=1, max_size=6), st.integers(4, 12))
+def test_only_stretches_met_again_are_indexed(pieces, span):
+    raw = [p.encode() for p in pieces]
+    marks = lambda found: {(i, at) for i, s, e in found for at in range(s, e)}
+    whole = marks(run_index.RunIndex(raw).covered(span))
+    for gram in {1, span // 2, span - 1}:
+        parts = run_index.met_again(raw, span, gram)
+        assert all(raw[i][s : s + len(part)] == part for i, s, part in parts)
+        found = run_index.RunIndex([part for _, _, part in parts]).covered(span) if parts else []
+        assert marks((parts[j][0], parts[j][1] + s, parts[j][1] + e) for j, s, e in found) == whole
+
+
+def test_strings_that_meet_nothing_are_not_indexed():
+    rng = np.random.default_rng(5)
+    own = [rng.integers(97, 123, 900, dtype=np.uint8).tobytes() for _ in range(6)]
+    line = b"a line of all " * 7
+    # a common line brings pieces together; one string is there twice
+    pieces = [x[:450] + line + x[450:] for x in own] + [own[0][:430] + own[1][20:]]
+    parts = run_index.met_again(pieces, 400, 356)
+    assert {i for i, _, _ in parts} == {0, 1, 6} and 2 * sum(len(p) for _, _, p in parts) < sum(map(len, pieces))
+
+
+def test_window_digests_tell_windows():
+    text = b"abcabcab" * 5000 + b"x" + b"abcabcab" * 5000
+    prefix = kernels.prefix_hash(np.frombuffer(text, np.uint8))
+    for width in (1, 7, 300):
+        got = run_index.window_digests(prefix, width).tolist()
+        assert len(got) == len(text) - width + 1 and len(dict(zip((text[i : i + width] for i in range(len(got))), got))) == len(set(got))
+        assert all(got[i] == got[i + 40_001] for i in range(0, 40_000 - width))
+    values = np.random.default_rng(3).integers(0, 9, 40_000).astype(np.uint64)
+    for width in (1, 2, 3, 7, 353):
+        want = np.lib.stride_tricks.sliding_window_view(values, width).min(1)
+        assert (run_index.sliding_least(values, width) == want).all()
+    assert not len(run_index.sliding_least(values[:2], 3))
