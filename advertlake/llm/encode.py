@@ -7,18 +7,26 @@ not met to the tokenizers library. Texts with letters beyond the Latin blocks go
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
 from advertlake.llm.kernels import U64, mix, prefix_hash, span_hash
 
+# A task has one core; threads of the library would take those of other tasks.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 # Characters below this one have the same class in every Unicode version of the last decades.
 LATIN_END = 0x250
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 
+# A piece is looked for at the slot of its hash's first bits, and among all known ones if another one has the slot.
+SLOT_BITS = 22
+
 # Pieces a task remembers; with more it starts afresh, which costs time and changes nothing.
 MOST_PIECES = 1_500_000
 
@@ -88,6 +96,8 @@ class Encoder:
     def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)  # sorted hashes
         self.place = np.zeros(0, np.int64)  # index into first
+        self.named = np.zeros(0, np.uint64)  # hashes by index into first
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)  # index into first by slot
         self.first = np.zeros(1, np.int64)  # where a piece's ids begin
         self.ids = np.zeros(0, np.uint32)
 
@@ -97,14 +107,19 @@ class Encoder:
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         ids = self._plain(texts)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         index = len(self.first) - 1 + np.arange(len(ids))
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
         self.ids = np.concatenate((self.ids, flat))
+        self.named = np.concatenate((self.named, hashes))
+        self.slots[self._slot(hashes)] = index
         known, place = np.concatenate((self.known, hashes)), np.concatenate((self.place, index))
         order = np.argsort(known, kind="stable")
         self.known, self.place = known[order], place[order]
 
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return hashes >> U64(64 - SLOT_BITS)
+
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one behind the other, and the number of ids of each."""
         counts = np.zeros(len(texts), np.int64)
@@ -133,19 +148,23 @@ class Encoder:
         if chars.max() > 0xFF:
             high = span_hash(prefix_hash(chars >> 8), starts, ends)
             hashes = mix(hashes + high * U64(0x9E3779B97F4A7C15))
-        kinds, where, back = np.unique(hashes, return_index=True, return_inverse=True)
 
-        if len(self.known) + len(kinds) > MOST_PIECES:
+        if len(self.known) > MOST_PIECES:
             self._forget()
-        at = np.searchsorted(self.known, kinds)
-        at[at == len(self.known)] = 0
-        new = self.known[at] != kinds if len(self.known) else np.ones(len(kinds), bool)
-        if new.any():
-            self._learn(kinds[new], [joined[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())])
+        index = self.slots[self._slot(hashes)].astype(np.int64)
+        rest = np.flatnonzero(self.named[index] != hashes) if len(self.known) else np.arange(len(hashes))
+        if len(rest):
+            kinds, where, back = np.unique(hashes[rest], return_index=True, return_inverse=True)
             at = np.searchsorted(self.known, kinds)
-        index = self.place[at]
-        size = (self.first[index + 1] - self.first[index])[back]
-        begin = self.first[index][back]
+            at[at == len(self.known)] = 0
+            new = self.known[at] != kinds if len(self.known) else np.ones(len(kinds), bool)
+            if new.any():
+                of = rest[where[new]]
+                self._learn(kinds[new], [joined[a:b] for a, b in zip(starts[of].tolist(), ends[of].tolist())])
+                at = np.searchsorted(self.known, kinds)
+            index[rest] = self.place[at][back]
+        begin = self.first[index]
+        size = self.first[index + 1] - begin
         stop = np.cumsum(size)
         ids = self.ids[np.repeat(begin - (stop - size), size) + np.arange(int(stop[-1]))]
         per = np.concatenate(([0], stop))[np.searchsorted(starts, offsets)]

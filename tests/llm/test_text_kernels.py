@@ -215,3 +215,19 @@ def test_window_digests_tell_windows():
         want = np.lib.stride_tricks.sliding_window_view(values, width).min(1)
         assert (run_index.sliding_least(values, width) == want).all()
     assert not len(run_index.sliding_least(values[:2], 3))
+
+
+def test_known_pieces_are_not_sorted_again(library, monkeypatch):
+    plain, _ = library
+    texts = ["one two three, four", "four  three\n two", "one's " * 30]
+    fresh = encode.Encoder(encode.default_tokenizer_path())
+    first = fresh.encode(texts)
+    monkeypatch.setattr(encode.np, "unique", None)
+    again = fresh.encode(texts)
+    monkeypatch.undo()
+    assert again[0].tolist() == first[0].tolist() == [i for t in texts for i in plain.encode(t, add_special_tokens=False).ids]
+    # all pieces in two slots
+    monkeypatch.setattr(encode, "SLOT_BITS", 1)
+    crowded = encode.Encoder(encode.default_tokenizer_path())
+    for _ in range(2):
+        assert crowded.encode(texts)[0].tolist() == first[0].tolist()
