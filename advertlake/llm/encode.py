@@ -24,7 +24,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 LATIN_END = 0x250
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 
-# A piece is looked for at the slot of its hash's first bits, and among all known ones if another one has the slot.
+# A piece is looked for at the slot of its hash's first bits, and in a sorted list if another one has the slot.
 SLOT_BITS = 22
 
 # Pieces a task remembers; with more it starts afresh, which costs time and changes nothing.
@@ -85,37 +85,87 @@ def piece_bounds(chars: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return starts
 
 
+def _room(values: np.ndarray, n: int) -> np.ndarray:
+    """The same array, or a longer one that begins like it, with room for ``n`` values."""
+    if n <= len(values):
+        return values
+    out = np.zeros(max(n, 2 * len(values)), values.dtype)
+    out[: len(values)] = values
+    return out
+
+
 class Encoder:
     """Ids of texts as the library gives them without special tokens, one per process and file."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)  # a byte-level token has a letter per byte
+        self.bytes_of[list(vocab.values())] = list(map(len, vocab))
         self._forget()
 
     def _forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)  # sorted hashes
-        self.place = np.zeros(0, np.int64)  # index into first
-        self.named = np.zeros(0, np.uint64)  # hashes by index into first
-        self.slots = np.zeros(1 << SLOT_BITS, np.int32)  # index into first by slot
-        self.first = np.zeros(1, np.int64)  # where a piece's ids begin
-        self.ids = np.zeros(0, np.uint32)
+        self.pieces = 0
+        self.named = np.zeros(1, np.uint64)  # hashes of pieces, in the order they were met
+        self.first = np.zeros(2, np.int64)  # where a piece's ids begin, and where the last one's end
+        self.ids = np.zeros(1, np.uint32)
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)  # piece by slot
+        self.known = np.zeros(0, np.uint64)  # sorted hashes of those whose slot another piece has
+        self.place = np.zeros(0, np.int32)  # which pieces they are
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one behind the other, and the number of ids of each.
+
+        The library takes all pieces as one text that is already cut, which spares it an answer per piece. Ids stand for
+        bytes, so a piece's ids end where its bytes do; if they do not, the pieces are asked for one by one.
+        """
+        asked = self.tokenizer.encode_batch_fast([texts], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(asked[0].ids, np.uint32)
+        stops = np.cumsum(self.bytes_of[ids])
+        wanted = np.cumsum(np.fromiter(map(len, map(str.encode, texts)), np.int64, len(texts)))
+        ends = np.searchsorted(stops, wanted) + 1
+        if len(ids) and ends[-1] == len(ids) and np.array_equal(stops[ends - 1], wanted):
+            return ids, np.diff(ends, prepend=0)
+        alone = self._plain(texts)
+        sizes = np.fromiter(map(len, alone), np.int64, len(alone))
+        return np.fromiter(chain.from_iterable(alone), np.uint32, int(sizes.sum())), sizes
+
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        ids = self._plain(texts)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        index = len(self.first) - 1 + np.arange(len(ids))
-        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
-        self.ids = np.concatenate((self.ids, flat))
-        self.named = np.concatenate((self.named, hashes))
-        self.slots[self._slot(hashes)] = index
-        known, place = np.concatenate((self.known, hashes)), np.concatenate((self.place, index))
-        order = np.argsort(known, kind="stable")
-        self.known, self.place = known[order], place[order]
+        """Remember pieces that are not known, in ascending order of their hashes."""
+        ids, sizes = self._split(texts)
+        old, self.pieces = self.pieces, self.pieces + len(texts)
+        end = int(self.first[old])
+        self.named, self.first = _room(self.named, self.pieces), _room(self.first, self.pieces + 1)
+        self.ids = _room(self.ids, end + len(ids))
+        self.named[old : self.pieces] = hashes
+        self.first[old + 1 : self.pieces + 1] = end + np.cumsum(sizes)
+        self.ids[end : end + len(ids)] = ids
+        # A slot belongs to the piece that was first there; no entry and piece 0 are the same number.
+        index, slot = np.arange(old, self.pieces, dtype=np.int32), self._slot(hashes)
+        own = np.append(True, slot[1:] != slot[:-1])
+        if old:
+            own &= (self.slots[slot] == 0) & (slot != self._slot(self.named[0]))
+        self.slots[slot[own]] = index[own]
+        at = np.searchsorted(self.known, hashes[~own])
+        self.known, self.place = np.insert(self.known, at, hashes[~own]), np.insert(self.place, at, index[~own])
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces by their hashes, and the places of those that are not known."""
+        index = self.slots[self._slot(hashes)].astype(np.int64)
+        if not self.pieces:
+            return index, np.arange(len(hashes))
+        rest = np.flatnonzero(self.named[index] != hashes)
+        if not len(self.known):
+            return index, rest
+        at = np.searchsorted(self.known, hashes[rest])
+        at[at == len(self.known)] = 0
+        there = self.known[at] == hashes[rest]
+        index[rest[there]] = self.place[at[there]]
+        return index, rest[~there]
 
     def _slot(self, hashes: np.ndarray) -> np.ndarray:
         return hashes >> U64(64 - SLOT_BITS)
@@ -149,20 +199,14 @@ class Encoder:
             high = span_hash(prefix_hash(chars >> 8), starts, ends)
             hashes = mix(hashes + high * U64(0x9E3779B97F4A7C15))
 
-        if len(self.known) > MOST_PIECES:
+        if self.pieces > MOST_PIECES:
             self._forget()
-        index = self.slots[self._slot(hashes)].astype(np.int64)
-        rest = np.flatnonzero(self.named[index] != hashes) if len(self.known) else np.arange(len(hashes))
-        if len(rest):
-            kinds, where, back = np.unique(hashes[rest], return_index=True, return_inverse=True)
-            at = np.searchsorted(self.known, kinds)
-            at[at == len(self.known)] = 0
-            new = self.known[at] != kinds if len(self.known) else np.ones(len(kinds), bool)
-            if new.any():
-                of = rest[where[new]]
-                self._learn(kinds[new], [joined[a:b] for a, b in zip(starts[of].tolist(), ends[of].tolist())])
-                at = np.searchsorted(self.known, kinds)
-            index[rest] = self.place[at][back]
+        index, new = self._find(hashes)
+        if len(new):
+            kinds, where, back = np.unique(hashes[new], return_index=True, return_inverse=True)
+            of = new[where]
+            index[new] = self.pieces + back
+            self._learn(kinds, [joined[a:b] for a, b in zip(starts[of].tolist(), ends[of].tolist())])
         begin = self.first[index]
         size = self.first[index + 1] - begin
         stop = np.cumsum(size)

@@ -231,3 +231,27 @@ def test_known_pieces_are_not_sorted_again(library, monkeypatch):
     crowded = encode.Encoder(encode.default_tokenizer_path())
     for _ in range(2):
         assert crowded.encode(texts)[0].tolist() == first[0].tolist()
+
+
+def test_new_pieces_are_asked_for_at_once(library, monkeypatch):
+    plain, _ = library
+    words = [f"w{i * 7919 % 10007}é{i}" for i in range(3000)]
+    texts = [" ".join(words[:2000]), "\n".join(words[1000:]), "", "ÿ 's\x00 \t\r\n ŒĀ"]
+    want = [i for t in texts for i in plain.encode(t, add_special_tokens=False).ids]
+    fast = encode.Encoder(encode.default_tokenizer_path())
+    monkeypatch.setattr(fast, "_plain", None)  # would give an answer per piece
+    for t in texts:
+        ids, counts = fast.encode([t])
+        assert ids.tolist() == plain.encode(t, add_special_tokens=False).ids and counts.tolist() == [len(ids)]
+    assert fast.encode(texts)[0].tolist() == want
+    # only pieces that share a slot are kept in order, which costs with every block
+    assert 0 < fast.pieces and len(fast.known) < fast.pieces / 10
+
+
+def test_pieces_are_asked_for_one_by_one_where_ids_do_not_stand_for_bytes(library):
+    plain, _ = library
+    fast = encode.Encoder(encode.default_tokenizer_path())
+    fast.bytes_of = fast.bytes_of + 1
+    text = "strange pieces of a text, 1234 é\n"
+    for _ in range(2):
+        assert fast.encode([text])[0].tolist() == plain.encode(text, add_special_tokens=False).ids
