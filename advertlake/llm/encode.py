@@ -27,6 +27,9 @@ LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 # A piece is looked for at the slot of its hash's first bits, and in a sorted list if another one has the slot.
 SLOT_BITS = 22
 
+# Text encoded at a time: what is held per character then stays in a core's cache.
+ENCODE_BYTES = 1 << 17
+
 # Pieces a task remembers; with more it starts afresh, which costs time and changes nothing.
 MOST_PIECES = 1_500_000
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from advertlake.llm.encode import default_tokenizer_path, encoder
+from advertlake.llm.encode import ENCODE_BYTES, default_tokenizer_path, encoder
 from advertlake.llm.kernels import text_blocks
 
 
@@ -27,7 +27,7 @@ def encoded_lengths(documents: DataFrame, *, tokenizer: str | None = None) -> Da
         for batch in batches:
             texts = batch.column("text")
             counts = np.zeros(batch.num_rows, np.int64)
-            for cut in text_blocks(texts):
+            for cut in text_blocks(texts, ENCODE_BYTES):
                 rows = slice(cut.first, cut.first + cut.rows)
                 counts[rows] = encode.encode(texts[rows].fill_null("").to_pylist())[1]
             # the task's own histogram, so the shuffle gets a row per length and not per document

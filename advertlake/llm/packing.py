@@ -23,13 +23,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from advertlake.llm.encode import default_tokenizer_path, encoder
+from advertlake.llm.encode import ENCODE_BYTES, default_tokenizer_path, encoder
 from advertlake.llm.kernels import text_blocks
 from advertlake.llm.tokenfiles import END_ID
 from advertlake.session import remove, scratch_path, stage
 
 SIZE = 1024
 RANGE_ROWS = 500_000  # pieces and gaps that one task sweeps through, about 16 MB
+# Fewer than this are no work for a task of their own: starting it takes longer. Late rounds have a few hundred.
+LEAST_RANGE_ROWS = 20_000
 
 PIECES = "row bigint, doc_id {id}, piece int, start bigint, length bigint, ids_crc32 bigint"
 SWEPT = "kind int, id bigint, size bigint, seq bigint, range int, rank bigint"
@@ -53,7 +55,7 @@ def cut_pieces(
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             names, texts = batch.column("doc_id"), batch.column("text")
-            for block in text_blocks(texts):
+            for block in text_blocks(texts, ENCODE_BYTES):
                 rows = slice(block.first, block.first + block.rows)
                 ids, counts = encode.encode(texts[rows].fill_null("").to_pylist())
                 ends = np.cumsum(counts)
@@ -146,7 +148,8 @@ def matched_ranges(left: list[tuple[int, int, int]]) -> list[tuple[int, int, int
 
 def _round(spark: SparkSession, pieces: DataFrame, slots: DataFrame, rows: int, path: str) -> DataFrame:
     """One superstep: ``id, size, seq`` of all pieces; null is the sequence of those that found no gap."""
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANGE_ROWS))
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(min(most, -(-rows // LEAST_RANGE_ROWS)), -(-rows // RANGE_ROWS))
     both = pieces.select(F.lit(0).alias("kind"), "id", "size").unionByName(slots.select(F.lit(1).alias("kind"), "id", "size"))
     keys = ["size", "kind", "id"]
     swept = stage(both.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys).mapInArrow(_sweep, SWEPT), "swept", f"{path}/swept")

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from advertlake.llm.encode import default_tokenizer_path, encoder
+from advertlake.llm.encode import ENCODE_BYTES, default_tokenizer_path, encoder
 from advertlake.llm.kernels import text_blocks
 
 END_ID = 2
@@ -186,7 +186,7 @@ def write_token_files(
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             texts = batch.column("text")
-            for cut in text_blocks(texts):
+            for cut in text_blocks(texts, ENCODE_BYTES):
                 rows = slice(cut.first, cut.first + cut.rows)
                 found, sizes = encode.encode(texts[rows].fill_null("").to_pylist())
                 stops = np.cumsum(sizes)

@@ -104,3 +104,21 @@ def test_no_document(llm):
 def test_ranges_match_like_one_range():
     # brackets over three ranges: gaps take the nearest pieces before them
     assert packing.matched_ranges([(0, 1, 2), (1, 1, 0), (2, 3, 1)]) == [(1, 0, 0, 1, 1), (2, 0, 0, 0, 1)]
+
+
+def test_rounds_of_few_pieces_are_swept_by_few_tasks(llm, monkeypatch):
+    asked = []
+    dealt = type(llm.range(0)).repartitionByRange
+    monkeypatch.setattr(type(llm.range(0)), "repartitionByRange", lambda df, n, *keys: asked.append(n) or dealt(df, n, *keys))
+    rng = random.Random(11)
+    rows = [(k, rng.randint(1, 63)) for k in range(400)]
+    pieces = stage(llm.createDataFrame(rows, "row bigint, length bigint"), "pieces")
+    packed = packing.pack_pieces(pieces, size=64).collect()
+    assert sorted((r.row, r.length) for r in packed) == rows
+    assert asked and set(asked) == {1}
+    # as many tasks as there are partitions, where the rows are enough for them
+    asked.clear()
+    monkeypatch.setattr(packing, "LEAST_RANGE_ROWS", 10)
+    again = packing.pack_pieces(pieces, size=64).collect()
+    assert max(asked) == int(llm.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert len({r.sequence_id for r in again}) == len({r.sequence_id for r in packed})
